@@ -30,7 +30,7 @@ from lodestrata.functions import (
            max(c_name) AS last_name
     FROM known
     GROUP BY segment
-""")
+""", name="blank_to_null")
 def blank_to_null_keys(spark: SparkSession, root: str) -> DataFrame:
     segment = F.col("c_mktsegment")
     padded = (

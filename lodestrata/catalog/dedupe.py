@@ -47,7 +47,7 @@ def event_order_flags(spark: SparkSession, root: str) -> DataFrame:
         PARTITION BY l_orderkey
         ORDER BY CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END, l_shipdate DESC, l_linenumber DESC,
                  l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1
-""")
+""", name="latest_version")
 def latest_version_per_order(spark: SparkSession, root: str) -> DataFrame:
     order = [
         (F.col("l_returnflag") == "R").desc_nulls_last(),
@@ -158,7 +158,7 @@ def quarantine_split(spark: SparkSession, root: str) -> DataFrame:
     SELECT 'customers_in_debt', (SELECT count(*) FROM customer WHERE c_acctbal < 0)
     UNION ALL
     SELECT 'brands_outside_range', (SELECT count(*) FROM part WHERE CAST(substr(p_brand, 7) AS INTEGER) > 14)
-""")
+""", name="rejection_summary")
 def rejection_summary_lines(spark: SparkSession, root: str) -> DataFrame:
     s = Sample(spark, root)
     per_line = s.lineitem.groupBy(*LINE_KEY).agg(F.count("*").alias("n")).where(F.col("n") > 1)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.operators.dedupe import surplus_rows
 from lodestrata.operators.star import orphan_count
+from lodestrata.sources.tables import mapping
 
 
 @dataclass(frozen=True)
@@ -117,8 +118,7 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def reconcile(actual: DataFrame, expected: Mapping[str, int]) -> DataFrame:
     """Expected against actual counts: name, expected, actual, ok. A name without a count is not ok."""
-    spark: SparkSession = actual.sparkSession
-    wanted = spark.createDataFrame(list(expected.items()), "name string, expected long")
+    wanted = mapping(actual.sparkSession, list(expected.items()), "name string, expected long")
     return wanted.join(actual, "name", "left").select(
         "name", "expected", "actual", F.coalesce(F.col("actual") == F.col("expected"), F.lit(False)).alias("ok")
     )

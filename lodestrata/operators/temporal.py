@@ -112,10 +112,10 @@ def as_of_join(
     """
     if not unique:
         days = left.select(key, left_date).distinct()
-        found = as_of_join(days, changes, key, left_date, change_date, value, "_found", tie, floor=floor)
+        found = as_of_join(days, changes, key, left_date, change_date, value, "_as_of", tie, floor=floor)
         filled = join_unique(left, found, [key, left_date], hot_rows=hot_rows)
-        result = F.col("_found") if fallback is None else F.coalesce("_found", fallback)
-        return filled.withColumn(out, result).drop("_found")
+        result = F.col("_as_of") if fallback is None else F.coalesce("_as_of", fallback)
+        return filled.withColumn(out, result).drop("_as_of")
 
     probes = left.withColumns({"_day": F.col(left_date), "_probe": F.lit(1)})
     news = daily_changes(changes, key, change_date, value, tie, floor).withColumn("_probe", F.lit(0))

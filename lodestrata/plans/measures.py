@@ -15,11 +15,11 @@ from lodestrata.operators.temporal import trailing, trailing_distinct
 
 @dataclass(frozen=True)
 class Fact:
-    """Where a measure finds its rows: table, date column, and the aggregate that counts them."""
+    """Where a measure finds its rows: table, date column, and the SQL aggregate that counts them."""
 
     table: str
     date: str
-    count: Column
+    count: str
     key: str | None = None
 
 
@@ -41,7 +41,7 @@ def _side_by_side(by: Sequence[str], base: DataFrame, *others: DataFrame) -> Dat
 
 
 def _counted(model: StarModel, fact: Fact, by: Sequence[str], out: str) -> DataFrame:
-    return model.with_attributes(fact.table, by).groupBy(*_groups(by)).agg(fact.count.alias(out))
+    return model.with_attributes(fact.table, by).groupBy(*_groups(by)).agg(F.expr(fact.count).alias(out))
 
 
 def current_ratio(
@@ -131,7 +131,7 @@ def _daily(model: StarModel, fact: Fact, by: Sequence[str], out: str) -> DataFra
     return (
         model.with_attributes(fact.table, by)
         .groupBy(*_groups(by), F.col(fact.date).alias("date"))
-        .agg(fact.count.alias(out))
+        .agg(F.expr(fact.count).alias(out))
     )
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestrata.sources.tables import mapping
+
 PERIOD_PATTERN = r"([0-9]{4}_[0-9]{2})[.]csv$"
 LINEAGE = ("_source_file", "_source_table", "_source_month", "_row_number", "_ingested_at_utc")
 
@@ -32,8 +34,7 @@ def drop_manifest(spark: SparkSession, root: str, patterns: dict[str, str]) -> D
 
 def manifest_issues(manifest: DataFrame, expected: dict[str, int]) -> DataFrame:
     """Delivered against expected file counts per domain; a domain with no file counts zero."""
-    spark = manifest.sparkSession
-    wanted = mapping_of_counts(spark, expected)
+    wanted = mapping(manifest.sparkSession, list(expected.items()), "domain string, expected long")
     found = manifest.groupBy("domain").agg(F.count("*").alias("actual"))
     return wanted.join(found, "domain", "left").select(
         "domain",
@@ -43,10 +44,6 @@ def manifest_issues(manifest: DataFrame, expected: dict[str, int]) -> DataFrame:
     )
 
 
-def mapping_of_counts(spark: SparkSession, expected: dict[str, int]) -> DataFrame:
-    return spark.createDataFrame(list(expected.items()), "domain string, expected long")
-
-
 def _headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
     """Paths grouped by their header line; one single-row read per file, run side by side."""
 

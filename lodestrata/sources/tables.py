@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -48,8 +50,10 @@ def read_model(
 
 
 def mapping(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small literal relation."""
-    return spark.createDataFrame(list(rows), schema)
+    """A small literal relation. Handed over as Arrow it is a local relation of known size, which joins broadcast."""
+    fields = T.StructType.fromDDL(schema)
+    columns = zip(*rows) if rows else ([] for _ in fields)
+    return spark.createDataFrame(pa.table(dict(zip(fields.names, map(list, columns)))), fields)
 
 
 def published_view(df: DataFrame, allow: Sequence[str], name: str | None = None) -> DataFrame:
