@@ -127,6 +127,82 @@ def as_of_join(
     return merged.where(F.col("_probe") == 1).withColumn(out, result).drop("_day", "_probe", "_value", "_found")
 
 
+def level_segments(
+    stays: DataFrame,
+    key: str,
+    start: str,
+    end: str,
+    changes: DataFrame,
+    snapshots: DataFrame,
+    low: Column,
+    high: Column,
+    unit: str = "MM",
+    out: str = "level",
+) -> DataFrame:
+    """Cuts each stay into segments of constant level: the latest change so far, else the period's snapshot.
+
+    `changes` is (key, day, value) and `snapshots` (key, period start, value), both one row per key and
+    day. Only change days and period starts pass through the shuffle. The days of a segment can be
+    exploded afterwards without moving a row, which is what makes a day fact affordable.
+
+    Returns the stay's other columns with `_from`, `_to` and `out`.
+    """
+    c_key, c_day, c_value = changes.columns
+    s_key, s_day, s_value = snapshots.columns
+    clipped = stays.withColumns(
+        {
+            "_first": F.greatest(F.col(start), low),
+            "_last": F.least(F.coalesce(F.col(end), high), high),
+        }
+    ).where(F.col("_first") <= F.col("_last"))
+
+    # A period's first day starts a segment whether or not there is news on it: a snapshot ends with its period.
+    first_period = F.trunc("_first", unit)
+    last_period = F.trunc("_last", unit)
+    step = F.expr({"MM": "interval 1 month", "week": "interval 7 days"}[unit])
+    empty = F.lit(None).cast(changes.schema[c_value].dataType)
+    starts = clipped.select(
+        F.col(key), F.explode(F.sequence(first_period, last_period, step)).alias("_day"), empty.alias("_change"), empty.alias("_shot")
+    )
+    news = changes.select(F.col(c_key).alias(key), F.col(c_day).alias("_day"), F.col(c_value).alias("_change"), empty.alias("_shot"))
+    shots = snapshots.select(F.col(s_key).alias(key), F.col(s_day).alias("_day"), empty.alias("_change"), F.col(s_value).alias("_shot"))
+
+    points = (
+        starts.unionByName(news.where(F.col(key).isNotNull()))
+        .unionByName(shots.where(F.col(key).isNotNull()))
+        .groupBy(key, "_day")
+        .agg(F.max("_change").alias("_change"), F.max("_shot").alias("_shot"))
+    )
+    line = Window.partitionBy(key).orderBy("_day")
+    so_far = line.rowsBetween(Window.unboundedPreceding, 0)
+    shot = F.when(F.col("_shot").isNotNull(), F.struct(F.trunc("_day", unit).alias("period"), F.col("_shot").alias("value")))
+    segments = points.select(
+        F.col(key).alias("_owner"),
+        "_day",
+        F.lead("_day").over(line).alias("_next"),
+        F.last("_change", ignorenulls=True).over(so_far).alias("_change"),
+        F.last(shot, ignorenulls=True).over(so_far).alias("_shot"),
+    )
+    in_period = F.when(F.col("_shot.period") == F.trunc("_day", unit), F.col("_shot.value"))
+    return (
+        clipped.join(segments, F.col(key).eqNullSafe(F.col("_owner")))
+        .withColumns(
+            {
+                "_from": F.greatest("_day", "_first"),
+                "_to": F.least(F.date_sub(F.coalesce("_next", F.date_add("_last", 1)), 1), F.col("_last")),
+                out: F.coalesce("_change", in_period),
+            }
+        )
+        .where(F.col("_from") <= F.col("_to"))
+        .drop(start, end, "_owner", "_day", "_next", "_change", "_shot", "_first", "_last")
+    )
+
+
+def explode_segments(segments: DataFrame, out: str = "date") -> DataFrame:
+    """One row per day of each segment."""
+    return segments.withColumn(out, F.explode(days_between(F.col("_from"), F.col("_to")))).drop("_from", "_to")
+
+
 def date_spine(days: DataFrame, date: str, groups: DataFrame | None = None) -> DataFrame:
     """Every calendar day, for every group when groups are given.
 
