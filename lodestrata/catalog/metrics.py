@@ -8,13 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.catalog.base import Sample, iso, query
-from lodestrata.catalog.model import ERRORS, PURCHASES, SEGMENT_ORDER, USER_DAYS, dim_nation, sample_model
+from lodestrata.catalog.model import (
+    ERROR_RATE,
+    OCCUPANCY,
+    PURCHASERS,
+    ROLLING_RATE,
+    SEGMENT_ORDER,
+    TRAILING_RATE,
+    USER_DAYS,
+    WEEK,
+    dim_nation,
+    sample_model,
+)
 from lodestrata.functions import safe_ratio
 from lodestrata.operators.ranking import top_n_per_group as top_labels
 from lodestrata.operators.ranking import top_n_with_ties as leaders
 from lodestrata.operators.ranking import with_total
-from lodestrata.operators.star import one_row
-from lodestrata.plans import measures
+from lodestrata.plans.measures import Rate, Total, evaluate, trailing_series, with_total_row
 from lodestrata.sources.tables import mapping
 
 
@@ -113,13 +123,6 @@ def rate_by_two_keys(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _current(by: tuple[str, ...], out: str = "ratio"):
-    def ratio(model):
-        return measures.current_ratio(model, "occupancy", "occupied", "units", "month_start", by, out)
-
-    return ratio
-
-
 @query("WITH" + _OCCUPANCY + """
     SELECT n_name, CASE WHEN sum(units) > 0 THEN CAST(sum(occupied) AS DOUBLE) / sum(units) END AS ratio
     FROM occupancy o
@@ -127,7 +130,7 @@ def _current(by: tuple[str, ...], out: str = "ratio"):
     GROUP BY n_name
 """)
 def latest_period_ratio(spark: SparkSession, root: str) -> DataFrame:
-    return _current(("dim_nation.n_name",))(sample_model(spark, root))
+    return evaluate(sample_model(spark, root), {"ratio": OCCUPANCY}, ("dim_nation.n_name",))
 
 
 @query("WITH" + _OCCUPANCY + """
@@ -138,7 +141,8 @@ def latest_period_ratio(spark: SparkSession, root: str) -> DataFrame:
     ORDER BY ratio DESC
 """)
 def latest_period_by_region(spark: SparkSession, root: str) -> DataFrame:
-    return _current(("dim_nation.r_name",))(sample_model(spark, root)).orderBy(F.col("ratio").desc())
+    by_region = evaluate(sample_model(spark, root), {"ratio": OCCUPANCY}, ("dim_nation.r_name",))
+    return by_region.orderBy(F.col("ratio").desc())
 
 
 @query("WITH" + _OCCUPANCY + """
@@ -167,7 +171,7 @@ def ratio_by_period(spark: SparkSession, root: str) -> DataFrame:
     FROM days
 """)
 def trailing_rate(spark: SparkSession, root: str) -> DataFrame:
-    series = measures.trailing_completion_series(sample_model(spark, root), PURCHASES, USER_DAYS, "dim_date", 7)
+    series = trailing_series(sample_model(spark, root), Rate(PURCHASERS, USER_DAYS, daily=True), "dim_date", WEEK)
     return series.withColumns({"date": iso("date"), "rate": F.round("rate", 6)})
 
 
@@ -179,9 +183,8 @@ def trailing_rate(spark: SparkSession, root: str) -> DataFrame:
     FROM days, (SELECT DISTINCT r_name FROM user_day) r
 """)
 def trailing_rate_by_region(spark: SparkSession, root: str) -> DataFrame:
-    series = measures.trailing_completion_series(
-        sample_model(spark, root), PURCHASES, USER_DAYS, "dim_date", 7, ("dim_nation.r_name",)
-    )
+    rate = Rate(PURCHASERS, USER_DAYS, daily=True)
+    series = trailing_series(sample_model(spark, root), rate, "dim_date", WEEK, ("dim_nation.r_name",))
     return series.select("r_name", iso("date").alias("date"), "event_count", "day_count")
 
 
@@ -201,7 +204,7 @@ def trailing_rate_by_region(spark: SparkSession, root: str) -> DataFrame:
     FROM rolled
 """)
 def rolling_incident_rate(spark: SparkSession, root: str) -> DataFrame:
-    series = measures.trailing_event_series(sample_model(spark, root), ERRORS, USER_DAYS, "dim_date", 7)
+    series = trailing_series(sample_model(spark, root), ERROR_RATE, "dim_date", WEEK)
     return series.withColumns({"date": iso("date"), "rate": F.round("rate", 6)})
 
 
@@ -284,8 +287,8 @@ _MATRIX_PARTS = """
            (SELECT CAST(sum(occupied) AS DOUBLE) / nullif(sum(units), 0) FROM occupancy o
             WHERE month_start = (SELECT max(month_start) FROM occupancy) {o}) AS occupancy,
            (SELECT count(DISTINCT user_id) FROM purchase p WHERE p.d > (SELECT max(d) - 7 FROM days) {p})
-             / ((SELECT count(*) FROM user_day u WHERE u.d > (SELECT max(d) - 7 FROM days) {u}) / 7.0) AS trailing_rate,
-           100.0 * (SELECT count(*) FROM error e WHERE 1 = 1 {e}) / (SELECT count(*) FROM user_day u WHERE 1 = 1 {u}) AS error_rate
+             / nullif((SELECT count(*) FROM user_day u WHERE u.d > (SELECT max(d) - 7 FROM days) {u}) / 7.0, 0) AS trailing_rate,
+           100.0 * (SELECT count(*) FROM error e WHERE 1 = 1 {e}) / nullif((SELECT count(*) FROM user_day u WHERE 1 = 1 {u}), 0) AS error_rate
 """
 
 
@@ -295,26 +298,15 @@ _MATRIX_PARTS = """
     p="AND p.n_name = n.n_name",
     u="AND u.n_name = n.n_name",
     e="AND e.n_name = n.n_name",
-) + " FROM (SELECT DISTINCT n_name FROM user_day WHERE d > (SELECT max(d) - 7 FROM days)) n UNION ALL" + _MATRIX_PARTS.format(
+) + " FROM (SELECT n_name FROM nation) n UNION ALL" + _MATRIX_PARTS.format(
     label="'Total'", o="", p="", u="", e=""
 ) + """)
     SELECT n_name, round(occupancy, 6) AS occupancy, round(trailing_rate, 6) AS trailing_rate, round(error_rate, 6) AS error_rate
     FROM matrix
 """)
 def entity_matrix(spark: SparkSession, root: str) -> DataFrame:
-    model = sample_model(spark, root)
-
-    def row(by: tuple[str, ...]) -> DataFrame:
-        parts = [
-            _current(by, "occupancy")(model),
-            measures.trailing_completion_rate(model, PURCHASES, USER_DAYS, "dim_date", 7, by, "trailing_rate"),
-            measures.event_rate(model, ERRORS, USER_DAYS, by, "error_rate"),
-        ]
-        if not by:
-            return one_row(*parts)
-        return parts[0].join(parts[1], "n_name").join(parts[2], "n_name")
-
-    matrix = measures.with_total_row(row, "dim_nation.n_name")
+    measures = {"occupancy": OCCUPANCY, "trailing_rate": TRAILING_RATE, "error_rate": ERROR_RATE}
+    matrix = with_total_row(sample_model(spark, root), measures, "dim_nation.n_name", "dim_date")
     return matrix.withColumns({name: F.round(name, 6) for name in ("occupancy", "trailing_rate", "error_rate")})
 
 
@@ -329,14 +321,14 @@ def entity_matrix(spark: SparkSession, root: str) -> DataFrame:
            (SELECT count(DISTINCT user_id) FROM purchase) AS purchasers
 """)
 def kpi_card(spark: SparkSession, root: str) -> DataFrame:
-    model = sample_model(spark, root)
-    card = one_row(
-        _current((), "occupancy")(model),
-        measures.trailing_completion_rate(model, PURCHASES, USER_DAYS, "dim_date", 7, out="trailing_rate"),
-        measures.event_rate(model, ERRORS, USER_DAYS, out="error_rate"),
-        measures.trailing_event_rate(model, ERRORS, USER_DAYS, "dim_date", 7),
-        measures.completed(model, PURCHASES, out="purchasers"),
-    )
+    measures = {
+        "occupancy": OCCUPANCY,
+        "trailing_rate": TRAILING_RATE,
+        "error_rate": ERROR_RATE,
+        "rolling_rate": ROLLING_RATE,
+        "purchasers": Total(PURCHASERS),
+    }
+    card = evaluate(sample_model(spark, root), measures, calendar="dim_date")
     return card.withColumns({name: F.round(name, 6) for name in ("trailing_rate", "error_rate", "rolling_rate")})
 
 
@@ -349,7 +341,7 @@ def kpi_card(spark: SparkSession, root: str) -> DataFrame:
 """)
 def kpi_by_label(spark: SparkSession, root: str) -> DataFrame:
     model = sample_model(spark, root).filtered({"dim_nation": F.col("r_name") == "EUROPE"})
-    rates = measures.event_rate(model, ERRORS, USER_DAYS, ("dim_segment.segment",))
+    rates = evaluate(model, {"rate": ERROR_RATE}, ("dim_segment.segment",))
     return rates.withColumn("rate", F.round("rate", 6))
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from lodestrata.catalog.base import Sample, day
 from lodestrata.operators.star import Relation, StarModel, dense_spine
-from lodestrata.operators.temporal import calendar_of, date_attributes
-from lodestrata.plans.measures import Fact
+from lodestrata.operators.temporal import calendar_of
+from lodestrata.plans.measures import Amount, Latest, Rate
 from lodestrata.sources.tables import mapping
 
 SEGMENT_ORDER = [("HOUSEHOLD", 1), ("AUTOMOBILE", 2), ("BUILDING", 3), ("MACHINERY", 4), ("FURNITURE", 5)]
@@ -25,9 +25,15 @@ RELATIONS = (
     Relation("occupancy", "nation_key", "dim_nation", "nation_key"),
 )
 
-USER_DAYS = Fact("user_day", "date", "count(*)")
-ERRORS = Fact("error", "date", "sum(error_count)")
-PURCHASES = Fact("purchase", "date", "count(*)", key="user_id")
+WEEK = 7
+USER_DAYS = Amount("user_day", "date")
+ERRORS = Amount("error", "date", "error_count")
+PURCHASERS = Amount("purchase", "date", "user_id", distinct=True)
+
+OCCUPANCY = Latest("occupancy", "occupied", "units", "month_start")
+TRAILING_RATE = Rate(PURCHASERS.over(WEEK), USER_DAYS.over(WEEK), daily=True)
+ERROR_RATE = Rate(ERRORS, USER_DAYS, scale=100)
+ROLLING_RATE = Rate(ERRORS.over(WEEK), USER_DAYS.over(WEEK), scale=100)
 
 
 def dim_nation(s: Sample) -> DataFrame:
@@ -94,6 +100,3 @@ def sample_model(spark: SparkSession, root: str) -> StarModel:
         },
         RELATIONS,
     )
-
-
-__all__ = ["ERRORS", "PURCHASES", "USER_DAYS", "date_attributes", "dim_nation", "event_calendar", "sample_model", "user_days"]

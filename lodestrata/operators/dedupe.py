@@ -22,10 +22,10 @@ def latest_version(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -
 
 def support(df: DataFrame, identity: dict[str, Column], name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds how many rows share the row's identity. NULL members of an identity match each other."""
-    marked = df.withColumns({f"_id_{k}": column for k, column in identity.items()})
     members = [f"_id_{k}" for k in identity]
+    marked = df.withColumns(dict(zip(members, identity.values())))
     counts = marked.groupBy(*members).agg(F.count("*").alias(name))
-    return join_unique(marked, counts, members, hot_rows=hot_rows).drop(*members)
+    return join_unique(marked, counts, members, rows=name, hot_rows=hot_rows).drop(*members)
 
 
 def best_supported(
@@ -52,11 +52,14 @@ def best_supported(
 def with_version_count(df: DataFrame, key: Sequence[str], name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds the number of rows that share the key."""
     counts = df.groupBy(*key).agg(F.count("*").alias(name))
-    return join_unique(df, counts, key, hot_rows=hot_rows)
+    return join_unique(df, counts, key, rows=name, hot_rows=hot_rows)
 
 
 def unique_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows whose key occurs once; every row of a repeated key is left out, exact copies too."""
+    """Rows whose key occurs once; every row of a repeated key is left out, exact copies too.
+
+    One aggregate: each task forwards one row and a count per key, so no join back to the rows is needed.
+    """
     row = F.struct(*df.columns)
     once = df.groupBy(key_of(key).alias("_key")).agg(F.count("*").alias("_n"), F.any_value(row).alias("_row"))
     return once.where(F.col("_n") == 1).select("_row.*")
@@ -64,8 +67,8 @@ def unique_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def conflicting_rows(df: DataFrame, key: Sequence[str], name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every row of a repeated key, with the number of rows that share it."""
-    counts = df.groupBy(*key).agg(F.count("*").alias(name)).where(F.col(name) > 1)
-    return join_unique(df, counts, key, how="inner", hot_rows=hot_rows)
+    repeated = df.groupBy(*key).agg(F.count("*").alias(name)).where(F.col(name) > 1)
+    return join_unique(df, repeated, key, how="inner", rows=name, hot_rows=hot_rows)
 
 
 def drop_conflicts(

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000  # rows of one key that a single task may hold
-HOT_KEYS = 512  # at most this many keys are broadcast as hot
-SLICES = 64  # tasks a hot key is spread over
+HOT_KEYS = 1 << 16  # at most this many keys are broadcast as hot
 
 
 def key_of(columns: Sequence[str | Column]) -> Column:
@@ -17,19 +16,18 @@ def key_of(columns: Sequence[str | Column]) -> Column:
     return F.struct(*columns)
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The largest keys, no more than HOT_KEYS rows, so the result is always safe to broadcast.
+def hot_keys(counts: DataFrame, key: str, count: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The largest keys of a (key, count) relation and the slices each is cut into.
 
-    Counted exactly: the list must come out the same on both sides of the join it steers. Keys that
-    do not make the list are each smaller than 1/HOT_KEYS of the rows and take the ordinary shuffle.
+    Never more than HOT_KEYS rows, so it is always safe to broadcast. A key that does not make the
+    list has less than 1/HOT_KEYS of the rows and takes the ordinary shuffle. The counts must be exact:
+    the list is evaluated on both sides of a join and has to come out the same.
     """
     return (
-        df.groupBy(key)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") >= hot_rows)
-        .orderBy(F.col("_n").desc(), key)
+        counts.where(F.col(count) >= hot_rows)
+        .orderBy(F.col(count).desc(), key)
         .limit(HOT_KEYS)
-        .select(key, F.lit(True).alias("_hot"))
+        .select(key, F.ceil(F.col(count) / F.lit(hot_rows)).cast("int").alias("_slices"))
     )
 
 
@@ -38,25 +36,30 @@ def join_unique(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
+    rows: str | None = None,
     spread: Column | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join many `left` rows to at most one `right` row per key; NULL keys match each other.
 
-    Rows of a hot key are cut into slices by `spread` and the one right row is copied to each slice.
-    `spread` must give the same value when a task is run again; the default hashes the whole row, so
-    pass a row id where a hot key consists of exact copies.
+    Rows of a hot key are cut into slices by `spread`, and the one right row is copied to each slice.
+    `rows` names a column of `right` that holds the number of left rows of the key; without it the
+    left keys are counted. `spread` must give the same value when a task is run again; the default
+    hashes the whole row, so pass a row id where a hot key consists of exact copies.
     """
     extra = [name for name in right.columns if name not in on]
     left = left.withColumn("_key", key_of(on))
     right = right.select(key_of(on).alias("_key"), *extra)
-    hot = hot_keys(left.select("_key"), "_key", hot_rows)
+    if rows is None:
+        hot = hot_keys(left.groupBy("_key").agg(F.count("*").alias("_n")), "_key", "_n", hot_rows)
+    else:
+        hot = hot_keys(right, "_key", rows, hot_rows)
 
     row_hash = F.xxhash64(*(name for name in left.columns if name != "_key")) if spread is None else F.xxhash64(spread)
-    slice_of_row = F.when(F.col("_hot"), F.pmod(row_hash, F.lit(SLICES)).cast("int")).otherwise(F.lit(0))
-    slices_of_key = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SLICES - 1))).otherwise(F.array(F.lit(0)))
-    sliced = left.join(F.broadcast(hot), "_key", "left").withColumn("_slice", slice_of_row).drop("_hot")
-    copied = right.join(F.broadcast(hot), "_key", "left").withColumn("_slice", F.explode(slices_of_key)).drop("_hot")
+    slice_of_row = F.coalesce(F.pmod(row_hash, F.col("_slices")).cast("int"), F.lit(0))
+    slices_of_key = F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)
+    sliced = left.join(F.broadcast(hot), "_key", "left").withColumn("_slice", slice_of_row).drop("_slices")
+    copied = right.join(F.broadcast(hot), "_key", "left").withColumn("_slice", F.explode(slices_of_key)).drop("_slices")
     return sliced.join(copied, ["_key", "_slice"], how).drop("_key", "_slice")
 
 

@@ -1,8 +1,12 @@
-"""Business measures over a star model: ratios of sums, evaluated at any grain and filter context."""
+"""Business measures over a star model: ratios of sums, evaluated at any grain and filter context.
+
+A measure is a description. `evaluate` takes several of them and reads every fact once, whatever the
+number of measures that draw on it.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,13 +18,79 @@ from lodestrata.operators.temporal import trailing, trailing_distinct
 
 
 @dataclass(frozen=True)
-class Fact:
-    """Where a measure finds its rows: table, date column, and the SQL aggregate that counts them."""
+class Amount:
+    """An amount of a fact: the sum of an SQL expression, or its distinct values with a known date.
+
+    `days` limits it to the trailing window that ends on the calendar's last day.
+    """
 
-    table: str
+    fact: str
     date: str
-    count: str
-    key: str | None = None
+    value: str = "1"
+    distinct: bool = False
+    days: int | None = None
+
+    def over(self, days: int) -> Amount:
+        return Amount(self.fact, self.date, self.value, self.distinct, days)
+
+    def aggregate(self) -> Column:
+        value = F.expr(self.value)
+        if self.distinct:
+            value = F.when(F.col(self.date).isNotNull(), value)
+        if self.days is not None:
+            value = F.when(F.col(f"_last_{self.days}"), value)
+        return F.count_distinct(value) if self.distinct else F.sum(value)
+
+
+@dataclass(frozen=True)
+class Total:
+    """The amount itself, 0 where there is none."""
+
+    amount: Amount
+
+    @property
+    def amounts(self) -> tuple[Amount, ...]:
+        return (self.amount,)
+
+    def value(self, parts: Mapping[Amount, Column], dates: Mapping[int, Column]) -> Column:
+        return F.coalesce(parts[self.amount], F.lit(0))
+
+
+@dataclass(frozen=True)
+class Rate:
+    """Numerator over denominator; a missing numerator is 0, a missing denominator leaves it blank.
+
+    With `daily` the denominator is the average per date that exists in its window.
+    """
+
+    numerator: Amount
+    denominator: Amount
+    scale: float = 1.0
+    daily: bool = False
+
+    @property
+    def amounts(self) -> tuple[Amount, ...]:
+        return (self.numerator, self.denominator)
+
+    def value(self, parts: Mapping[Amount, Column], dates: Mapping[int, Column]) -> Column:
+        below = parts[self.denominator]
+        if self.daily:
+            below = safe_ratio(below, dates[self.denominator.days])
+        return safe_ratio(F.coalesce(parts[self.numerator], F.lit(0)), below, self.scale)
+
+
+@dataclass(frozen=True)
+class Latest:
+    """Ratio of sums at the latest period each group has."""
+
+    fact: str
+    numerator: str
+    denominator: str
+    period: str
+    scale: float = 1.0
+
+
+Measure = Total | Rate | Latest
 
 
 def _names(by: Sequence[str]) -> list[str]:
@@ -31,151 +101,110 @@ def _groups(by: Sequence[str]) -> list[Column]:
     return [F.col(f"`{path}`").alias(path.split(".")[1]) for path in by]
 
 
-def _side_by_side(by: Sequence[str], base: DataFrame, *others: DataFrame) -> DataFrame:
-    """Results of the same grain next to each other; groups come from `base`."""
-    if not by:
-        return one_row(base, *others)
-    for other in others:
-        base = base.join(other, _names(by), "left")
-    return base
-
+def _window(calendar: DataFrame, days: int) -> tuple[Column, Column]:
+    end = calendar.agg(F.max("date")).scalar()
+    return F.date_sub(end, days - 1), end
 
-def _counted(model: StarModel, fact: Fact, by: Sequence[str], out: str) -> DataFrame:
-    return model.with_attributes(fact.table, by).groupBy(*_groups(by)).agg(F.expr(fact.count).alias(out))
 
-
-def current_ratio(
-    model: StarModel,
-    table: str,
-    numerator: str,
-    denominator: str,
-    period: str,
-    by: Sequence[str] = (),
-    out: str = "ratio",
-    scale: float = 1.0,
+def _amounts(
+    model: StarModel, calendar: str | None, fact: str, amounts: Mapping[str, Amount], by: Sequence[str]
 ) -> DataFrame:
-    """Ratio of sums at the latest period each group has."""
+    """All amounts of one fact in one aggregate."""
+    table = model.with_attributes(fact, by)
+    lengths = {amount.days for amount in amounts.values()}
+    date = next(iter(amounts.values())).date
+    for days in sorted(lengths - {None}):
+        first, last = _window(model[calendar], days)
+        if lengths == {days}:  # nothing needs the rest of the fact: let the scan skip it
+            table = table.where(F.col(date).between(first, last))
+        on_calendar = model[calendar].where(F.col("date").between(first, last)).select(
+            F.col("date").alias(date), F.lit(True).alias(f"_last_{days}")
+        )
+        table = table.join(on_calendar, date, "left")
+    return table.groupBy(*_groups(by)).agg(*(amount.aggregate().alias(name) for name, amount in amounts.items()))
+
+
+def _latest(model: StarModel, measure: Latest, by: Sequence[str], out: str) -> DataFrame:
     per_period = (
-        model.with_attributes(table, by)
-        .groupBy(*_groups(by), F.col(period).alias("_period"))
-        .agg(F.sum(numerator).alias("_num"), F.sum(denominator).alias("_den"))
+        model.with_attributes(measure.fact, by)
+        .groupBy(*_groups(by), F.col(measure.period).alias("_period"))
+        .agg(F.sum(measure.numerator).alias("_num"), F.sum(measure.denominator).alias("_den"))
     )
     newest = F.max(F.struct("_period", "_num", "_den")).alias("_last")
-    return per_period.groupBy(*_names(by)).agg(newest).select(
-        *_names(by), safe_ratio(F.col("_last._num"), F.col("_last._den"), scale).alias(out)
-    )
+    ratio = safe_ratio(F.col("_last._num"), F.col("_last._den"), measure.scale)
+    return per_period.groupBy(*_names(by)).agg(newest).select(*_names(by), ratio.alias(out))
 
 
-def event_rate(
-    model: StarModel, events: Fact, days: Fact, by: Sequence[str] = (), out: str = "rate", scale: float = 100.0
+def evaluate(
+    model: StarModel, measures: Mapping[str, Measure], by: Sequence[str] = (), calendar: str | None = None
 ) -> DataFrame:
-    """Events per `scale` days of exposure. A group without events has rate 0."""
-    counted = _side_by_side(by, _counted(model, days, by, "_days"), _counted(model, events, by, "_events"))
-    rate = safe_ratio(F.coalesce("_events", F.lit(0)), F.col("_days"), scale)
-    return counted.select(*_names(by), rate.alias(out))
-
-
-def completed(model: StarModel, fact: Fact, by: Sequence[str] = (), out: str = "completed") -> DataFrame:
-    """Distinct keys of rows whose date is known."""
-    rows = model.with_attributes(fact.table, by).where(F.col(fact.date).isNotNull())
-    return rows.groupBy(*_groups(by)).agg(F.count_distinct(F.col(fact.key)).alias(out))
+    """One column per measure, one row per group of `by` ('dimension.column' paths), or one row in all."""
+    wanted: dict[Amount, str] = {}
+    for measure in measures.values():
+        if not isinstance(measure, Latest):
+            for amount in measure.amounts:
+                wanted.setdefault(amount, f"_a{len(wanted)}")
+
+    parts = [_latest(model, m, by, name) for name, m in measures.items() if isinstance(m, Latest)]
+    for fact in dict.fromkeys(amount.fact for amount in wanted):
+        of_fact = {name: amount for amount, name in wanted.items() if amount.fact == fact}
+        parts.append(_amounts(model, calendar, fact, of_fact, by))
+
+    if by:
+        joined = parts[0]
+        for part in parts[1:]:
+            joined = joined.join(part, _names(by), "full")
+    else:
+        joined = one_row(*parts)
+
+    dates = {
+        days: model[calendar].where(F.col("date").between(*_window(model[calendar], days))).agg(F.count("*")).scalar()
+        for days in {amount.days for amount in wanted if amount.days is not None}
+    }
+    columns = {amount: F.col(name) for amount, name in wanted.items()}
+    return joined.select(
+        *_names(by),
+        *(
+            F.col(name) if isinstance(m, Latest) else m.value(columns, dates).alias(name)
+            for name, m in measures.items()
+        ),
+    )
 
 
-def _last_window(model: StarModel, facts: Sequence[Fact], calendar: str, length: int) -> StarModel:
-    """Model cut to the trailing window that ends at the calendar's last day."""
-    days = model[calendar]
-    end = days.agg(F.max("date")).scalar()
-    tables = dict(model.tables)
-    tables[calendar] = days.where(F.col("date").between(F.date_sub(end, length - 1), end))
-    for fact in facts:
-        inside = F.col(fact.date).between(F.date_sub(end, length - 1), end)
-        on_calendar = tables[calendar].select(F.col("date").alias(fact.date))
-        tables[fact.table] = tables[fact.table].where(inside).join(on_calendar, fact.date, "left_semi")
-    return StarModel(tables, model.relations)
-
-
-def trailing_completion_rate(
-    model: StarModel,
-    events: Fact,
-    days: Fact,
-    calendar: str,
-    length: int = 90,
-    by: Sequence[str] = (),
-    out: str = "trailing_rate",
-    scale: float = 1.0,
-) -> DataFrame:
-    """Distinct keys in the last window over the average number of daily rows in it."""
-    window = _last_window(model, (events, days), calendar, length)
-    dates = window[calendar].agg(F.count("*")).scalar()
-    counted = _side_by_side(by, _counted(window, days, by, "_days"), completed(window, events, by, "_events"))
-    average = safe_ratio(F.col("_days"), dates)
-    rate = safe_ratio(F.coalesce("_events", F.lit(0)), average, scale)
-    return counted.select(*_names(by), rate.alias(out))
-
-
-def trailing_event_rate(
-    model: StarModel,
-    events: Fact,
-    days: Fact,
-    calendar: str,
-    length: int = 90,
-    by: Sequence[str] = (),
-    out: str = "rolling_rate",
-    scale: float = 100.0,
+def with_total_row(
+    model: StarModel, measures: Mapping[str, Measure], by: str, calendar: str | None = None, label: str = "Total"
 ) -> DataFrame:
-    """`event_rate` restricted to the last window."""
-    return event_rate(_last_window(model, (events, days), calendar, length), events, days, by, out, scale)
+    """Measures per group and once more without grouping: totals are evaluated, never added up."""
+    total = evaluate(model, measures, (), calendar).withColumn(by.split(".")[1], F.lit(label))
+    return evaluate(model, measures, (by,), calendar).unionByName(total)
 
 
-def _daily(model: StarModel, fact: Fact, by: Sequence[str], out: str) -> DataFrame:
+def _daily(model: StarModel, amount: Amount, by: Sequence[str], out: str) -> DataFrame:
     return (
-        model.with_attributes(fact.table, by)
-        .groupBy(*_groups(by), F.col(fact.date).alias("date"))
-        .agg(F.expr(fact.count).alias(out))
+        model.with_attributes(amount.fact, by)
+        .groupBy(*_groups(by), F.col(amount.date).alias("date"))
+        .agg(amount.aggregate().alias(out))
     )
 
 
-def trailing_event_series(
-    model: StarModel,
-    events: Fact,
-    days: Fact,
-    calendar: str,
-    length: int = 90,
-    by: Sequence[str] = (),
-    scale: float = 100.0,
-) -> DataFrame:
-    """The rolling event rate at the end of every calendar day."""
-    group = _names(by)
-    daily = _daily(model, days, by, "day_count").join(
-        _daily(model, events, by, "event_count"), [*group, "date"], "full"
-    )
-    rolled = trailing(daily, model[calendar], "date", length, ("event_count", "day_count"), group)
-    return rolled.withColumn("rate", safe_ratio(F.col("event_count"), F.col("day_count"), scale))
-
-
-def trailing_completion_series(
-    model: StarModel,
-    events: Fact,
-    days: Fact,
-    calendar: str,
-    length: int = 90,
-    by: Sequence[str] = (),
-    scale: float = 1.0,
+def trailing_series(
+    model: StarModel, rate: Rate, calendar: str, length: int, by: Sequence[str] = ()
 ) -> DataFrame:
-    """The trailing completion rate at the end of every calendar day."""
+    """A rate over the trailing window at the end of every calendar day, with the amounts it is made of."""
     group = _names(by)
-    daily = _daily(model, days, by, "day_count")
-    groups = daily.select(*group).distinct() if group else None
-    rolled = trailing(daily, model[calendar], "date", length, ("day_count",), group, groups)
-    rows = model.with_attributes(events.table, by).select(
-        *_groups(by), events.key, F.col(events.date).alias("date")
-    )
-    seen = trailing_distinct(rows, model[calendar], events.key, "date", length, "event_count", group, groups)
-    average = safe_ratio(F.col("day_count"), F.col("dates_in_window"))
-    return rolled.join(seen, [*group, "date"]).withColumn("rate", safe_ratio(F.col("event_count"), average, scale))
-
-
-def with_total_row(measure, by: str, label: str = "Total") -> DataFrame:
-    """A measure per group and once more without grouping: totals are evaluated, never added up."""
-    name = by.split(".")[1]
-    return measure((by,)).unionByName(measure(()).withColumn(name, F.lit(label)))
+    days = model[calendar]
+    daily = _daily(model, rate.denominator, by, "day_count")
+    if not rate.numerator.distinct:
+        daily = daily.join(_daily(model, rate.numerator, by, "event_count"), [*group, "date"], "full")
+        rolled = trailing(daily, days, "date", length, ("event_count", "day_count"), group)
+    else:
+        groups = daily.select(*group).distinct() if group else None
+        rows = model.with_attributes(rate.numerator.fact, by).select(
+            *_groups(by), F.expr(rate.numerator.value).alias("_key"), F.col(rate.numerator.date).alias("date")
+        )
+        seen = trailing_distinct(rows, days, "_key", "date", length, "event_count", group, groups)
+        rolled = trailing(daily, days, "date", length, ("day_count",), group, groups).join(seen, [*group, "date"])
+    below = F.col("day_count")
+    if rate.daily:
+        below = safe_ratio(below, F.col("dates_in_window"))
+    return rolled.withColumn("rate", safe_ratio(F.col("event_count"), below, rate.scale))

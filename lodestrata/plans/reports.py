@@ -7,13 +7,28 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions import safe_ratio
 from lodestrata.operators.ranking import top_n_per_group, top_n_with_ties
-from lodestrata.operators.star import StarModel, one_row
-from lodestrata.plans import config, measures
-from lodestrata.plans.measures import Fact
-
-RESIDENT_DAYS = Fact("fact_resident_day", "date", "sum(resident_day_count)")
-INCIDENTS = Fact("fact_incident", "incident_date", "count(*)")
-MOVE_OUTS = Fact("fact_lease", "move_out_date", "count(*)", key="lease_id")
+from lodestrata.operators.star import StarModel
+from lodestrata.plans import config
+from lodestrata.plans.measures import Amount, Latest, Rate, Total, evaluate, trailing_series, with_total_row
+
+RESIDENT_DAYS = Amount("fact_resident_day", "date", "resident_day_count")
+INCIDENTS = Amount("fact_incident", "incident_date")
+MOVE_OUTS = Amount("fact_lease", "move_out_date", "lease_id", distinct=True)
+
+CURRENT_OCCUPANCY = Latest("fact_occupancy_monthly", "occupied_resident_count", "valid_unit_count", "month_start")
+MOVE_OUT_RATE = Rate(MOVE_OUTS.over(config.TRAILING_DAYS), RESIDENT_DAYS.over(config.TRAILING_DAYS), daily=True)
+INCIDENT_RATE = Rate(INCIDENTS, RESIDENT_DAYS, scale=100)
+ROLLING_INCIDENT_RATE = Rate(INCIDENTS.over(config.TRAILING_DAYS), RESIDENT_DAYS.over(config.TRAILING_DAYS), scale=100)
+COMPLETED_MOVE_OUTS = Total(MOVE_OUTS)
+
+MEASURES = {
+    "current_occupancy": CURRENT_OCCUPANCY,
+    "move_out_rate": MOVE_OUT_RATE,
+    "incident_rate": INCIDENT_RATE,
+    "rolling_incident_rate": ROLLING_INCIDENT_RATE,
+    "completed_move_outs": COMPLETED_MOVE_OUTS,
+}
+MATRIX = ("current_occupancy", "move_out_rate", "incident_rate")
 COMMUNITY = "dim_community.community_name"
 
 
@@ -89,54 +104,35 @@ def incident_rate(model: StarModel) -> DataFrame:
     )
 
 
-def current_occupancy(model: StarModel, by: tuple[str, ...] = ()) -> DataFrame:
-    return measures.current_ratio(
-        model,
-        "fact_occupancy_monthly",
-        "occupied_resident_count",
-        "valid_unit_count",
-        "month_start",
-        by,
-        "current_occupancy",
-    )
-
-
-def move_out_rate(model: StarModel, by: tuple[str, ...] = (), days: int = config.TRAILING_DAYS) -> DataFrame:
-    return measures.trailing_completion_rate(model, MOVE_OUTS, RESIDENT_DAYS, "dim_date", days, by, "move_out_rate")
-
-
-def incidents_per_100_days(model: StarModel, by: tuple[str, ...] = ()) -> DataFrame:
-    return measures.event_rate(model, INCIDENTS, RESIDENT_DAYS, by, "incident_rate")
+def measures(model: StarModel, names: tuple[str, ...] = tuple(MEASURES), by: tuple[str, ...] = ()) -> DataFrame:
+    """The named measures side by side, at the grain of `by`."""
+    return evaluate(model, {name: MEASURES[name] for name in names}, by, "dim_date")
 
 
-def rolling_incident_rate(model: StarModel, by: tuple[str, ...] = (), days: int = config.TRAILING_DAYS) -> DataFrame:
-    return measures.trailing_event_rate(model, INCIDENTS, RESIDENT_DAYS, "dim_date", days, by, "rolling_incident_rate")
+def kpi_cards(model: StarModel) -> DataFrame:
+    return measures(model)
 
 
-def completed_move_outs(model: StarModel, by: tuple[str, ...] = ()) -> DataFrame:
-    return measures.completed(model, MOVE_OUTS, by, "completed_move_outs")
+def move_out_rate_by_day(model: StarModel, by: tuple[str, ...] = ()) -> DataFrame:
+    """The trailing move-out rate as it stood at the end of each day."""
+    return trailing_series(model, Rate(MOVE_OUTS, RESIDENT_DAYS, daily=True), "dim_date", config.TRAILING_DAYS, by)
 
 
-def kpi_cards(model: StarModel) -> DataFrame:
-    return one_row(
-        current_occupancy(model),
-        move_out_rate(model),
-        incidents_per_100_days(model),
-        rolling_incident_rate(model),
-        completed_move_outs(model),
-    )
+def incident_rate_by_day(model: StarModel, by: tuple[str, ...] = ()) -> DataFrame:
+    """The rolling incident rate as it stood at the end of each day."""
+    return trailing_series(model, INCIDENT_RATE, "dim_date", config.TRAILING_DAYS, by)
 
 
 def occupancy_by_month(model: StarModel) -> DataFrame:
-    return current_occupancy(model, ("dim_date.month_start",)).orderBy("month_start")
+    return measures(model, ("current_occupancy",), ("dim_date.month_start",)).orderBy("month_start")
 
 
 def occupancy_by_community(model: StarModel) -> DataFrame:
-    return current_occupancy(model, (COMMUNITY,)).orderBy(F.col("current_occupancy").desc_nulls_last())
+    return measures(model, ("current_occupancy",), (COMMUNITY,)).orderBy(F.col("current_occupancy").desc_nulls_last())
 
 
 def incident_rate_by_care_level(model: StarModel) -> DataFrame:
-    rates = incidents_per_100_days(model, ("dim_care_level.care_level",))
+    rates = measures(model, ("incident_rate",), ("dim_care_level.care_level",))
     return rates.join(model["dim_care_level"], "care_level").orderBy("display_order")
 
 
@@ -151,14 +147,7 @@ def leading_move_out_reasons(model: StarModel, n: int = 5) -> DataFrame:
 
 def community_matrix(model: StarModel) -> DataFrame:
     """Three measures per community and a total row, each evaluated at its own grain."""
-
-    def row(by: tuple[str, ...]) -> DataFrame:
-        parts = [current_occupancy(model, by), move_out_rate(model, by), incidents_per_100_days(model, by)]
-        if not by:
-            return one_row(*parts)
-        return parts[0].join(parts[1], "community_name", "left").join(parts[2], "community_name", "left")
-
-    return measures.with_total_row(row, COMMUNITY)
+    return with_total_row(model, {name: MEASURES[name] for name in MATRIX}, COMMUNITY, "dim_date")
 
 
 def community_list(model: StarModel) -> DataFrame:

@@ -142,7 +142,7 @@ def test_roles_reach_every_fact(run, role, keep):
 def test_slicers_and_matrix(run):
     _, known, _, result = run
     one = reports.slicer(result.model, region="Southwest", community="Community C007")
-    assert reports.current_occupancy(one).first()[0] == pytest.approx(window_measures(known, result, lambda c: c == "C007")["current_occupancy"])
+    assert reports.measures(one, ("current_occupancy",)).first()[0] == pytest.approx(window_measures(known, result, lambda c: c == "C007")["current_occupancy"])
     matrix = {r.community_name: r for r in reports.community_matrix(result.model).collect()}
     assert len(matrix) == 15
     for name, keep in (("Total", lambda c: True), ("Community C003", lambda c: c == "C003")):
@@ -164,6 +164,14 @@ def test_dashboard_tables(run):
     assert {r.move_out_reason: r.completed_move_outs for r in reports.leading_move_out_reasons(model).collect()} == {k: n for k, n in reasons.items() if n >= worst}
 
 
+def test_measures_as_they_stood_each_day(run):
+    _, known, _, result = run
+    want = window_measures(known, result)
+    for series, measure in ((reports.move_out_rate_by_day, "move_out_rate"), (reports.incident_rate_by_day, "rolling_incident_rate")):
+        rows = {r.date: r.rate for r in series(result.model).collect()}
+        assert len(rows) == 181 and rows[LAST] == pytest.approx(want[measure])
+
+
 def test_constraints_and_summary(run):
     result = run[3]
     assert result.constraints().where("issues <> 0").count() == 0
