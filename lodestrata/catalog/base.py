@@ -27,13 +27,15 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 
 
 class Sample:
-    """The sample tables of one folder."""
+    """The sample tables of one folder; each is opened once."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        table = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def day(column: str | Column) -> Column:

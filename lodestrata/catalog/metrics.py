@@ -108,7 +108,7 @@ _OCCUPANCY = """
     FROM exposure e LEFT JOIN hits h ON h.n_name = e.n_name AND h.segment = e.segment
 """)
 def rate_by_two_keys(spark: SparkSession, root: str) -> DataFrame:
-    model = sample_model(spark, root)
+    model = sample_model(spark, root, "user_day", "error")
     keys = ["nation_key", "segment"]
     exposure = model["user_day"].groupBy(*keys).agg(F.count("*").alias("day_count"))
     hits = model["error"].groupBy(*keys).agg(F.sum("error_count").alias("error_count"))
@@ -130,7 +130,7 @@ def rate_by_two_keys(spark: SparkSession, root: str) -> DataFrame:
     GROUP BY n_name
 """)
 def latest_period_ratio(spark: SparkSession, root: str) -> DataFrame:
-    return evaluate(sample_model(spark, root), {"ratio": OCCUPANCY}, ("dim_nation.n_name",))
+    return evaluate(sample_model(spark, root, "occupancy"), {"ratio": OCCUPANCY}, ("dim_nation.n_name",))
 
 
 @query("WITH" + _OCCUPANCY + """
@@ -141,7 +141,7 @@ def latest_period_ratio(spark: SparkSession, root: str) -> DataFrame:
     ORDER BY ratio DESC
 """)
 def latest_period_by_region(spark: SparkSession, root: str) -> DataFrame:
-    by_region = evaluate(sample_model(spark, root), {"ratio": OCCUPANCY}, ("dim_nation.r_name",))
+    by_region = evaluate(sample_model(spark, root, "occupancy"), {"ratio": OCCUPANCY}, ("dim_nation.r_name",))
     return by_region.orderBy(F.col("ratio").desc())
 
 
@@ -152,7 +152,7 @@ def latest_period_by_region(spark: SparkSession, root: str) -> DataFrame:
     ORDER BY 1
 """)
 def ratio_by_period(spark: SparkSession, root: str) -> DataFrame:
-    per_month = sample_model(spark, root)["occupancy"].groupBy("month_start").agg(
+    per_month = sample_model(spark, root, "occupancy")["occupancy"].groupBy("month_start").agg(
         F.sum("occupied").alias("occupied"), F.sum("units").alias("units")
     )
     return per_month.select(
@@ -171,7 +171,7 @@ def ratio_by_period(spark: SparkSession, root: str) -> DataFrame:
     FROM days
 """)
 def trailing_rate(spark: SparkSession, root: str) -> DataFrame:
-    series = trailing_series(sample_model(spark, root), Rate(PURCHASERS, USER_DAYS, daily=True), "dim_date", WEEK)
+    series = trailing_series(sample_model(spark, root, "user_day", "purchase"), Rate(PURCHASERS, USER_DAYS, daily=True), "dim_date", WEEK)
     return series.withColumns({"date": iso("date"), "rate": F.round("rate", 6)})
 
 
@@ -184,7 +184,7 @@ def trailing_rate(spark: SparkSession, root: str) -> DataFrame:
 """)
 def trailing_rate_by_region(spark: SparkSession, root: str) -> DataFrame:
     rate = Rate(PURCHASERS, USER_DAYS, daily=True)
-    series = trailing_series(sample_model(spark, root), rate, "dim_date", WEEK, ("dim_nation.r_name",))
+    series = trailing_series(sample_model(spark, root, "user_day", "purchase"), rate, "dim_date", WEEK, ("dim_nation.r_name",))
     return series.select("r_name", iso("date").alias("date"), "event_count", "day_count")
 
 
@@ -204,7 +204,7 @@ def trailing_rate_by_region(spark: SparkSession, root: str) -> DataFrame:
     FROM rolled
 """)
 def rolling_incident_rate(spark: SparkSession, root: str) -> DataFrame:
-    series = trailing_series(sample_model(spark, root), ERROR_RATE, "dim_date", WEEK)
+    series = trailing_series(sample_model(spark, root, "user_day", "error"), ERROR_RATE, "dim_date", WEEK)
     return series.withColumns({"date": iso("date"), "rate": F.round("rate", 6)})
 
 
@@ -272,7 +272,7 @@ def top_n_with_ties(spark: SparkSession, root: str) -> DataFrame:
     GROUP BY ROLLUP (r_name)
 """)
 def matrix_with_total(spark: SparkSession, root: str) -> DataFrame:
-    model = sample_model(spark, root)
+    model = sample_model(spark, root, "user_day", "error")
     by = ["dim_nation.r_name"]
     region = F.col("`dim_nation.r_name`").alias("r_name")
     days = model.with_attributes("user_day", by).groupBy(region).agg(F.count("*").alias("day_count"))
@@ -306,7 +306,7 @@ _MATRIX_PARTS = """
 """)
 def entity_matrix(spark: SparkSession, root: str) -> DataFrame:
     measures = {"occupancy": OCCUPANCY, "trailing_rate": TRAILING_RATE, "error_rate": ERROR_RATE}
-    matrix = with_total_row(sample_model(spark, root), measures, "dim_nation.n_name", "dim_date")
+    matrix = with_total_row(sample_model(spark, root, "occupancy", "user_day", "purchase", "error"), measures, "dim_nation.n_name", "dim_date")
     return matrix.withColumns({name: F.round(name, 6) for name in ("occupancy", "trailing_rate", "error_rate")})
 
 
@@ -328,7 +328,7 @@ def kpi_card(spark: SparkSession, root: str) -> DataFrame:
         "rolling_rate": ROLLING_RATE,
         "purchasers": Total(PURCHASERS),
     }
-    card = evaluate(sample_model(spark, root), measures, calendar="dim_date")
+    card = evaluate(sample_model(spark, root, "occupancy", "user_day", "purchase", "error"), measures, calendar="dim_date")
     return card.withColumns({name: F.round(name, 6) for name in ("trailing_rate", "error_rate", "rolling_rate")})
 
 
@@ -340,7 +340,7 @@ def kpi_card(spark: SparkSession, root: str) -> DataFrame:
     GROUP BY u.segment
 """)
 def kpi_by_label(spark: SparkSession, root: str) -> DataFrame:
-    model = sample_model(spark, root).filtered({"dim_nation": F.col("r_name") == "EUROPE"})
+    model = sample_model(spark, root, "user_day", "error").filtered({"dim_nation": F.col("r_name") == "EUROPE"})
     rates = evaluate(model, {"rate": ERROR_RATE}, ("dim_segment.segment",))
     return rates.withColumn("rate", F.round("rate", 6))
 

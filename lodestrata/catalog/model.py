@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.catalog.base import Sample, day
 from lodestrata.operators.star import Relation, StarModel, dense_spine
-from lodestrata.operators.temporal import calendar_of
+from lodestrata.operators.temporal import calendar
 from lodestrata.plans.measures import Amount, Latest, Rate
 from lodestrata.sources.tables import mapping
 
@@ -41,8 +43,14 @@ def dim_nation(s: Sample) -> DataFrame:
     return named.select(F.col("n_nationkey").alias("nation_key"), "n_name", "r_name")
 
 
+def span(facts: DataFrame, moment: str) -> tuple[datetime.date, datetime.date]:
+    """First and last day of a fact, looked up once: a calendar is built from two dates, not from the fact."""
+    first, last = facts.agg(F.min(day(moment)), F.max(day(moment))).first()
+    return first, last
+
+
 def event_calendar(s: Sample) -> DataFrame:
-    return calendar_of(s.events.agg(F.min(day("ts")).alias("first"), F.max(day("ts")).alias("last")))
+    return calendar(s.spark, *span(s.events, "ts"))
 
 
 def _placed(s: Sample, facts: DataFrame) -> DataFrame:
@@ -70,8 +78,7 @@ def purchase_days(s: Sample) -> DataFrame:
 
 def monthly_occupancy(s: Sample) -> DataFrame:
     """Nation by month of the order calendar: customers ordering on the month's last day over suppliers."""
-    order_days = calendar_of(s.orders.agg(F.min(day("o_orderdate")).alias("first"), F.max(day("o_orderdate")).alias("last")))
-    months = order_days.select("month_start", "month_end").distinct()
+    months = calendar(s.spark, *span(s.orders, "o_orderdate")).select("month_start", "month_end").distinct()
 
     ordered = s.orders.select("o_custkey", day("o_orderdate").alias("month_end"))
     at_month_end = ordered.where(F.col("month_end") == F.last_day("month_end")).distinct()
@@ -86,17 +93,20 @@ def monthly_occupancy(s: Sample) -> DataFrame:
     )
 
 
-def sample_model(spark: SparkSession, root: str) -> StarModel:
+def sample_model(spark: SparkSession, root: str, *facts: str) -> StarModel:
+    """The dimensions with the named facts."""
     s = Sample(spark, root)
-    return StarModel(
-        {
-            "dim_nation": dim_nation(s),
-            "dim_segment": mapping(spark, SEGMENT_ORDER, "segment string, display_order int"),
-            "dim_date": event_calendar(s),
-            "user_day": _placed(s, user_days(s)),
-            "error": _placed(s, daily_errors(s)),
-            "purchase": _placed(s, purchase_days(s)),
-            "occupancy": monthly_occupancy(s),
-        },
-        RELATIONS,
-    )
+    build = {
+        "user_day": lambda: _placed(s, user_days(s)),
+        "error": lambda: _placed(s, daily_errors(s)),
+        "purchase": lambda: _placed(s, purchase_days(s)),
+        "occupancy": lambda: monthly_occupancy(s),
+    }
+    tables = {
+        "dim_nation": dim_nation(s),
+        "dim_segment": mapping(spark, SEGMENT_ORDER, "segment string, display_order int"),
+        **{name: build[name]() for name in facts},
+    }
+    if set(facts) - {"occupancy"}:
+        tables["dim_date"] = event_calendar(s)
+    return StarModel(tables, tuple(r for r in RELATIONS if {r.fact, r.dim} <= set(tables)))

@@ -8,10 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.catalog.base import Sample, day, iso, query
-from lodestrata.catalog.model import SEGMENT_ORDER, daily_errors, event_calendar, user_days
+from lodestrata.catalog.model import SEGMENT_ORDER, daily_errors, user_days
 from lodestrata.functions import join_text, outside_interval
 from lodestrata.operators.skew import join_unique
-from lodestrata.operators.temporal import as_of_join, collapse_stays, explode_interval
+from lodestrata.operators.temporal import (
+    as_of_join,
+    calendar_of,
+    collapse_stays,
+    daily_changes,
+    explode_interval,
+    explode_segments,
+    level_segments,
+)
 from lodestrata.sources.tables import mapping
 
 WINDOW = (datetime.date(2024, 1, 5), datetime.date(2024, 1, 25))
@@ -31,7 +39,8 @@ WINDOW = (datetime.date(2024, 1, 5), datetime.date(2024, 1, 25))
 def calendar_dim(spark: SparkSession, root: str) -> DataFrame:
     s = Sample(spark, root)
     counts = s.events.groupBy(day("ts").alias("date")).agg(F.count("*").alias("event_count"))
-    days = event_calendar(s).join(counts, "date", "left").fillna({"event_count": 0})
+    bounds = s.events.agg(F.min(day("ts")).alias("first"), F.max(day("ts")).alias("last"))
+    days = calendar_of(bounds).join(counts, "date", "left").fillna({"event_count": 0})
     return days.withColumns({name: iso(name) for name in ("date", "month_start", "month_end")})
 
 
@@ -206,3 +215,32 @@ def fact_event_enriched(spark: SparkSession, root: str) -> DataFrame:
     s = Sample(spark, root)
     errors = s.events.where(F.col("event_type") == "error").select("event_id", "user_id", day("ts").alias("date"), "value")
     return join_unique(errors, _levels(s), ["user_id", "date"], how="inner").withColumn("date", iso("date"))
+
+
+@query("WITH" + _STAYS + """
+    , days AS (SELECT CAST(unnest(generate_series(DATE '2024-01-05', DATE '2024-01-25', INTERVAL 1 DAY)) AS DATE) AS d),
+    stay_days AS (
+        SELECT user_id, last_move, d
+        FROM stays JOIN days ON (start_day IS NULL OR d >= start_day) AND (end_day IS NULL OR d <= end_day)
+    ), weekly AS (
+        SELECT user_id, CAST(date_trunc('week', ts) AS DATE) AS week, first(event_type ORDER BY ts, event_id) AS first_type
+        FROM events GROUP BY 1, 2
+    )
+    SELECT s.user_id, s.last_move, CAST(s.d AS VARCHAR) AS date,
+           coalesce((SELECT last(e.event_type ORDER BY e.ts, e.event_id) FROM events e
+                     WHERE e.user_id = s.user_id AND e.event_type = 'error' AND CAST(e.ts AS DATE) <= s.d),
+                    w.first_type) AS level
+    FROM stay_days s LEFT JOIN weekly w ON w.user_id = s.user_id AND w.week = CAST(date_trunc('week', s.d) AS DATE)
+""")
+def stay_day_levels(spark: SparkSession, root: str) -> DataFrame:
+    s = Sample(spark, root)
+    low, high = map(F.lit, WINDOW)
+    errors = s.events.where(F.col("event_type") == "error").select(
+        "user_id", "event_id", "event_type", "ts", day("ts").alias("changed")
+    )
+    changes = daily_changes(errors, "user_id", "changed", "event_type", ["ts", "event_id"], low)
+    weekly = s.events.groupBy("user_id", F.trunc(day("ts"), "week").alias("week")).agg(
+        F.min(F.struct("ts", "event_id", "event_type"))["event_type"].alias("first_type")
+    )
+    segments = level_segments(_stays(s), "user_id", "start_day", "end_day", changes, weekly, low, high, unit="week")
+    return explode_segments(segments).withColumn("date", iso("date"))

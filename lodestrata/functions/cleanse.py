@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 # cast that follows yields NULL: one regular expression per value instead of a test and a rewrite.
 # The zeros in the replacements pad short years to the four digits the cast asks for.
 _TIME = r"\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?"
-_YEAR_FIRST = rf"^(?:(\d{{1,4}})([-/ \\])(\d{{1,2}})\2(\d{{1,2}})(?:[T ]{_TIME})?\s*|[\s\S]*)$"
-_MONTH_FIRST = r"^(?:(\d{1,2})/(\d{1,2})/(\d{1,4})|[\s\S]*)$"
+YEAR_FIRST = rf"^(?:(\d{{1,4}})([-/ \\])(\d{{1,2}})\2(\d{{1,2}})(?:[T ]{_TIME})?\s*|[\s\S]*)$"
+MONTH_FIRST = r"^(?:(\d{1,2})/(\d{1,2})/(\d{1,4})|[\s\S]*)$"
 _MOMENT = (
     rf"^(?:(\d{{4}})([-/ \\])(\d{{1,2}})\2(\d{{1,2}})"
     rf"(?:[T ]({_TIME})\s*(?:Z|[+-]\d{{2}}(?::?\d{{2}})?)?)?\s*|[\s\S]*)$"
@@ -27,8 +27,8 @@ def blank_to_null(value: Column) -> Column:
 def parse_date(value: Column) -> Column:
     """Year-month-day text first, month/day/year second, NULL for anything else."""
     text = blank_to_null(value)
-    year_first = F.regexp_replace(text, _YEAR_FIRST, "000$1-$3-$4").try_cast("date")
-    month_first = F.regexp_replace(text, _MONTH_FIRST, "000$3-$1-$2").try_cast("date")
+    year_first = F.regexp_replace(text, YEAR_FIRST, "000$1-$3-$4").try_cast("date")
+    month_first = F.regexp_replace(text, MONTH_FIRST, "000$3-$1-$2").try_cast("date")
     return F.coalesce(year_first, month_first)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -29,7 +30,7 @@ def date_attributes(df: DataFrame, date: str = "date") -> DataFrame:
     )
 
 
-def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
+def calendar(spark: SparkSession, first: datetime.date | str, last: datetime.date | str) -> DataFrame:
     """One row per day of the inclusive range, with month fields."""
     bounds = spark.range(1).select(F.lit(first).cast("date").alias("first"), F.lit(last).cast("date").alias("last"))
     return calendar_of(bounds)

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestrata.functions.sql import register_functions
 from lodestrata.operators.quality import raise_on_issues, raise_on_mismatch, reconcile, run_checks, table_counts
 from lodestrata.operators.quarantine import rejection_summary
 from lodestrata.operators.star import StarModel
@@ -138,6 +139,8 @@ def load_silver(
     rejects = quarantine_tables(people, clean["yardi_units"], prospects, clean["pcc_incidents"])
     held = store.write_all("quarantine", {name: (lambda df=df: df) for name, df in rejects.items()})
     rejection_summary(held).createOrReplaceTempView("rejection_summary")
+    if store.catalog:
+        register_functions(store.spark, "silver")
     _gate(clean, expected.silver)
     _gate(held, expected.quarantine)
     return clean, held

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -32,3 +34,13 @@ def local_session(app: str = "lodestrata", cores: str = "*", partitions: int = 8
 def shared_folder(spark: SparkSession) -> str | None:
     """The checkpoint folder the cluster names, or None where it names none."""
     return spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A fresh folder name every executor can reach; a machine-local one only where there is one machine."""
+    base = shared_folder(spark)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
+        base = tempfile.gettempdir()
+    return f"{base.rstrip('/')}/lodestrata-{uuid.uuid4().hex}"

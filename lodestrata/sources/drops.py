@@ -51,7 +51,7 @@ def _headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], lis
         return tuple(spark.read.option("header", True).option("escape", '"').csv(path).columns)
 
     grouped: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    with ThreadPoolExecutor(max_workers=16) as pool:
+    with ThreadPoolExecutor(max_workers=32) as pool:
         for path, columns in zip(paths, pool.map(header, paths)):
             grouped[columns].append(path)
     return grouped
@@ -98,30 +98,33 @@ def read_drop(
     domain: str,
     period_pattern: str = PERIOD_PATTERN,
     required: tuple[str, ...] = (),
+    recursive: bool = False,
 ) -> DataFrame:
     """All files of a domain as strings, united by column name, with five lineage columns.
 
-    Columns a file lacks are NULL, and so are `required` columns that no file brings.
+    The period is matched in a file's whole path. Columns a file lacks are NULL, and so are `required`
+    columns that no file brings.
     """
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(root)
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    listing = listing.option("recursiveFileLookup", recursive).load(root)
     paths = sorted(row.path for row in listing.select("path").toLocalIterator())
     if not paths:
         raise FileNotFoundError(f"no file matches {pattern} under {root}")
 
     united: DataFrame | None = None
     for columns, same_header in sorted(_headers(spark, paths).items()):
-        part = _number_rows(_read_strings(spark, columns, same_header)).drop(*_SPLIT, "_position", "_first", "_before")
+        part = _number_rows(_read_strings(spark, columns, same_header)).drop("_block", "_position", "_first", "_before")
         united = part if united is None else united.unionByName(part, allowMissingColumns=True)
 
     for name in required:
         if name not in united.columns:
             united = united.withColumn(name, F.lit(None).cast("string"))
-    data = [name for name in united.columns if name not in LINEAGE]
+    data = [name for name in united.columns if name not in (*LINEAGE, "_path")]
     return united.select(
         *data,
         "_source_file",
         F.lit(domain).alias("_source_table"),
-        F.regexp_extract("_source_file", period_pattern, 1).alias("_source_month"),
+        F.regexp_extract("_path", period_pattern, 1).alias("_source_month"),
         "_row_number",
         F.current_timestamp().alias("_ingested_at_utc"),
     )

@@ -222,5 +222,6 @@ def test_catalog_tables(spark, run, tmp_path):
     base, *_ = run
     refresh(spark, str(base / "source"), str(tmp_path), None, config.Expectations(), catalog=True)
     assert spark.sql("select count(*) from gold.fact_lease l join gold.dim_community using (community_id)").first()[0] == 60
+    assert str(spark.sql("select silver.parse_date('3/7/2025')").first()[0]) == "2025-03-07"
     for layer in ("bronze", "silver", "quarantine", "gold"):
         spark.sql(f"drop database {layer} cascade")
