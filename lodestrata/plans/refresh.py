@@ -33,6 +33,9 @@ class Store:
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
+    def read(self, layer: str, name: str) -> DataFrame:
+        return self.spark.read.parquet(self.path(layer, name))
+
     def write(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         """Stores a table and returns the stored one, so later steps start from files and not from a long lineage."""
         table = None
@@ -40,7 +43,7 @@ class Store:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
             table = f"{layer}.{name}"
         publish(df, self.path(layer, name), table=table)
-        return self.spark.read.parquet(self.path(layer, name))
+        return self.read(layer, name)
 
     def write_all(self, layer: str, tables: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
         """Independent tables side by side, so that small ones do not leave a cluster idle."""
@@ -133,9 +136,10 @@ def load_silver(
             "adp_shifts": lambda: silver.shifts(bronze["adp_shifts"]),
             "gbp_reviews": lambda: silver.reviews(bronze["gbp_reviews"]),
             "hubspot_leads": lambda: silver.leads(prospects),
-            "pcc_incidents": lambda: silver.incidents(bronze["pcc_incidents"], silver.residents(people)),
         },
     )
+    stays = store.write("silver", "_resident_stays", silver.resident_stays(clean["pcc_residents"]))
+    clean["pcc_incidents"] = store.write("silver", "pcc_incidents", silver.incidents(bronze["pcc_incidents"], stays))
     rejects = quarantine_tables(people, clean["yardi_units"], prospects, clean["pcc_incidents"])
     held = store.write_all("quarantine", {name: (lambda df=df: df) for name, df in rejects.items()})
     rejection_summary(held).createOrReplaceTempView("rejection_summary")
@@ -149,6 +153,7 @@ def load_silver(
 def load_gold(store: Store, clean: dict[str, DataFrame], expected: config.Expectations) -> dict[str, DataFrame]:
     gold = gold_tables(
         store.spark,
+        store.read("silver", "_resident_stays"),
         clean["pcc_residents"],
         clean["pcc_care_history"],
         clean["yardi_units"],

@@ -20,7 +20,7 @@ from lodestrata.functions import (
     try_int,
 )
 from lodestrata.operators.dedupe import best_supported, latest_version, with_version_count
-from lodestrata.operators.skew import join_unique, ranked
+from lodestrata.operators.skew import ranked
 from lodestrata.operators.temporal import collapse_stays
 from lodestrata.plans import config
 from lodestrata.sources.drops import LINEAGE
@@ -192,8 +192,25 @@ def leads(candidates: DataFrame) -> DataFrame:
     return candidates.where(F.col("lead_version_count") == 1).drop("lead_version_count")
 
 
-def incidents(bronze: DataFrame, residents: DataFrame) -> DataFrame:
-    """Incidents beside the resident's stay, flagged when they fall outside it or there is none."""
+def resident_stays(residents: DataFrame) -> DataFrame:
+    """One stay per resident: first admission, last discharge, and the community last seen."""
+    return collapse_stays(
+        residents,
+        "resident_id",
+        "admit_date",
+        "discharge_date",
+        latest={"community_id": "community_id"},
+        at="snapshot_month",
+        tie=["_row_number"],
+    )
+
+
+def incidents(bronze: DataFrame, stays: DataFrame) -> DataFrame:
+    """Incidents beside the resident's stay, flagged when they fall outside it or there is none.
+
+    `stays` is a stored table: Spark knows its size and broadcasts it while small, and beyond that both
+    sides of the join are plain shuffles, which adaptive execution splits where one resident is hot.
+    """
     typed = bronze.select(
         *map(_key, ("incident_id", "resident_id", "community_id")),
         _date("incident_date"),
@@ -202,9 +219,7 @@ def incidents(bronze: DataFrame, residents: DataFrame) -> DataFrame:
         _text("reported_by"),
         *LINEAGE,
     )
-    known = residents.where(F.col("resident_id").isNotNull())
-    stays = collapse_stays(known, "resident_id", "admit_date", "discharge_date")
-    placed = join_unique(typed, stays, ["resident_id"])
+    placed = typed.join(stays.select("resident_id", "admit_date", "discharge_date"), "resident_id", "left")
     flag = outside_interval(F.col("incident_date"), F.col("admit_date"), F.col("discharge_date"))
     data = [name for name in typed.columns if name not in LINEAGE]
     return placed.select(*data, "admit_date", "discharge_date", *LINEAGE, flag.alias("outside_residency_flag"))

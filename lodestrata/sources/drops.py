@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 
@@ -14,6 +15,8 @@ from lodestrata.sources.tables import mapping
 PERIOD_PATTERN = r"([0-9]{4}_[0-9]{2})[.]csv$"
 LINEAGE = ("_source_file", "_source_table", "_source_month", "_row_number", "_ingested_at_utc")
 
+BROADCAST_SPLITS = 200_000  # rows of the split table, about 200 bytes each
+
 _SPLIT = ("_path", "_block")
 
 
@@ -76,17 +79,33 @@ def _read_strings(spark: SparkSession, columns: tuple[str, ...], paths: list[str
     )
 
 
-def _number_rows(rows: DataFrame) -> DataFrame:
+def _split_count(spark: SparkSession, lengths: list[int]) -> int:
+    """No fewer than the splits a scan of files of these lengths has."""
+
+    def size(key: str) -> int:
+        number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", spark.conf.get(key).strip().lower()).groups()
+        return int(number) << (10 * " kmgtp".index(unit or " "))
+
+    largest, smallest = size("spark.sql.files.maxPartitionBytes"), size("spark.sql.files.openCostInBytes")
+    per_core = sum(length + smallest for length in lengths) // spark.sparkContext.defaultParallelism
+    split = max(1, min(largest, max(smallest, per_core)))
+    return sum(1 + length // split for length in lengths)
+
+
+def _number_rows(rows: DataFrame, splits: int) -> DataFrame:
     """Ordinal of each row in its file, from its place in the file split and the rows of the splits before.
 
     Only one row per split is ever windowed, so a single huge file does not end up in one task. The
-    split table joins by size: broadcast while it is small, shuffled on (file, split) beyond that.
+    split table is broadcast while it is known to be small and the rows then stay where they were read;
+    beyond that they are shuffled on (file, split).
     """
-    splits = rows.groupBy(*_SPLIT).agg(F.min("_position").alias("_first"), F.count("*").alias("_rows"))
+    counted = rows.groupBy(*_SPLIT).agg(F.min("_position").alias("_first"), F.count("*").alias("_rows"))
     earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
+    offsets = counted.select(
         *_SPLIT, "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
     )
+    if splits <= BROADCAST_SPLITS:
+        offsets = F.broadcast(offsets)
     number = F.col("_position") - F.col("_first") + F.col("_before") + 1
     return rows.join(offsets, list(_SPLIT)).withColumn("_row_number", number)
 
@@ -107,13 +126,14 @@ def read_drop(
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     listing = listing.option("recursiveFileLookup", recursive).load(root)
-    paths = sorted(row.path for row in listing.select("path").toLocalIterator())
-    if not paths:
+    lengths = {row.path: row.length for row in listing.select("path", "length").toLocalIterator()}
+    if not lengths:
         raise FileNotFoundError(f"no file matches {pattern} under {root}")
 
     united: DataFrame | None = None
-    for columns, same_header in sorted(_headers(spark, paths).items()):
-        part = _number_rows(_read_strings(spark, columns, same_header)).drop("_block", "_position", "_first", "_before")
+    for columns, same_header in sorted(_headers(spark, sorted(lengths)).items()):
+        splits = _split_count(spark, [lengths[path] for path in same_header])
+        part = _number_rows(_read_strings(spark, columns, same_header), splits).drop("_block", "_position", "_first", "_before")
         united = part if united is None else united.unionByName(part, allowMissingColumns=True)
 
     for name in required:

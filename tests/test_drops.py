@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lodestrata.sources import drops
 from lodestrata.sources.drops import drop_manifest, manifest_issues, read_drop
 
 
@@ -31,7 +32,10 @@ def test_short_rows_quotes_and_missing_final_newline(spark, tmp_path):
     assert got == {"1": (None, None, 1), "2": ('a, "b"', "x", 2), "3": (None, "z", 3)}
 
 
-def test_row_numbers_run_through_a_split_file(spark, tmp_path):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_row_numbers_run_through_a_split_file(spark, tmp_path, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(drops, "BROADCAST_SPLITS", 0)
     for month, count in (("2025_01", 5000), ("2025_02", 3)):
         put(tmp_path, f"log_{month}.csv", "id,text\n" + "".join(f"{i},{'x' * (i % 37)}\n" for i in range(1, count + 1)))
     saved = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
@@ -39,6 +43,7 @@ def test_row_numbers_run_through_a_split_file(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
         spark.conf.set("spark.sql.files.openCostInBytes", "64")
         df = read_drop(spark, str(tmp_path), "log_*.csv", "log")
+        assert df.rdd.getNumPartitions() > 2
         assert df.count() == 5003
         assert df.where(F.col("_row_number") != F.col("id").cast("long")).count() == 0
     finally:
