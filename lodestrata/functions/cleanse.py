@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 # cast that follows yields NULL: one regular expression per value instead of a test and a rewrite.
 # The zeros in the replacements pad short years to the four digits the cast asks for.
 _TIME = r"\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?"
-YEAR_FIRST = rf"^(?:(\d{{1,4}})([-/ \\])(\d{{1,2}})\2(\d{{1,2}})(?:[T ]{_TIME})?\s*|[\s\S]*)$"
-MONTH_FIRST = r"^(?:(\d{1,2})/(\d{1,2})/(\d{1,4})|[\s\S]*)$"
+YEAR_FIRST = rf"^(?:(\d{{1,4}})([-/ \\])(\d{{1,2}})\2(\d{{1,2}})(?:[T ]{_TIME})?\s*|(?s:.*))$"
+MONTH_FIRST = r"^(?:(\d{1,2})/(\d{1,2})/(\d{1,4})|(?s:.*))$"
 _MOMENT = (
     rf"^(?:(\d{{4}})([-/ \\])(\d{{1,2}})\2(\d{{1,2}})"
-    rf"(?:[T ]({_TIME})\s*(?:Z|[+-]\d{{2}}(?::?\d{{2}})?)?)?\s*|[\s\S]*)$"
+    rf"(?:[T ]({_TIME})\s*(?:Z|[+-]\d{{2}}(?::?\d{{2}})?)?)?\s*|(?s:.*))$"
 )
 
 

@@ -54,6 +54,13 @@ DATES = {
     "003/17/2025": None,
     "3/17/2025 10:00": None,
     "03-17-2025": None,
+    "03/17/25": dt.date(25, 3, 17),
+    "03/07/25": dt.date(3, 7, 25),
+    "2025/3/7\t\t\t": dt.date(2025, 3, 7),
+    "2025-03-1T": None,
+    "2025-03-1x": None,
+    "2025-3-017": None,
+    "+025-03-17": None,
     "not-a-date": None,
     "": None,
     None: None,
