@@ -16,6 +16,7 @@ from lodestrata.operators.dedupe import (
     with_version_count,
 )
 from lodestrata.operators.quarantine import rejected, rejection_summary
+from lodestrata.sources.tables import with_row_id
 
 LINE_KEY = ("l_orderkey", "l_linenumber")
 
@@ -110,9 +111,9 @@ def best_supported_candidate(spark: SparkSession, root: str) -> DataFrame:
     GROUP BY versions, l_returnflag
 """)
 def version_counts(spark: SparkSession, root: str) -> DataFrame:
-    lines = Sample(spark, root).lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    lines = with_row_id(Sample(spark, root).lineitem.select("l_orderkey", "l_returnflag", "l_quantity"))
     return (
-        with_version_count(lines, ["l_orderkey"], "versions")
+        with_version_count(lines, ["l_orderkey"], "versions", spread=F.col("_row"))
         .groupBy("versions", "l_returnflag")
         .agg(F.count("*").alias("line_count"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
     )
@@ -140,8 +141,8 @@ def drop_conflicts(spark: SparkSession, root: str) -> DataFrame:
     QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1
 """)
 def quarantine_split(spark: SparkSession, root: str) -> DataFrame:
-    lines = Sample(spark, root).lineitem.select(*LINE_KEY, "l_partkey", "l_suppkey")
-    contending = conflicting_rows(lines, LINE_KEY, "version_count")
+    lines = with_row_id(Sample(spark, root).lineitem.select(*LINE_KEY, "l_partkey", "l_suppkey"))
+    contending = conflicting_rows(lines, LINE_KEY, "version_count", spread=F.col("_row")).drop("_row")
     reason = "Conflicting records share the same line"
     return rejected(contending, F.col("version_count") > 1, reason).drop("_quarantined_at_utc")
 

@@ -20,12 +20,14 @@ def latest_version(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def support(df: DataFrame, identity: dict[str, Column], name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def support(
+    df: DataFrame, identity: dict[str, Column], name: str, spread: Column | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Adds how many rows share the row's identity. NULL members of an identity match each other."""
     members = [f"_id_{k}" for k in identity]
     marked = df.withColumns(dict(zip(members, identity.values())))
     counts = marked.groupBy(*members).agg(F.count("*").alias(name))
-    return join_unique(marked, counts, members, rows=name, hot_rows=hot_rows).drop(*members)
+    return join_unique(marked, counts, members, rows=name, spread=spread, hot_rows=hot_rows).drop(*members)
 
 
 def best_supported(
@@ -37,10 +39,13 @@ def best_supported(
     bucket_rows: int = 1 << 20,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Candidates with support, rank within the entity (support first, then `tie`) and candidate count."""
+    """Candidates with support, rank within the entity (support first, then `tie`) and candidate count.
+
+    `tie` is a number that tells the rows of an entity apart, such as a row number or an id.
+    """
     supporting, rank, count = names
     return ranked(
-        support(df, identity, supporting, hot_rows),
+        support(df, identity, supporting, F.col(tie), hot_rows),
         entity,
         order=[F.col(supporting).desc(), F.col(tie).asc_nulls_last()],
         buckets=[(F.col(supporting), "desc"), (F.floor(F.col(tie) / F.lit(bucket_rows)), "asc")],
@@ -49,10 +54,12 @@ def best_supported(
     )
 
 
-def with_version_count(df: DataFrame, key: Sequence[str], name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_version_count(
+    df: DataFrame, key: Sequence[str], name: str, spread: Column | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Adds the number of rows that share the key."""
     counts = df.groupBy(*key).agg(F.count("*").alias(name))
-    return join_unique(df, counts, key, rows=name, hot_rows=hot_rows)
+    return join_unique(df, counts, key, rows=name, spread=spread, hot_rows=hot_rows)
 
 
 def unique_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -65,17 +72,23 @@ def unique_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return once.where(F.col("_n") == 1).select("_row.*")
 
 
-def conflicting_rows(df: DataFrame, key: Sequence[str], name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def conflicting_rows(
+    df: DataFrame, key: Sequence[str], name: str, spread: Column | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Every row of a repeated key, with the number of rows that share it."""
     repeated = df.groupBy(*key).agg(F.count("*").alias(name)).where(F.col(name) > 1)
-    return join_unique(df, repeated, key, how="inner", rows=name, hot_rows=hot_rows)
+    return join_unique(df, repeated, key, how="inner", rows=name, spread=spread, hot_rows=hot_rows)
 
 
 def drop_conflicts(
-    df: DataFrame, key: Sequence[str], name: str = "version_count", hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    key: Sequence[str],
+    name: str = "version_count",
+    spread: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows with a key of their own, rows that contend for one)."""
-    return unique_rows(df, key), conflicting_rows(df, key, name, hot_rows)
+    return unique_rows(df, key), conflicting_rows(df, key, name, spread, hot_rows)
 
 
 def surplus_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -180,7 +180,8 @@ def lead_candidates(bronze: DataFrame) -> DataFrame:
         *LINEAGE,
     )
     tour, deposit, move_in = F.col("tour_date"), F.col("deposit_date"), F.col("move_in_date")
-    return with_version_count(typed, ["lead_id"], "lead_version_count").withColumns(
+    line = F.struct("_source_file", "_row_number")
+    return with_version_count(typed, ["lead_id"], "lead_version_count", spread=line).withColumns(
         {
             "deposit_before_tour_flag": out_of_order(tour, deposit),
             "move_in_before_deposit_flag": out_of_order(deposit, move_in),

@@ -6,7 +6,7 @@ import re
 from collections import defaultdict
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,11 +47,21 @@ def manifest_issues(manifest: DataFrame, expected: dict[str, int]) -> DataFrame:
     )
 
 
-def _headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+def _reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    return (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+    )
+
+
+def _headers(spark: SparkSession, paths: list[str], multi_line: bool) -> dict[tuple[str, ...], list[str]]:
     """Paths grouped by their header line; one single-row read per file, run side by side."""
 
     def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).option("escape", '"').csv(path).columns)
+        return tuple(_reader(spark, multi_line).csv(path).columns)
 
     grouped: dict[tuple[str, ...], list[str]] = defaultdict(list)
     with ThreadPoolExecutor(max_workers=32) as pool:
@@ -60,16 +70,9 @@ def _headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], lis
     return grouped
 
 
-def _read_strings(spark: SparkSession, columns: tuple[str, ...], paths: list[str]) -> DataFrame:
+def _read_strings(spark: SparkSession, columns: tuple[str, ...], paths: list[str], multi_line: bool) -> DataFrame:
     schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("escape", '"')
-        .csv(paths)
-    )
+    rows = _reader(spark, multi_line).schema(schema).csv(paths)
     return rows.select(
         *(F.nullif(F.col(f"`{name}`"), F.lit("")).alias(name) for name in columns),
         F.col("_metadata.file_path").alias("_path"),
@@ -118,11 +121,13 @@ def read_drop(
     period_pattern: str = PERIOD_PATTERN,
     required: tuple[str, ...] = (),
     recursive: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """All files of a domain as strings, united by column name, with five lineage columns.
 
     The period is matched in a file's whole path. Columns a file lacks are NULL, and so are `required`
-    columns that no file brings.
+    columns that no file brings. `multi_line` allows line breaks inside quotes, at the price that a file
+    is then read by one task.
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     listing = listing.option("recursiveFileLookup", recursive).load(root)
@@ -131,9 +136,9 @@ def read_drop(
         raise FileNotFoundError(f"no file matches {pattern} under {root}")
 
     united: DataFrame | None = None
-    for columns, same_header in sorted(_headers(spark, sorted(lengths)).items()):
+    for columns, same_header in sorted(_headers(spark, sorted(lengths), multi_line).items()):
         splits = _split_count(spark, [lengths[path] for path in same_header])
-        part = _number_rows(_read_strings(spark, columns, same_header), splits).drop("_block", "_position", "_first", "_before")
+        part = _number_rows(_read_strings(spark, columns, same_header, multi_line), splits).drop("_block", "_position", "_first", "_before")
         united = part if united is None else united.unionByName(part, allowMissingColumns=True)
 
     for name in required:

@@ -32,6 +32,20 @@ def test_short_rows_quotes_and_missing_final_newline(spark, tmp_path):
     assert got == {"1": (None, None, 1), "2": ('a, "b"', "x", 2), "3": (None, "z", 3)}
 
 
+def test_line_ends_byte_order_mark_and_empty_files(spark, tmp_path):
+    (tmp_path / "pets_2025_01.csv").write_bytes("\ufeffid,name\r\n1,Zo\u00eb\r\n\r\n2,\r\n".encode())
+    put(tmp_path, "pets_2025_02.csv", "id,name\n")
+    put(tmp_path, "pets_2025_03.csv", "")
+    df = read_drop(spark, str(tmp_path), "pets_*.csv", "pets")
+    assert rows(df.fillna("-"), "id", "name", "_source_month", "_row_number") == [("1", "Zo\u00eb", "2025_01", 1), ("2", "-", "2025_01", 2)]
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    put(tmp_path, "pets_2025_01.csv", 'id,text\n1,"two\nlines"\n2,one\n')
+    df = read_drop(spark, str(tmp_path), "pets_*.csv", "pets", multi_line=True)
+    assert rows(df, "id", "text", "_row_number") == [("1", "two\nlines", 1), ("2", "one", 2)]
+
+
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_row_numbers_run_through_a_split_file(spark, tmp_path, monkeypatch, broadcast):
     if not broadcast:

@@ -39,6 +39,7 @@ def test_join_unique_spreads_copies_by_row_id(spark, rows):
     copies = rows.select("k", "grade").withColumn("id", F.monotonically_increasing_id())
     right = rows.groupBy("k").agg(F.count("*").alias("n"))
     got = join_unique(copies, right, ["k"], hot_rows=10, spread=F.col("id"))
+    assert content(got.drop("n", "id")) == content(rows.select("k", "grade"))
     assert got.count() == 600 and got.where("n is null").count() == 0
 
 
