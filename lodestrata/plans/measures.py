@@ -138,13 +138,20 @@ def _latest(model: StarModel, measure: Latest, by: Sequence[str], out: str) -> D
 def evaluate(
     model: StarModel, measures: Mapping[str, Measure], by: Sequence[str] = (), calendar: str | None = None
 ) -> DataFrame:
-    """One column per measure, one row per group of `by` ('dimension.column' paths), or one row in all."""
+    """One column per measure, one row per group of `by` ('dimension.column' paths), or one row in all.
+
+    Trailing windows end on the calendar's last day. For windows that end with each day or period, see
+    `trailing_series` and `at_period_ends`.
+    """
     wanted: dict[Amount, str] = {}
     for measure in measures.values():
         if not isinstance(measure, Latest):
             for amount in measure.amounts:
                 wanted.setdefault(amount, f"_a{len(wanted)}")
 
+    if any(amount.days for amount in wanted) and any(path.startswith(f"{calendar}.") for path in by):
+        raise ValueError("a trailing window is not grouped by its own calendar; use trailing_series")
+
     parts = [_latest(model, m, by, name) for name, m in measures.items() if isinstance(m, Latest)]
     for fact in dict.fromkeys(amount.fact for amount in wanted):
         of_fact = {name: amount for amount, name in wanted.items() if amount.fact == fact}
@@ -208,3 +215,9 @@ def trailing_series(
     if rate.daily:
         below = safe_ratio(below, F.col("dates_in_window"))
     return rolled.withColumn("rate", safe_ratio(F.col("event_count"), below, rate.scale))
+
+
+def at_period_ends(series: DataFrame, calendar: DataFrame, period: str = "month_start") -> DataFrame:
+    """The rows of a daily series that fall on the last calendar day of each period, with the period."""
+    ends = calendar.groupBy(period).agg(F.max("date").alias("date"))
+    return series.join(ends, "date")

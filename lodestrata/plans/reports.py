@@ -9,7 +9,16 @@ from lodestrata.functions import safe_ratio
 from lodestrata.operators.ranking import top_n_per_group, top_n_with_ties
 from lodestrata.operators.star import StarModel
 from lodestrata.plans import config
-from lodestrata.plans.measures import Amount, Latest, Rate, Total, evaluate, trailing_series, with_total_row
+from lodestrata.plans.measures import (
+    Amount,
+    Latest,
+    Rate,
+    Total,
+    at_period_ends,
+    evaluate,
+    trailing_series,
+    with_total_row,
+)
 
 RESIDENT_DAYS = Amount("fact_resident_day", "date", "resident_day_count")
 INCIDENTS = Amount("fact_incident", "incident_date")
@@ -123,6 +132,14 @@ def incident_rate_by_day(model: StarModel, by: tuple[str, ...] = ()) -> DataFram
     return trailing_series(model, INCIDENT_RATE, "dim_date", config.TRAILING_DAYS, by)
 
 
+def trailing_rates_by_month(model: StarModel, by: tuple[str, ...] = ()) -> DataFrame:
+    """Both trailing measures as they stood at the end of each month."""
+    group = [path.split(".")[1] for path in by]
+    moved = move_out_rate_by_day(model, by).select(*group, "date", F.col("rate").alias("move_out_rate"))
+    hurt = incident_rate_by_day(model, by).select(*group, "date", F.col("rate").alias("rolling_incident_rate"))
+    return at_period_ends(moved.join(hurt, [*group, "date"]), model["dim_date"])
+
+
 def occupancy_by_month(model: StarModel) -> DataFrame:
     return measures(model, ("current_occupancy",), ("dim_date.month_start",)).orderBy("month_start")
 

@@ -172,6 +172,17 @@ def test_measures_as_they_stood_each_day(run):
         assert len(rows) == 181 and rows[LAST] == pytest.approx(want[measure])
 
 
+def test_trailing_rates_by_month(run):
+    _, known, _, result = run
+    months = {r.month_start.month: r for r in reports.trailing_rates_by_month(result.model, ("dim_community.region",)).collect() if r.region == "South"}
+    want = window_measures(known, result, lambda c: c >= "C010")
+    assert len(months) == 6
+    for measure in ("move_out_rate", "rolling_incident_rate"):
+        assert months[6][measure] == pytest.approx(want[measure])
+    with pytest.raises(ValueError, match="trailing_series"):
+        reports.measures(result.model, by=("dim_date.month_start",))
+
+
 def test_constraints_and_summary(run):
     result = run[3]
     assert result.constraints().where("issues <> 0").count() == 0
