@@ -231,7 +231,8 @@ def regex_validity_flag(spark: SparkSession, root: str) -> DataFrame:
     SELECT o_orderpriority,
            count(*) AS order_count,
            count(CASE WHEN o_orderpriority <> '5-LOW' THEN 1 END) AS money_count,
-           CAST(coalesce(sum(CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_totalprice AS DECIMAL(12, 2)) END), 0) AS DOUBLE) AS money_sum,
+           CAST(coalesce(sum(CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_totalprice AS DECIMAL(12, 2)) END), 0)
+                AS DOUBLE) AS money_sum,
            count(CASE WHEN o_orderpriority <> '1-URGENT' THEN 1 END) AS moment_count,
            CAST(sum(CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN 0 WHEN '3-MEDIUM' THEN 4
                     ELSE CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END) AS BIGINT) AS rating_sum,

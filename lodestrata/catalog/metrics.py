@@ -171,7 +171,8 @@ def ratio_by_period(spark: SparkSession, root: str) -> DataFrame:
     FROM days
 """)
 def trailing_rate(spark: SparkSession, root: str) -> DataFrame:
-    series = trailing_series(sample_model(spark, root, "user_day", "purchase"), Rate(PURCHASERS, USER_DAYS, daily=True), "dim_date", WEEK)
+    rate = Rate(PURCHASERS, USER_DAYS, daily=True)
+    series = trailing_series(sample_model(spark, root, "user_day", "purchase"), rate, "dim_date", WEEK)
     return series.withColumns({"date": iso("date"), "rate": F.round("rate", 6)})
 
 
@@ -194,8 +195,8 @@ def trailing_rate_by_region(spark: SparkSession, root: str) -> DataFrame:
                (SELECT count(*) FROM user_day u WHERE u.d = days.d) AS users
         FROM days
     ), rolled AS (
-        SELECT d, CAST(sum(errors) OVER last_week AS BIGINT) AS event_count, CAST(sum(users) OVER last_week AS BIGINT) AS day_count,
-               count(*) OVER last_week AS dates_in_window
+        SELECT d, CAST(sum(errors) OVER last_week AS BIGINT) AS event_count,
+               CAST(sum(users) OVER last_week AS BIGINT) AS day_count, count(*) OVER last_week AS dates_in_window
         FROM daily
         WINDOW last_week AS (ORDER BY d RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)
     )
@@ -306,7 +307,8 @@ _MATRIX_PARTS = """
 """)
 def entity_matrix(spark: SparkSession, root: str) -> DataFrame:
     measures = {"occupancy": OCCUPANCY, "trailing_rate": TRAILING_RATE, "error_rate": ERROR_RATE}
-    matrix = with_total_row(sample_model(spark, root, "occupancy", "user_day", "purchase", "error"), measures, "dim_nation.n_name", "dim_date")
+    model = sample_model(spark, root, "occupancy", "user_day", "purchase", "error")
+    matrix = with_total_row(model, measures, "dim_nation.n_name", "dim_date")
     return matrix.withColumns({name: F.round(name, 6) for name in ("occupancy", "trailing_rate", "error_rate")})
 
 
@@ -328,7 +330,8 @@ def kpi_card(spark: SparkSession, root: str) -> DataFrame:
         "rolling_rate": ROLLING_RATE,
         "purchasers": Total(PURCHASERS),
     }
-    card = evaluate(sample_model(spark, root, "occupancy", "user_day", "purchase", "error"), measures, calendar="dim_date")
+    model = sample_model(spark, root, "occupancy", "user_day", "purchase", "error")
+    card = evaluate(model, measures, calendar="dim_date")
     return card.withColumns({name: F.round(name, 6) for name in ("trailing_rate", "error_rate", "rolling_rate")})
 
 

@@ -130,8 +130,10 @@ def grain_uniqueness(spark: SparkSession, root: str) -> DataFrame:
     UNION ALL SELECT 'customer', 'balance not negative', count(CASE WHEN c_acctbal < 0 THEN 1 END) FROM customer
     UNION ALL SELECT 'lineitem', 'quantity between 1 and 40', count(CASE WHEN l_quantity > 40 OR l_quantity < 1 THEN 1 END)
     FROM lineitem
-    UNION ALL SELECT 'lineitem', 'l_orderkey in orders', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
-    UNION ALL SELECT 'orders', 'o_custkey in customer', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+    UNION ALL SELECT 'lineitem', 'l_orderkey in orders', count(*) FROM lineitem
+              WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+    UNION ALL SELECT 'orders', 'o_custkey in customer', count(*) FROM orders
+              WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
 """)
 def not_null_and_check(spark: SparkSession, root: str) -> DataFrame:
     s = Sample(spark, root)

@@ -67,9 +67,9 @@ def unique_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
     One aggregate: each task forwards one row and a count per key, so no join back to the rows is needed.
     """
-    row = F.struct(*df.columns)
-    once = df.groupBy(key_of(key).alias("_key")).agg(F.count("*").alias("_n"), F.any_value(row).alias("_row"))
-    return once.where(F.col("_n") == 1).select("_row.*")
+    row = [F.any_value(name).alias(name) for name in df.columns]
+    once = df.groupBy(key_of(key).alias("_key")).agg(F.count("*").alias("_n"), *row)
+    return once.where(F.col("_n") == 1).select(*df.columns)
 
 
 def conflicting_rows(

@@ -158,16 +158,16 @@ def level_segments(
     ).where(F.col("_first") <= F.col("_last"))
 
     # A period's first day starts a segment whether or not there is news on it: a snapshot ends with its period.
-    first_period = F.trunc("_first", unit)
-    last_period = F.trunc("_last", unit)
     step = F.expr({"MM": "interval 1 month", "week": "interval 7 days"}[unit])
     empty = F.lit(None).cast(changes.schema[c_value].dataType)
-    starts = clipped.select(
-        F.col(key), F.explode(F.sequence(first_period, last_period, step)).alias("_day"), empty.alias("_change"), empty.alias("_shot")
-    )
-    news = changes.select(F.col(c_key).alias(key), F.col(c_day).alias("_day"), F.col(c_value).alias("_change"), empty.alias("_shot"))
-    shots = snapshots.select(F.col(s_key).alias(key), F.col(s_day).alias("_day"), empty.alias("_change"), F.col(s_value).alias("_shot"))
+    period_starts = F.sequence(F.trunc("_first", unit), F.trunc("_last", unit), step)
+
+    def points_of(day: Column, change: Column = empty, shot: Column = empty) -> list[Column]:
+        return [day.alias("_day"), change.alias("_change"), shot.alias("_shot")]
 
+    starts = clipped.select(F.col(key), *points_of(F.explode(period_starts)))
+    news = changes.select(F.col(c_key).alias(key), *points_of(F.col(c_day), change=F.col(c_value)))
+    shots = snapshots.select(F.col(s_key).alias(key), *points_of(F.col(s_day), shot=F.col(s_value)))
     points = (
         starts.unionByName(news.where(F.col(key).isNotNull()))
         .unionByName(shots.where(F.col(key).isNotNull()))
@@ -176,7 +176,8 @@ def level_segments(
     )
     line = Window.partitionBy(key).orderBy("_day")
     so_far = line.rowsBetween(Window.unboundedPreceding, 0)
-    shot = F.when(F.col("_shot").isNotNull(), F.struct(F.trunc("_day", unit).alias("period"), F.col("_shot").alias("value")))
+    dated_shot = F.struct(F.trunc("_day", unit).alias("period"), F.col("_shot").alias("value"))
+    shot = F.when(F.col("_shot").isNotNull(), dated_shot)
     segments = points.select(
         F.col(key).alias("_owner"),
         "_day",

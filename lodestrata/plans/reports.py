@@ -19,6 +19,7 @@ from lodestrata.plans.measures import (
     trailing_series,
     with_total_row,
 )
+from lodestrata.sources.tables import published_view
 
 RESIDENT_DAYS = Amount("fact_resident_day", "date", "resident_day_count")
 INCIDENTS = Amount("fact_incident", "incident_date")
@@ -171,6 +172,11 @@ def community_list(model: StarModel) -> DataFrame:
     return model["dim_community"].select("community_name").distinct().orderBy("community_name")
 
 
+def published_tables(model: StarModel) -> dict[str, DataFrame]:
+    """Every table without resident, lease and unit identifiers and without implementation flags."""
+    return {name: published_view(model[name], columns) for name, columns in config.PUBLISHED_COLUMNS.items()}
+
+
 def slicer(model: StarModel, region: str | None = None, community: str | None = None) -> StarModel:
     """Model under a region and/or community selection."""
     chosen = F.lit(True)

@@ -1,5 +1,5 @@
 from lodestrata.sources.drops import drop_manifest, manifest_issues, read_drop
-from lodestrata.sources.tables import mapping, publish, published_view, read_model, read_table, with_row_id
+from lodestrata.sources.tables import mapping, publish, published_view, read_model, with_row_id
 
 __all__ = [
     "drop_manifest",
@@ -9,6 +9,5 @@ __all__ = [
     "published_view",
     "read_drop",
     "read_model",
-    "read_table",
     "with_row_id",
 ]

@@ -138,7 +138,8 @@ def read_drop(
     united: DataFrame | None = None
     for columns, same_header in sorted(_headers(spark, sorted(lengths), multi_line).items()):
         splits = _split_count(spark, [lengths[path] for path in same_header])
-        part = _number_rows(_read_strings(spark, columns, same_header, multi_line), splits).drop("_block", "_position", "_first", "_before")
+        numbered = _number_rows(_read_strings(spark, columns, same_header, multi_line), splits)
+        part = numbered.drop("_block", "_position", "_first", "_before")
         united = part if united is None else united.unionByName(part, allowMissingColumns=True)
 
     for name in required:

@@ -183,6 +183,11 @@ def test_trailing_rates_by_month(run):
         reports.measures(result.model, by=("dim_date.month_start",))
 
 
+def test_published_tables_hide_identifiers(run):
+    for name, df in reports.published_tables(run[3].model).items():
+        assert not {"resident_id", "lease_id", "unit_id", "incident_id"} & set(df.columns), name
+
+
 def test_constraints_and_summary(run):
     result = run[3]
     assert result.constraints().where("issues <> 0").count() == 0
