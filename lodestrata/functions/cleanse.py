@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 # Each pattern has a catch-all branch, so a text that is no date is rewritten to dashes and the
 # cast that follows yields NULL: one regular expression per value instead of a test and a rewrite.
 # The zeros in the replacements pad short years to the four digits the cast asks for.
-_TIME = r"\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,9})?)?"
-YEAR_FIRST = rf"^(?:(\d{{1,4}})([-/ \\])(\d{{1,2}})\2(\d{{1,2}})(?:[T ]{_TIME})?\s*|(?s:.*))$"
-MONTH_FIRST = r"^(?:(\d{1,2})/(\d{1,2})/(\d{1,4})|(?s:.*))$"
+_TIME = r"(?:[01]?\d|2[0-4]):[0-5]?\d(?::[0-5]?\d(?:\.\d{1,9})?)?"
+_ZONE = r"\s*(?:Z|[+-]\d{2}(?::?\d{2})?)?"
+YEAR_FIRST = rf"^(?:\s*(\d{{1,4}})([-/ \\])(\d{{1,2}})\2(\d{{1,2}})(?:[T ]{_TIME}{_ZONE})?\s*|(?s:.*))$"
+MONTH_FIRST = r"^(?:\s*(\d{1,2})/(\d{1,2})/(\d{1,4})\s*|(?s:.*))$"
 _MOMENT = (
-    rf"^(?:(\d{{4}})([-/ \\])(\d{{1,2}})\2(\d{{1,2}})"
-    rf"(?:[T ]({_TIME})\s*(?:Z|[+-]\d{{2}}(?::?\d{{2}})?)?)?\s*|(?s:.*))$"
+    rf"^(?:\s*(\d{{4}})([-/ \\])(\d{{1,2}})\2(\d{{1,2}})"
+    rf"(?:[T ]({_TIME}){_ZONE})?\s*|(?s:.*))$"
 )
 
 

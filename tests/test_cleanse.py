@@ -57,6 +57,10 @@ DATES = {
     "03/17/25": dt.date(25, 3, 17),
     "03/07/25": dt.date(3, 7, 25),
     "2025/3/7\t\t\t": dt.date(2025, 3, 7),
+    "2025-03-17 10:00:00 +02": dt.date(2025, 3, 17),
+    "2025-03-17 10:61:00": None,
+    "\t2025-03-17": dt.date(2025, 3, 17),
+    "\t3/17/2025": dt.date(2025, 3, 17),
     "2025-03-1T": None,
     "2025-03-1x": None,
     "2025-3-017": None,
