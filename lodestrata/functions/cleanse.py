@@ -89,9 +89,15 @@ def safe_ratio(numerator: Column, denominator: Column, scale: float = 1.0, digit
 
 
 def parse_keyed_value(text: Column, key: Column, as_type: str = "decimal(10,2)") -> Column:
-    """Value stored under a per-row key in dictionary-looking text. The text is only ever parsed."""
-    document = F.from_json(F.replace(text, F.lit("'"), F.lit('"')), "map<string,string>")
-    return F.try_element_at(document, F.trim(key)).try_cast(as_type)
+    """Value stored under a per-row key in dictionary-looking text. The text is only ever parsed.
+
+    It is read as the one element of an array, because a parser that stops after the first document
+    would accept anything that follows it. A comma before the closing brace is tolerated.
+    """
+    document = F.regexp_replace(F.replace(text, F.lit("'"), F.lit('"')), r",\s*}\s*$", "}")
+    elements = F.from_json(F.concat(F.lit("["), document, F.lit("]")), "array<map<string,string>>")
+    only = F.transform(F.array(elements), lambda found: F.when(F.size(found) == 1, found[0]))[0]  # parses once
+    return F.try_element_at(only, F.trim(key)).try_cast(as_type)
 
 
 def join_text(*parts: Column) -> Column:

@@ -18,7 +18,10 @@ def _definitions() -> dict[str, tuple[str, str, str]]:
     """name -> (parameters, result type, expression)."""
     year_first = f"""try_cast(regexp_replace(nullif(trim(value), ''), r'{YEAR_FIRST}', '000$1-$3-$4') AS DATE)"""
     month_first = f"""try_cast(regexp_replace(nullif(trim(value), ''), r'{MONTH_FIRST}', '000$3-$1-$2') AS DATE)"""
-    stored = """try_element_at(from_json(replace(document, "'", '"'), 'map<string,string>'), trim(key))"""
+    document = """regexp_replace(replace(document, "'", '"'), r',\\s*}\\s*$', '}')"""
+    elements = f"from_json(concat('[', {document}, ']'), 'array<map<string,string>>')"
+    only = f"transform(array({elements}), found -> CASE WHEN size(found) = 1 THEN found[0] END)[0]"
+    stored = f"try_element_at({only}, trim(key))"
     return {
         "parse_date": ("value STRING", "DATE", f"coalesce({year_first}, {month_first})"),
         "normalize_care_level": (
