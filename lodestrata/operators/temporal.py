@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestrata.operators.skew import HOT_ROWS, join_unique
+from lodestrata.operators.skew import HOT_ROWS, join_unique, key_of
 
 
 def days_between(first: Column, last: Column) -> Column:
@@ -162,24 +162,22 @@ def level_segments(
     empty = F.lit(None).cast(changes.schema[c_value].dataType)
     period_starts = F.sequence(F.trunc("_first", unit), F.trunc("_last", unit), step)
 
-    def points_of(day: Column, change: Column = empty, shot: Column = empty) -> list[Column]:
-        return [day.alias("_day"), change.alias("_change"), shot.alias("_shot")]
-
-    starts = clipped.select(F.col(key), *points_of(F.explode(period_starts)))
-    news = changes.select(F.col(c_key).alias(key), *points_of(F.col(c_day), change=F.col(c_value)))
-    shots = snapshots.select(F.col(s_key).alias(key), *points_of(F.col(s_day), shot=F.col(s_value)))
-    points = (
-        starts.unionByName(news.where(F.col(key).isNotNull()))
-        .unionByName(shots.where(F.col(key).isNotNull()))
-        .groupBy(key, "_day")
-        .agg(F.max("_change").alias("_change"), F.max("_shot").alias("_shot"))
-    )
-    line = Window.partitionBy(key).orderBy("_day")
-    so_far = line.rowsBetween(Window.unboundedPreceding, 0)
+    def points_of(owner: str, day: Column, change: Column = empty, shot: Column = empty) -> list[Column]:
+        named = key_of([F.col(owner).alias(key)])
+        return [named.alias("_owner"), day.alias("_day"), change.alias("_change"), shot.alias("_shot")]
+
+    starts = clipped.select(*points_of(key, F.explode(period_starts)))
+    news = changes.where(F.col(c_key).isNotNull()).select(*points_of(c_key, F.col(c_day), change=F.col(c_value)))
+    shots = snapshots.where(F.col(s_key).isNotNull()).select(*points_of(s_key, F.col(s_day), shot=F.col(s_value)))
+
+    # Points of one day share a range frame, so all of them see its news; only the last of them is
+    # followed by a later day and yields a segment that is not empty.
+    line = Window.partitionBy("_owner").orderBy(F.unix_date("_day"))
+    so_far = line.rangeBetween(Window.unboundedPreceding, 0)
     dated_shot = F.struct(F.trunc("_day", unit).alias("period"), F.col("_shot").alias("value"))
     shot = F.when(F.col("_shot").isNotNull(), dated_shot)
-    segments = points.select(
-        F.col(key).alias("_owner"),
+    segments = starts.unionByName(news).unionByName(shots).select(
+        "_owner",
         "_day",
         F.lead("_day").over(line).alias("_next"),
         F.last("_change", ignorenulls=True).over(so_far).alias("_change"),
@@ -187,7 +185,8 @@ def level_segments(
     )
     in_period = F.when(F.col("_shot.period") == F.trunc("_day", unit), F.col("_shot.value"))
     return (
-        clipped.join(segments, F.col(key).eqNullSafe(F.col("_owner")))
+        clipped.withColumn("_owner", key_of([key]))
+        .join(segments, "_owner")
         .withColumns(
             {
                 "_from": F.greatest("_day", "_first"),
