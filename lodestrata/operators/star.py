@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,32 +21,45 @@ class Relation:
 
 @dataclass(frozen=True)
 class StarModel:
+    """Tables, their relations, and the dimension filters of the current context.
+
+    Filters are kept as predicates and applied where a table is read, so a measure can step out of one.
+    """
+
     tables: Mapping[str, DataFrame]
     relations: tuple[Relation, ...]
+    filters: Mapping[str, Column] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.tables[name]
-
-    def relation(self, fact: str, dim: str) -> Relation | None:
-        return next((r for r in self.relations if r.fact == fact and r.dim == dim), None)
+        return self.table(name)
+
+    def table(self, name: str, ignore: Sequence[str] = ()) -> DataFrame:
+        """A table in context: a dimension under its filter, a fact semi-joined to its filtered dimensions."""
+        table = self.tables[name]
+        if name in self.filters and name not in ignore:
+            table = table.where(self.filters[name])
+        for r in self.relations:
+            if r.fact == name and r.dim in self.filters and r.dim not in ignore:
+                keys = self.table(r.dim).select(F.col(r.dim_key).alias(r.fact_key))
+                table = table.join(keys, r.fact_key, "left_semi")
+        return table
 
     def filtered(self, predicates: Mapping[str, Column]) -> StarModel:
-        """Model under a filter context: each filtered dimension restricts its facts by a semi join."""
-        tables = dict(self.tables)
+        """Model under further dimension filters."""
+        filters = dict(self.filters)
         for dim, predicate in predicates.items():
-            tables[dim] = tables[dim].where(predicate)
-            for r in self.relations:
-                if r.dim == dim:
-                    keys = tables[dim].select(F.col(r.dim_key).alias(r.fact_key))
-                    tables[r.fact] = tables[r.fact].join(keys, r.fact_key, "left_semi")
-        return replace(self, tables=tables)
+            filters[dim] = filters[dim] & predicate if dim in filters else predicate
+        return replace(self, filters=filters)
+
+    def relation(self, fact: str, dim: str) -> Relation | None:
+        return next((r for r in self.relations if r.fact == fact and r.dim == dim), None)
 
-    def with_attributes(self, fact: str, columns: Sequence[str]) -> DataFrame:
-        """Fact rows with the named 'dimension.column' attributes.
+    def with_attributes(self, fact: str, columns: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
+        """Fact rows in context with the named 'dimension.column' attributes.
 
         Rows without a dimension row drop out, as they belong to no group of it.
         """
-        table = self.tables[fact]
+        table = self.table(fact, ignore)
         wanted: dict[str, list[str]] = {}
         for path in columns:
             dim, column = path.split(".")

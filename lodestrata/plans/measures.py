@@ -33,12 +33,12 @@ class Amount:
     def over(self, days: int) -> Amount:
         return Amount(self.fact, self.date, self.value, self.distinct, days)
 
-    def aggregate(self) -> Column:
+    def aggregate(self, flag: str | None = None) -> Column:
         value = F.expr(self.value)
         if self.distinct:
             value = F.when(F.col(self.date).isNotNull(), value)
-        if self.days is not None:
-            value = F.when(F.col(f"_last_{self.days}"), value)
+        if flag is not None:
+            value = F.when(F.col(flag), value)
         return F.count_distinct(value) if self.distinct else F.sum(value)
 
 
@@ -101,27 +101,41 @@ def _groups(by: Sequence[str]) -> list[Column]:
     return [F.col(f"`{path}`").alias(path.split(".")[1]) for path in by]
 
 
-def _window(calendar: DataFrame, days: int) -> tuple[Column, Column]:
-    end = calendar.agg(F.max("date")).scalar()
-    return F.date_sub(end, days - 1), end
+def _window(model: StarModel, calendar: str, days: int) -> DataFrame:
+    """The days that exist in the window ending on the last day in context, also those outside the context."""
+    end = model[calendar].agg(F.max("date")).scalar()
+    return model.tables[calendar].where(F.col("date").between(F.date_sub(end, days - 1), end)).select("date")
 
 
 def _amounts(
     model: StarModel, calendar: str | None, fact: str, amounts: Mapping[str, Amount], by: Sequence[str]
 ) -> DataFrame:
     """All amounts of one fact in one aggregate."""
-    table = model.with_attributes(fact, by)
-    lengths = {amount.days for amount in amounts.values()}
+    lengths = sorted({amount.days for amount in amounts.values() if amount.days is not None})
+    if not lengths:
+        table = model.with_attributes(fact, by)
+        return table.groupBy(*_groups(by)).agg(*(amount.aggregate().alias(name) for name, amount in amounts.items()))
+
+    # A window reaches back past a selection of dates, so dates are flagged here instead of filtered.
+    table = model.with_attributes(fact, by, ignore=(calendar,))
     date = next(iter(amounts.values())).date
-    for days in sorted(lengths - {None}):
-        first, last = _window(model[calendar], days)
-        if lengths == {days}:  # nothing needs the rest of the fact: let the scan skip it
-            table = table.where(F.col(date).between(first, last))
-        on_calendar = model[calendar].where(F.col("date").between(first, last)).select(
-            F.col("date").alias(date), F.lit(True).alias(f"_last_{days}")
-        )
-        table = table.join(on_calendar, date, "left")
-    return table.groupBy(*_groups(by)).agg(*(amount.aggregate().alias(name) for name, amount in amounts.items()))
+    spans = {f"_last_{days}": _window(model, calendar, days) for days in lengths}
+    everything = [amount for amount in amounts.values() if amount.days is None]
+    if everything and calendar in model.filters:
+        spans["_selected"] = model[calendar].select("date")
+    elif not everything:  # nothing needs the rest of the fact: let the scan skip it
+        end = model[calendar].agg(F.max("date")).scalar()
+        table = table.where(F.col(date).between(F.date_sub(end, lengths[-1] - 1), end))
+    for flag, days in spans.items():
+        table = table.join(days.select(F.col("date").alias(date), F.lit(True).alias(flag)), date, "left")
+
+    def flag_of(amount: Amount) -> str | None:
+        flag = "_selected" if amount.days is None else f"_last_{amount.days}"
+        return flag if flag in spans else None
+
+    return table.groupBy(*_groups(by)).agg(
+        *(amount.aggregate(flag_of(amount)).alias(name) for name, amount in amounts.items())
+    )
 
 
 def _latest(model: StarModel, measure: Latest, by: Sequence[str], out: str) -> DataFrame:
@@ -140,7 +154,7 @@ def evaluate(
 ) -> DataFrame:
     """One column per measure, one row per group of `by` ('dimension.column' paths), or one row in all.
 
-    Trailing windows end on the calendar's last day. For windows that end with each day or period, see
+    Trailing windows end on the last calendar day in context and are not cut by a selection of dates. For windows that end with each day or period, see
     `trailing_series` and `at_period_ends`.
     """
     wanted: dict[Amount, str] = {}
@@ -165,7 +179,7 @@ def evaluate(
         joined = one_row(*parts)
 
     dates = {
-        days: model[calendar].where(F.col("date").between(*_window(model[calendar], days))).agg(F.count("*")).scalar()
+        days: _window(model, calendar, days).agg(F.count("*")).scalar()
         for days in {amount.days for amount in wanted if amount.days is not None}
     }
     columns = {amount: F.col(name) for amount, name in wanted.items()}

@@ -1,5 +1,6 @@
 """The whole pipeline over synthetic drops against a day-by-day reading of the rules."""
 
+import datetime as dt
 from collections import Counter, defaultdict
 from dataclasses import replace
 
@@ -10,8 +11,9 @@ from lodestrata.operators.quality import QualityError, snapshot_hash
 from lodestrata.plans import config, reports
 from lodestrata.plans.refresh import import_gold, refresh
 from lodestrata.plans.silver import lease_candidates
-from tests.drops import LAST, expected_days, make_drops, month_bounds, seen_stays
+from tests.drops import FIRST, LAST, expected_days, make_drops, month_bounds, seen_stays
 
+ALL_DAYS = [FIRST + dt.timedelta(days=i) for i in range(181)]
 VOLATILE = ("_ingested_at_utc", "_quarantined_at_utc")
 
 
@@ -108,22 +110,37 @@ def test_incident_rate_report(run):
     assert got == {g: (incidents.get(g, 0), n, round(100 * incidents.get(g, 0) / n, 4)) for g, n in exposure.items()}
 
 
-def window_measures(known, result, keep=lambda community: True):
+def window_measures(known, result, keep=lambda community: True, selected=lambda day: True):
+    """The five measures, counted one by one; `selected` is a choice of dates."""
+    end = max(d for d in ALL_DAYS if selected(d))
     days = {k: v for k, v in expected_days(known).items() if keep(v[0])}
     incidents = [(r.incident_date, r.community_id) for r in result.gold["fact_incident"].collect() if keep(r.community_id)]
-    recent = [d for (_, d) in days if (LAST - d).days < 90]
+    window = [d for d in ALL_DAYS if 0 <= (end - d).days < 90]
+    recent = [d for (_, d) in days if d in window]
     leases = [when for _, community, when, _ in known["leases"] if keep(community)]
-    june = month_bounds("2025_06")[1]
     members = [c for c in (f"C{n:03d}" for n in range(1, 15)) if keep(c)]
+    last_month = max(d for d in ALL_DAYS if selected(d) and d.day == 1)
+    month_end = month_bounds(f"{last_month.year}_{last_month.month:02d}")[1]
+    chosen = [d for (_, d) in days if selected(d)]
     return {
-        "current_occupancy": sum(1 for (_, d) in days if d == june) / (5 * len(members)),
-        "move_out_rate": sum(1 for when in leases if (LAST - when).days < 90) / (len(recent) / 90),
-        "incident_rate": 100 * len(incidents) / len(days),
-        "rolling_incident_rate": 100 * sum(1 for d, _ in incidents if (LAST - d).days < 90) / len(recent),
-        "completed_move_outs": len(leases),
+        "current_occupancy": sum(1 for (_, d) in days if d == month_end) / (5 * len(members)),
+        "move_out_rate": sum(1 for when in leases if when in window) / (len(recent) / len(window)),
+        "incident_rate": 100 * sum(1 for d, _ in incidents if selected(d)) / len(chosen),
+        "rolling_incident_rate": 100 * sum(1 for d, _ in incidents if d in window) / len(recent),
+        "completed_move_outs": sum(1 for when in leases if selected(when)),
     }
 
 
+def test_a_selection_of_dates_moves_the_windows_but_does_not_cut_them(run):
+    _, known, _, result = run
+    march = result.model.filtered({"dim_date": F.col("month_number") == 3})
+    want = window_measures(known, result, selected=lambda d: d.month == 3)
+    assert reports.kpi_cards(march).first().asDict() == pytest.approx(want)
+    south = reports.slicer(march, region="South")
+    want = window_measures(known, result, lambda c: c >= "C010", lambda d: d.month == 3)
+    assert reports.kpi_cards(south).first().asDict() == pytest.approx(want)
+
+
 def test_kpi_cards(run):
     _, known, _, result = run
     assert reports.kpi_cards(result.model).first().asDict() == pytest.approx(window_measures(known, result))
