@@ -200,9 +200,9 @@ def with_total_row(
     return evaluate(model, measures, (by,), calendar).unionByName(total)
 
 
-def _daily(model: StarModel, amount: Amount, by: Sequence[str], out: str) -> DataFrame:
+def _daily(model: StarModel, calendar: str, amount: Amount, by: Sequence[str], out: str) -> DataFrame:
     return (
-        model.with_attributes(amount.fact, by)
+        model.with_attributes(amount.fact, by, ignore=(calendar,))
         .groupBy(*_groups(by), F.col(amount.date).alias("date"))
         .agg(amount.aggregate().alias(out))
     )
@@ -211,20 +211,22 @@ def _daily(model: StarModel, amount: Amount, by: Sequence[str], out: str) -> Dat
 def trailing_series(
     model: StarModel, rate: Rate, calendar: str, length: int, by: Sequence[str] = ()
 ) -> DataFrame:
-    """A rate over the trailing window at the end of every calendar day, with the amounts it is made of."""
+    """A rate over the trailing window at the end of every calendar day in context, with the amounts it is made of."""
     group = _names(by)
-    days = model[calendar]
-    daily = _daily(model, rate.denominator, by, "day_count")
+    days = model.tables[calendar]
+    daily = _daily(model, calendar, rate.denominator, by, "day_count")
     if not rate.numerator.distinct:
-        daily = daily.join(_daily(model, rate.numerator, by, "event_count"), [*group, "date"], "full")
+        daily = daily.join(_daily(model, calendar, rate.numerator, by, "event_count"), [*group, "date"], "full")
         rolled = trailing(daily, days, "date", length, ("event_count", "day_count"), group)
     else:
         groups = daily.select(*group).distinct() if group else None
-        rows = model.with_attributes(rate.numerator.fact, by).select(
+        rows = model.with_attributes(rate.numerator.fact, by, ignore=(calendar,)).select(
             *_groups(by), F.expr(rate.numerator.value).alias("_key"), F.col(rate.numerator.date).alias("date")
         )
         seen = trailing_distinct(rows, days, "_key", "date", length, "event_count", group, groups)
         rolled = trailing(daily, days, "date", length, ("day_count",), group, groups).join(seen, [*group, "date"])
+    if calendar in model.filters:
+        rolled = rolled.join(model[calendar].select("date"), "date", "left_semi")
     below = F.col("day_count")
     if rate.daily:
         below = safe_ratio(below, F.col("dates_in_window"))

@@ -136,6 +136,9 @@ def test_a_selection_of_dates_moves_the_windows_but_does_not_cut_them(run):
     march = result.model.filtered({"dim_date": F.col("month_number") == 3})
     want = window_measures(known, result, selected=lambda d: d.month == 3)
     assert reports.kpi_cards(march).first().asDict() == pytest.approx(want)
+    for series, measure in ((reports.move_out_rate_by_day, "move_out_rate"), (reports.incident_rate_by_day, "rolling_incident_rate")):
+        rows = {r.date: r.rate for r in series(march).collect()}
+        assert len(rows) == 31 and rows[max(rows)] == pytest.approx(want[measure])
     south = reports.slicer(march, region="South")
     want = window_measures(known, result, lambda c: c >= "C010", lambda d: d.month == 3)
     assert reports.kpi_cards(south).first().asDict() == pytest.approx(want)
