@@ -103,7 +103,7 @@ def _findings(bronze: dict[str, DataFrame], clean: dict[str, DataFrame], gold: d
 
 def load_bronze(store: Store, source: str, expected: config.Expectations) -> dict[str, DataFrame]:
     if expected.files:
-        manifest = drop_manifest(store.spark, source, {d.name: d.pattern for d in config.DOMAINS})
+        manifest = drop_manifest(store.spark, source, config.manifest_patterns())
         raise_on_mismatch(manifest_issues(manifest, dict(expected.files)).withColumnRenamed("domain", "name"))
     loads = {
         d.name: (lambda d=d: read_drop(store.spark, source, d.pattern, d.name, required=d.columns))

@@ -23,7 +23,7 @@ def run(spark, tmp_path_factory):
     (base / "source").mkdir()
     known = make_drops(base / "source")
     expected = config.Expectations(
-        files={d.name: 6 for d in config.DOMAINS},
+        files={d.name: 6 for d in config.DOMAINS} | {config.ALL_DROPS: 48, config.DICTIONARY: 0},
         silver={"yardi_leases": 60, "hubspot_leads": 72},
         quarantine={"resident_conflicts": known["conflicts"], "invalid_unit_communities": 6, "conflicting_leads": 3},
         gold={"dim_date": 181, "fact_occupancy_monthly": 84, "fact_resident_day": len(expected_days(known))},
@@ -242,6 +242,8 @@ def test_gates_stop_the_run(run, spark, tmp_path):
     base, _, expected, _ = run
     with pytest.raises(QualityError, match="pcc_residents: expected 7, found 6"):
         refresh(spark, str(base / "source"), str(tmp_path), None, replace(expected, files={"pcc_residents": 7}))
+    with pytest.raises(QualityError, match="data dictionary: expected 1, found 0"):
+        refresh(spark, str(base / "source"), str(tmp_path))
     with pytest.raises(QualityError, match="fact_lease: expected 1, found 60"):
         refresh(spark, str(base / "source"), str(tmp_path), str(tmp_path / "export"), replace(expected, gold={"fact_lease": 1}))
     assert not (tmp_path / "export").exists()
