@@ -14,7 +14,7 @@ from lodestrata.operators.quality import raise_on_issues, raise_on_mismatch, rec
 from lodestrata.operators.quarantine import rejection_summary
 from lodestrata.operators.star import StarModel
 from lodestrata.plans import config, silver
-from lodestrata.plans.gold import gold_gates, gold_model, gold_tables, schema_checks
+from lodestrata.plans.gold import base_tables, derived_tables, gold_gates, gold_model, schema_checks
 from lodestrata.plans.quarantine import quarantine_tables
 from lodestrata.sources.drops import drop_manifest, manifest_issues, read_drop
 from lodestrata.sources.tables import publish, read_model
@@ -151,16 +151,9 @@ def load_silver(
 
 
 def load_gold(store: Store, clean: dict[str, DataFrame], expected: config.Expectations) -> dict[str, DataFrame]:
-    gold = gold_tables(
-        store.spark,
-        store.read("silver", "_resident_stays"),
-        clean["pcc_residents"],
-        clean["pcc_care_history"],
-        clean["yardi_units"],
-        clean["yardi_leases"],
-        clean["pcc_incidents"],
-        write=lambda name, df: store.write("gold", name, df),
-    )
+    stays = store.read("silver", "_resident_stays")
+    gold = store.write_all("gold", base_tables(store.spark, clean, stays))
+    gold |= store.write_all("gold", derived_tables(gold, clean))
     _gate(gold, expected.gold)
     raise_on_issues(run_checks(gold, gold_gates()))
     return gold
