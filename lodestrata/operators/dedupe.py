@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestrata.operators.skew import HOT_ROWS, join_unique, key_of, ranked
+from lodestrata.operators.skew import join_unique, key_of, ranked
 
 
 def latest_version(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -21,7 +21,7 @@ def latest_version(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -
 
 
 def support(
-    df: DataFrame, identity: dict[str, Column], name: str, spread: Column | None = None, hot_rows: int = HOT_ROWS
+    df: DataFrame, identity: dict[str, Column], name: str, spread: Column | None = None, hot_rows: int | None = None
 ) -> DataFrame:
     """Adds how many rows share the row's identity. NULL members of an identity match each other."""
     members = [f"_id_{k}" for k in identity]
@@ -37,7 +37,7 @@ def best_supported(
     tie: str,
     names: tuple[str, str, str] = ("supporting_snapshot_count", "candidate_rank", "candidate_count"),
     bucket_rows: int = 1 << 20,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Candidates with support, rank within the entity (support first, then `tie`) and candidate count.
 
@@ -55,7 +55,7 @@ def best_supported(
 
 
 def with_version_count(
-    df: DataFrame, key: Sequence[str], name: str, spread: Column | None = None, hot_rows: int = HOT_ROWS
+    df: DataFrame, key: Sequence[str], name: str, spread: Column | None = None, hot_rows: int | None = None
 ) -> DataFrame:
     """Adds the number of rows that share the key."""
     counts = df.groupBy(*key).agg(F.count("*").alias(name))
@@ -73,7 +73,7 @@ def unique_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 
 def conflicting_rows(
-    df: DataFrame, key: Sequence[str], name: str, spread: Column | None = None, hot_rows: int = HOT_ROWS
+    df: DataFrame, key: Sequence[str], name: str, spread: Column | None = None, hot_rows: int | None = None
 ) -> DataFrame:
     """Every row of a repeated key, with the number of rows that share it."""
     repeated = df.groupBy(*key).agg(F.count("*").alias(name)).where(F.col(name) > 1)
@@ -85,7 +85,7 @@ def drop_conflicts(
     key: Sequence[str],
     name: str = "version_count",
     spread: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows with a key of their own, rows that contend for one)."""
     return unique_rows(df, key), conflicting_rows(df, key, name, spread, hot_rows)

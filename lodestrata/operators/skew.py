@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000  # rows of one key that a single task may hold
+HOT_ROWS_CONF = "spark.lodestrata.hotRows"
+HOT_ROWS = 1_000_000  # rows of one key that a single task may hold, unless the session says otherwise
 HOT_KEYS = 1 << 16  # at most this many keys are broadcast as hot
 
 
@@ -16,7 +17,11 @@ def key_of(columns: Sequence[str | Column]) -> Column:
     return F.struct(*columns)
 
 
-def hot_keys(counts: DataFrame, key: str, count: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_limit(df: DataFrame, hot_rows: int | None = None) -> int:
+    return hot_rows or int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
+
+
+def hot_keys(counts: DataFrame, key: str, count: str, hot_rows: int) -> DataFrame:
     """The largest keys of a (key, count) relation and the slices each is cut into.
 
     Never more than HOT_KEYS rows, so it is always safe to broadcast. A key that does not make the
@@ -38,7 +43,7 @@ def join_unique(
     how: str = "left",
     rows: str | None = None,
     spread: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Join many `left` rows to at most one `right` row per key; NULL keys match each other.
 
@@ -47,6 +52,7 @@ def join_unique(
     left keys are counted. `spread` must give the same value when a task is run again; the default
     hashes the whole row, so pass a row id where a hot key consists of exact copies.
     """
+    hot_rows = hot_limit(left, hot_rows)
     extra = [name for name in right.columns if name not in on]
     left = left.withColumn("_key", key_of(on))
     right = right.select(key_of(on).alias("_key"), *extra)

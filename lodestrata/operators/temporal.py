@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestrata.operators.skew import HOT_ROWS, join_unique, key_of
+from lodestrata.operators.skew import join_unique, key_of
 
 
 def days_between(first: Column, last: Column) -> Column:
@@ -102,7 +102,7 @@ def as_of_join(
     fallback: Column | None = None,
     floor: Column | None = None,
     unique: bool = True,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Adds the value of the latest change on or before the row's day, else `fallback`.
 

@@ -45,6 +45,23 @@ def test_query_agrees_with_its_sql(spark, oracle, name):
     assert table(df.columns, df.collect()) == table(columns, cursor.fetchall())
 
 
+SPREAD = ["candidate_ranks", "best_supported_candidate", "version_counts", "quarantine_split", "as_of_for_events", "fact_event_enriched"]
+
+
+@pytest.mark.parametrize("name", SPREAD)
+def test_every_key_may_be_hot(spark, oracle, name):
+    """The same answer with every key cut into slices, without broadcasts and without adaptive execution."""
+    settings = {"spark.lodestrata.hotRows": "3", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    saved = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        test_query_agrees_with_its_sql(spark, oracle, name)
+    finally:
+        for key, value in saved.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_queries_without_sql_return_rows(spark):
     for name in sorted(set(QUERIES) - set(ORACLES)):
         assert QUERIES[name](spark, str(ROOT)).count() > 0
