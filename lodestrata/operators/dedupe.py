@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestrata.operators.skew import join_unique, key_of, ranked
+from lodestrata.operators.skew import join_unique, ranked
 
 
 def latest_version(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -65,11 +65,11 @@ def with_version_count(
 def unique_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows whose key occurs once; every row of a repeated key is left out, exact copies too.
 
-    One aggregate: each task forwards one row and a count per key, so no join back to the rows is needed.
+    Two rows are enough to see that a key repeats, so each task forwards no more than two per key.
     """
-    row = [F.any_value(name).alias(name) for name in df.columns]
-    once = df.groupBy(key_of(key).alias("_key")).agg(F.count("*").alias("_n"), *row)
-    return once.where(F.col("_n") == 1).select(*df.columns)
+    group = Window.partitionBy(*key)
+    few = df.withColumn("_place", F.row_number().over(group.orderBy(*key))).where(F.col("_place") <= 2)
+    return few.withColumn("_n", F.count("*").over(group)).where(F.col("_n") == 1).drop("_place", "_n")
 
 
 def conflicting_rows(
