@@ -5,12 +5,11 @@ from pathlib import Path
 
 import pytest
 
-import __spark_entry__ as entry_module
+from lodestrata.catalog import QUERIES
 
 ROOT = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not ROOT.exists(), reason="sample tables are not here")
 
-QUERIES = entry_module.queries()
 COLUMNS = {"lineitem": 11, "orders": 6, "events": 6, "customer": 5}
 WHOLE_ROWS = {"snapshot_fingerprint"}  # hashes every column
 
