@@ -9,6 +9,7 @@ from lodestrata.catalog.base import Sample, day, iso, query
 from lodestrata.functions import out_of_order
 from lodestrata.operators.dedupe import (
     best_supported,
+    best_supported_one,
     conflicting_rows,
     latest_version,
     surplus_rows,
@@ -16,7 +17,7 @@ from lodestrata.operators.dedupe import (
     with_version_count,
 )
 from lodestrata.operators.quarantine import rejected, rejection_summary
-from lodestrata.sources.tables import with_row_id
+from lodestrata.operators.skew import ranked
 
 LINE_KEY = ("l_orderkey", "l_linenumber")
 
@@ -67,15 +68,12 @@ def latest_version_per_order(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _event_candidates(spark: SparkSession, root: str) -> DataFrame:
-    events = Sample(spark, root).events.select("event_id", "user_id", "event_type", day("ts").alias("event_day"))
-    return best_supported(
-        events,
-        ["user_id", "event_day"],
-        {"user": F.col("user_id"), "kind": F.lower("event_type")},
-        tie="event_id",
-        names=("support", "candidate_rank", "candidate_count"),
-    ).withColumn("event_day", iso("event_day"))
+def _events(spark: SparkSession, root: str) -> DataFrame:
+    return Sample(spark, root).events.select("event_id", "user_id", "event_type", day("ts").alias("event_day"))
+
+
+def _identity() -> dict:
+    return {"user": F.col("user_id"), "kind": F.lower("event_type")}
 
 
 _CANDIDATES = """
@@ -93,12 +91,36 @@ _CANDIDATES = """
 
 @query(_CANDIDATES + "SELECT * FROM candidates")
 def candidate_ranks(spark: SparkSession, root: str) -> DataFrame:
-    return _event_candidates(spark, root)
+    names = ("support", "candidate_rank", "candidate_count")
+    found = best_supported(_events(spark, root), ["user_id", "event_day"], _identity(), ["event_id"], names)
+    return found.withColumn("event_day", iso("event_day"))
 
 
 @query(_CANDIDATES + "SELECT * EXCLUDE (candidate_rank) FROM candidates WHERE candidate_rank = 1")
 def best_supported_candidate(spark: SparkSession, root: str) -> DataFrame:
-    return _event_candidates(spark, root).where(F.col("candidate_rank") == 1).drop("candidate_rank")
+    names = ("support", "candidate_count")
+    found = best_supported_one(_events(spark, root), ["user_id", "event_day"], _identity(), ["event_id"], names)
+    return found.withColumn("event_day", iso("event_day"))
+
+
+_HASHED = """
+    WITH candidates AS (
+        SELECT 'all' AS entity, md5(CAST(event_id AS VARCHAR)) AS code, value FROM events
+    )
+    SELECT entity, code, row_number() OVER (PARTITION BY entity ORDER BY value DESC, code) AS place,
+           count(*) OVER (PARTITION BY entity) AS size
+    FROM candidates
+"""
+
+
+@query(_HASHED)
+def hot_group_ranks(spark: SparkSession, root: str) -> DataFrame:
+    """All events as one group, told apart by a hash."""
+    events = Sample(spark, root).events.select(
+        F.lit("all").alias("entity"), F.md5(F.col("event_id").cast("string").cast("binary")).alias("code"), "value"
+    )
+    order = [F.col("value").desc_nulls_last(), F.col("code").asc()]
+    return ranked(events, ["entity"], order, rank="place", count="size").drop("value")
 
 
 @query("""
@@ -111,9 +133,9 @@ def best_supported_candidate(spark: SparkSession, root: str) -> DataFrame:
     GROUP BY versions, l_returnflag
 """)
 def version_counts(spark: SparkSession, root: str) -> DataFrame:
-    lines = with_row_id(Sample(spark, root).lineitem.select("l_orderkey", "l_returnflag", "l_quantity"))
+    lines = Sample(spark, root).lineitem.select("l_orderkey", "l_returnflag", "l_quantity")
     return (
-        with_version_count(lines, ["l_orderkey"], "versions", spread=F.col("_row"))
+        with_version_count(lines, ["l_orderkey"], "versions")
         .groupBy("versions", "l_returnflag")
         .agg(F.count("*").alias("line_count"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
     )
@@ -141,8 +163,8 @@ def drop_conflicts(spark: SparkSession, root: str) -> DataFrame:
     QUALIFY count(*) OVER (PARTITION BY l_orderkey, l_linenumber) > 1
 """)
 def quarantine_split(spark: SparkSession, root: str) -> DataFrame:
-    lines = with_row_id(Sample(spark, root).lineitem.select(*LINE_KEY, "l_partkey", "l_suppkey"))
-    contending = conflicting_rows(lines, LINE_KEY, "version_count", spread=F.col("_row")).drop("_row")
+    lines = Sample(spark, root).lineitem.select(*LINE_KEY, "l_partkey", "l_suppkey")
+    contending = conflicting_rows(lines, LINE_KEY, "version_count")
     reason = "Conflicting records share the same line"
     return rejected(contending, F.col("version_count") > 1, reason).drop("_quarantined_at_utc")
 

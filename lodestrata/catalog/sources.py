@@ -19,7 +19,9 @@ IN_FOLDER = r"period=([0-9]{4}_[0-9]{2})/"
            count(CASE WHEN o_orderstatus <> 'P' THEN 1 END) AS priority_count,
            CAST(sum(o_orderkey) AS BIGINT) AS key_sum,
            CAST(min(CAST(o_orderdate AS DATE)) AS VARCHAR) AS first_day,
-           true AS rows_numbered
+           true AS rows_numbered,
+           count(DISTINCT o_orderstatus = 'P') AS layout_count,
+           count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS padded_rows
     FROM orders
     GROUP BY 1
 """)
@@ -40,6 +42,8 @@ def csv_drop_lineage(spark: SparkSession, root: str) -> DataFrame:
     drop = read_drop(spark, folder, "*.csv", "orders", IN_FOLDER, recursive=True)
     per_file = drop.groupBy("_source_month", "_source_table", "_source_file").agg(
         F.count("*").alias("rows"),
+        F.count_if(F.col("priority").isNull()).alias("padded"),
+        F.collect_set(F.col("priority").isNull()).alias("layouts"),
         F.max("_row_number").alias("last"),
         F.sum("_row_number").alias("ordinals"),
         F.count(blank_to_null(F.col("priority"))).alias("priorities"),
@@ -53,6 +57,8 @@ def csv_drop_lineage(spark: SparkSession, root: str) -> DataFrame:
         F.sum("keys").alias("key_sum"),
         iso(F.min("first_day")).alias("first_day"),
         F.every(numbered).alias("rows_numbered"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("layouts")))).cast("long").alias("layout_count"),
+        F.sum("padded").alias("padded_rows"),
     )
 
 

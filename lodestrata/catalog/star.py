@@ -19,7 +19,8 @@ from lodestrata.operators.quality import (
     table_counts,
 )
 from lodestrata.operators.star import Relation, StarModel, orphan_count
-from lodestrata.sources.tables import published_view
+from lodestrata.session import scratch_folder
+from lodestrata.sources.tables import publish, published_view
 
 _SPINE = """
     months AS (
@@ -247,24 +248,37 @@ def published_columns(spark: SparkSession, root: str) -> DataFrame:
 
 
 @query("""
-    SELECT 'orders' AS name, count(*) AS row_count, true AS repeatable FROM orders
-    UNION ALL SELECT 'lineitem', count(*), true FROM lineitem
-    UNION ALL SELECT 'events', count(*), true FROM events
+    SELECT 'orders' AS name, count(*) AS row_count, true AS repeatable, true AS change_seen,
+           count(*) + count(o_orderkey) + count(o_totalprice) AS filled FROM orders
+    UNION ALL
+    SELECT 'events', count(*), true, true, count(*) + count(event_id) + count(value) FROM events
 """)
 def snapshot_fingerprint(spark: SparkSession, root: str) -> DataFrame:
+    """Two written runs, the second in another order, have one print; a run with one value moved to another column has not."""
     s = Sample(spark, root)
-    checked: DataFrame | None = None
-    tables = (("orders", "o_custkey", ()), ("lineitem", "l_partkey", ()), ("events", "event_id", ("props",)))
-    for name, key, volatile in tables:
-        table = getattr(s, name)
-        # The same rows in another order and with another volatile column give the same print.
-        again = table.repartition(key)
-        for column in volatile:
-            again = again.withColumn(column, F.lit("another run"))
-        both = snapshot_hash(table, volatile).unionAll(snapshot_hash(again, volatile))
-        line = both.agg(
+    folder = scratch_folder(spark)
+    tables = {
+        "orders": (s.orders.select("o_orderkey", "o_totalprice", F.lit(None).cast("double").alias("spare")), "o_totalprice"),
+        "events": (s.events.select("event_id", "value", F.lit(None).cast("double").alias("spare")), "value"),
+    }
+    lines = []
+    for name, (table, moved) in tables.items():
+        first = table.withColumn("at", F.lit("first run"))
+        again = table.withColumn("at", F.lit("second run")).sortWithinPartitions(F.col(moved).desc())
+        other = first.withColumns({moved: F.lit(None).cast("double"), "spare": F.col(moved)})
+        runs = []
+        for n, run in enumerate((first, again, other)):
+            publish(run, f"{folder}/{name}-{n}")
+            written = spark.read.parquet(f"{folder}/{name}-{n}")
+            runs.append(snapshot_hash(written, ("at",)).withColumn("run", F.lit(n)))
+        counted = spark.read.parquet(f"{folder}/{name}-0").drop("at")
+        values = counted.agg(sum((F.count(c) for c in counted.columns), F.count("*")).alias("filled"))
+        both = runs[0].unionAll(runs[1]).unionAll(runs[2]).unionByName(values, allowMissingColumns=True)
+        prints = both.agg(
             F.max("rows").alias("row_count"),
-            ((F.count_distinct("hash") == 1) & (F.count_distinct("rows") == 1)).alias("repeatable"),
-        ).select(F.lit(name).alias("name"), "row_count", "repeatable")
-        checked = line if checked is None else checked.unionAll(line)
-    return checked
+            (F.count_distinct(F.when(F.col("run") < 2, F.col("hash"))) == 1).alias("repeatable"),
+            (F.count_distinct("hash") == 2).alias("change_seen"),
+            F.max("filled").alias("filled"),
+        )
+        lines.append(prints.select(F.lit(name).alias("name"), "*"))
+    return lines[0].unionAll(lines[1])

@@ -20,46 +20,48 @@ def latest_version(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def support(
-    df: DataFrame, identity: dict[str, Column], name: str, spread: Column | None = None, hot_rows: int | None = None
-) -> DataFrame:
+def support(df: DataFrame, identity: dict[str, Column], name: str) -> DataFrame:
     """Adds how many rows share the row's identity. NULL members of an identity match each other."""
     members = [f"_id_{k}" for k in identity]
     marked = df.withColumns(dict(zip(members, identity.values())))
     counts = marked.groupBy(*members).agg(F.count("*").alias(name))
-    return join_unique(marked, counts, members, rows=name, spread=spread, hot_rows=hot_rows).drop(*members)
+    return join_unique(marked, counts, members).drop(*members)
 
 
 def best_supported(
     df: DataFrame,
     entity: Sequence[str],
     identity: dict[str, Column],
-    tie: str,
+    tie: Sequence[str],
     names: tuple[str, str, str] = ("supporting_snapshot_count", "candidate_rank", "candidate_count"),
-    bucket_rows: int = 1 << 20,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Candidates with support, rank within the entity (support first, then `tie`) and candidate count.
 
-    `tie` is a number that tells the rows of an entity apart, such as a row number or an id.
+    `tie` names columns that tell the rows of an entity apart, such as a row number and its file.
     """
     supporting, rank, count = names
-    return ranked(
-        support(df, identity, supporting, F.col(tie), hot_rows),
-        entity,
-        order=[F.col(supporting).desc(), F.col(tie).asc_nulls_last()],
-        buckets=[(F.col(supporting), "desc"), (F.floor(F.col(tie) / F.lit(bucket_rows)), "asc")],
-        rank=rank,
-        count=count,
-    )
+    return ranked(support(df, identity, supporting), entity, _support_order(supporting, tie), rank=rank, count=count)
 
 
-def with_version_count(
-    df: DataFrame, key: Sequence[str], name: str, spread: Column | None = None, hot_rows: int | None = None
+def best_supported_one(
+    df: DataFrame, entity: Sequence[str], identity: dict[str, Column], tie: Sequence[str], names: tuple[str, str]
 ) -> DataFrame:
+    """The first candidate of each entity by `best_supported`'s order, with its support and the candidate count.
+
+    The others are cut before the shuffle and never ranked.
+    """
+    supporting, count = names
+    first = latest_version(support(df, identity, supporting), entity, _support_order(supporting, tie))
+    return join_unique(first, df.groupBy(*entity).agg(F.count("*").alias(count)), entity)
+
+
+def _support_order(supporting: str, tie: Sequence[str]) -> list[Column]:
+    return [F.col(supporting).desc(), *(F.col(name).asc_nulls_last() for name in tie)]
+
+
+def with_version_count(df: DataFrame, key: Sequence[str], name: str) -> DataFrame:
     """Adds the number of rows that share the key."""
-    counts = df.groupBy(*key).agg(F.count("*").alias(name))
-    return join_unique(df, counts, key, rows=name, spread=spread, hot_rows=hot_rows)
+    return join_unique(df, df.groupBy(*key).agg(F.count("*").alias(name)), key)
 
 
 def unique_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -72,23 +74,15 @@ def unique_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return few.withColumn("_n", F.count("*").over(group)).where(F.col("_n") == 1).drop("_place", "_n")
 
 
-def conflicting_rows(
-    df: DataFrame, key: Sequence[str], name: str, spread: Column | None = None, hot_rows: int | None = None
-) -> DataFrame:
+def conflicting_rows(df: DataFrame, key: Sequence[str], name: str) -> DataFrame:
     """Every row of a repeated key, with the number of rows that share it."""
     repeated = df.groupBy(*key).agg(F.count("*").alias(name)).where(F.col(name) > 1)
-    return join_unique(df, repeated, key, how="inner", rows=name, spread=spread, hot_rows=hot_rows)
+    return join_unique(df, repeated, key, how="inner")
 
 
-def drop_conflicts(
-    df: DataFrame,
-    key: Sequence[str],
-    name: str = "version_count",
-    spread: Column | None = None,
-    hot_rows: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
+def drop_conflicts(df: DataFrame, key: Sequence[str], name: str = "version_count") -> tuple[DataFrame, DataFrame]:
     """(rows with a key of their own, rows that contend for one)."""
-    return unique_rows(df, key), conflicting_rows(df, key, name, spread, hot_rows)
+    return unique_rows(df, key), conflicting_rows(df, key, name)
 
 
 def surplus_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:

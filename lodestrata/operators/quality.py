@@ -132,7 +132,8 @@ def raise_on_mismatch(report: DataFrame) -> None:
 
 
 def snapshot_hash(df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:
-    """Row count and an order-free content hash, leaving out volatile columns."""
+    """Row count and an order-free content hash, leaving out volatile columns. NULLs count with their place."""
     columns = sorted(set(df.columns) - set(exclude))
-    digest = F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).cast("string")
+    members = [part for c in columns for part in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    digest = F.sum(F.xxhash64(*members).cast("decimal(38,0)")).cast("string")
     return df.agg(F.count("*").alias("rows"), F.coalesce(digest, F.lit("0")).alias("hash"))

@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_ROWS_CONF = "spark.lodestrata.hotRows"
-HOT_ROWS = 1_000_000  # rows of one key that a single task may hold, unless the session says otherwise
-HOT_KEYS = 1 << 16  # at most this many keys are broadcast as hot
+from lodestrata.session import scratch_folder
 
 
 def key_of(columns: Sequence[str | Column]) -> Column:
@@ -17,92 +15,51 @@ def key_of(columns: Sequence[str | Column]) -> Column:
     return F.struct(*columns)
 
 
-def hot_limit(df: DataFrame, hot_rows: int | None = None) -> int:
-    return hot_rows or int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(HOT_ROWS)))
-
-
-def hot_keys(counts: DataFrame, key: str, count: str, hot_rows: int) -> DataFrame:
-    """The largest keys of a (key, count) relation and the slices each is cut into.
-
-    Never more than HOT_KEYS rows, so it is always safe to broadcast. A key that does not make the
-    list has less than 1/HOT_KEYS of the rows and takes the ordinary shuffle. The counts must be exact:
-    the list is evaluated on both sides of a join and has to come out the same.
-    """
-    return (
-        counts.where(F.col(count) >= hot_rows)
-        .orderBy(F.col(count).desc(), key)
-        .limit(HOT_KEYS)
-        .select(key, F.ceil(F.col(count) / F.lit(hot_rows)).cast("int").alias("_slices"))
-    )
-
-
-def join_unique(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    rows: str | None = None,
-    spread: Column | None = None,
-    hot_rows: int | None = None,
-) -> DataFrame:
+def join_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join many `left` rows to at most one `right` row per key; NULL keys match each other.
 
-    Rows of a hot key are cut into slices by `spread`, and the one right row is copied to each slice.
-    `rows` names a column of `right` that holds the number of left rows of the key; without it the
-    left keys are counted. `spread` must give the same value when a task is run again; the default
-    hashes the whole row, so pass a row id where a hot key consists of exact copies.
+    A plain shuffle join: where a key holds a large share of the rows, adaptive execution splits its partition and
+    copies the one right row to every part.
     """
-    hot_rows = hot_limit(left, hot_rows)
     extra = [name for name in right.columns if name not in on]
-    left = left.withColumn("_key", key_of(on))
-    right = right.select(key_of(on).alias("_key"), *extra)
-    if rows is None:
-        hot = hot_keys(left.groupBy("_key").agg(F.count("*").alias("_n")), "_key", "_n", hot_rows)
-    else:
-        hot = hot_keys(right, "_key", rows, hot_rows)
-
-    row_hash = F.xxhash64(*(name for name in left.columns if name != "_key")) if spread is None else F.xxhash64(spread)
-    slice_of_row = F.coalesce(F.pmod(row_hash, F.col("_slices")).cast("int"), F.lit(0))
-    slices_of_key = F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)
-    sliced = left.join(F.broadcast(hot), "_key", "left").withColumn("_slice", slice_of_row).drop("_slices")
-    copied = right.join(F.broadcast(hot), "_key", "left").withColumn("_slice", F.explode(slices_of_key)).drop("_slices")
-    return sliced.join(copied, ["_key", "_slice"], how).drop("_key", "_slice")
+    keyed = right.select(key_of(on).alias("_key"), *extra)
+    return left.withColumn("_key", key_of(on)).join(keyed, "_key", how).drop("_key")
 
 
 def ranked(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    buckets: Sequence[tuple[Column, str]],
     rank: str = "rank",
     count: str = "count",
 ) -> DataFrame:
-    """row_number and group size over `keys`, with each group cut into ordered buckets.
+    """row_number and group size over `keys`, for groups of any size.
 
-    `buckets` are (column, 'asc' or 'desc') pairs that sort rows the same way as the head of `order`,
-    only coarser. A rank is the row's place in its bucket plus the rows of the buckets before, so a
-    task holds one bucket and never a whole group.
+    Rows are stored once, dealt by range on keys and order; a group that fills many partitions stands in them slice by
+    slice. A rank is the row's place in its slice plus the rows of the slices before, of which a group has no more
+    than there are partitions. `order` must tell the rows of a group apart.
     """
-    names = [f"_b{i}" for i in range(len(buckets))]
-    marked = df.withColumns({name: column for name, (column, _) in zip(names, buckets)})
-    marked = marked.withColumn("_bucket", key_of([*keys, *names]))
-
-    sizes = marked.groupBy("_bucket").agg(F.count("*").alias("_rows"))
-    group = Window.partitionBy(F.struct(*(F.col(f"_bucket.{name}") for name in keys)))
-    by_bucket = [
-        F.col(f"_bucket.{name}").desc_nulls_last() if way == "desc" else F.col(f"_bucket.{name}").asc_nulls_last()
-        for name, (_, way) in zip(names, buckets)
-    ]
-    earlier = group.orderBy(*by_bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_bucket",
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(group).alias(count),
+    spark = df.sparkSession
+    folder = scratch_folder(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id()
+    by_key = [F.col(name).asc_nulls_last() for name in keys]
+    (
+        df.repartitionByRange(parts, *by_key, *order)
+        .sortWithinPartitions(*by_key, *order)
+        .withColumn("_at", place.bitwiseAND(F.lit((1 << 33) - 1)))
+        .withColumn("_slice", F.shiftright(place, 33))
+        .write.parquet(folder)
+    )
+    rows = spark.read.parquet(folder).withColumn("_group", key_of(keys))
+    spans = rows.groupBy("_group", "_slice").agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    group = Window.partitionBy("_group")
+    before = F.sum("_rows").over(group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.select(
+        "_group", "_slice", "_first", F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_rows").over(group).alias(count)
     )
-    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
     return (
-        marked.withColumn("_place", place)
-        .join(offsets, "_bucket")
-        .withColumn(rank, F.col("_before") + F.col("_place"))
-        .drop("_bucket", "_place", "_before", *names)
+        rows.join(spans, ["_group", "_slice"])
+        .withColumn(rank, F.col("_before") + F.col("_at") - F.col("_first") + 1)
+        .drop("_group", "_slice", "_at", "_first", "_before")
     )

@@ -102,7 +102,6 @@ def as_of_join(
     fallback: Column | None = None,
     floor: Column | None = None,
     unique: bool = True,
-    hot_rows: int | None = None,
 ) -> DataFrame:
     """Adds the value of the latest change on or before the row's day, else `fallback`.
 
@@ -114,7 +113,7 @@ def as_of_join(
     if not unique:
         days = left.select(key, left_date).distinct()
         found = as_of_join(days, changes, key, left_date, change_date, value, "_as_of", tie, floor=floor)
-        filled = join_unique(left, found, [key, left_date], hot_rows=hot_rows)
+        filled = join_unique(left, found, [key, left_date])
         result = F.col("_as_of") if fallback is None else F.coalesce("_as_of", fallback)
         return filled.withColumn(out, result).drop("_as_of")
 

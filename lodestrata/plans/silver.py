@@ -25,8 +25,6 @@ from lodestrata.operators.temporal import collapse_stays
 from lodestrata.plans import config
 from lodestrata.sources.drops import LINEAGE
 
-BUCKET_ROWS = 1 << 20
-
 _SUPPORT = ("supporting_snapshot_count", "candidate_rank", "candidate_count")
 
 
@@ -72,7 +70,7 @@ def resident_candidates(bronze: DataFrame) -> DataFrame:
     )
     person = {name: F.col(name) for name in ("resident_id", "community_id", "dob", "gender", "admit_date")}
     person |= {name: F.lower(name) for name in ("first_name", "last_name")}
-    return best_supported(typed, ["resident_id", "snapshot_month"], person, "_row_number", _SUPPORT, BUCKET_ROWS)
+    return best_supported(typed, ["resident_id", "snapshot_month"], person, ["_row_number", "_source_file"], _SUPPORT)
 
 
 def residents(candidates: DataFrame) -> DataFrame:
@@ -113,6 +111,7 @@ def _lease_order() -> list[Column]:
         F.col("move_out_date").isNotNull().desc(),
         F.col("_source_month").desc_nulls_last(),
         F.col("_row_number").desc_nulls_last(),
+        F.col("_source_file").desc_nulls_last(),
     ]
 
 
@@ -127,11 +126,6 @@ def lease_candidates(bronze: DataFrame) -> DataFrame:
         typed_leases(bronze),
         ["lease_id"],
         _lease_order(),
-        [
-            (F.col("move_out_date").isNotNull(), "desc"),
-            (F.col("_source_month"), "desc"),
-            (F.floor(F.col("_row_number") / F.lit(BUCKET_ROWS)), "desc"),
-        ],
         rank="lease_rank",
         count="lease_version_count",
     )
@@ -180,8 +174,7 @@ def lead_candidates(bronze: DataFrame) -> DataFrame:
         *LINEAGE,
     )
     tour, deposit, move_in = F.col("tour_date"), F.col("deposit_date"), F.col("move_in_date")
-    line = F.struct("_source_file", "_row_number")
-    return with_version_count(typed, ["lead_id"], "lead_version_count", spread=line).withColumns(
+    return with_version_count(typed, ["lead_id"], "lead_version_count").withColumns(
         {
             "deposit_before_tour_flag": out_of_order(tour, deposit),
             "move_in_before_deposit_flag": out_of_order(deposit, move_in),

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-import re
+import csv
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestrata.session import scratch_folder
 from lodestrata.sources.tables import mapping
 
+# ---------------------------------------------------------------------------------------------
+# Fixed values. Results depend on them; they are data, not logic.
+# ---------------------------------------------------------------------------------------------
 PERIOD_PATTERN = r"([0-9]{4}_[0-9]{2})[.]csv$"
 LINEAGE = ("_source_file", "_source_table", "_source_month", "_row_number", "_ingested_at_utc")
-
-BROADCAST_SPLITS = 200_000  # rows of the split table, about 200 bytes each
+# ---------------------------------------------------------------------------------------------
 
 _SPLIT = ("_path", "_block")
 
@@ -50,23 +53,43 @@ def manifest_issues(manifest: DataFrame, expected: dict[str, int]) -> DataFrame:
 def _reader(spark: SparkSession, multi_line: bool) -> DataFrameReader:
     return (
         spark.read.option("header", True)
-        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("escape", '"')
         .option("multiLine", multi_line)
     )
 
 
-def _headers(spark: SparkSession, paths: list[str], multi_line: bool) -> dict[tuple[str, ...], list[str]]:
-    """Paths grouped by their header line; one single-row read per file, run side by side."""
+def _plain_path(path: str) -> str:
+    """One spelling of a local or remote path, whether a listing or a row names it."""
+    return unquote(path).replace(":///", ":/")
+
+
+def _column_names(line: str) -> tuple[str, ...]:
+    """The names in a header line; nameless ones are numbered, repeated ones (in any case) get their place added."""
+    names = next(csv.reader([line.removeprefix("\ufeff")]))
+    folded = [name.lower() for name in names]
+    return tuple(
+        f"_c{i}" if not name else f"{name}{i}" if folded.count(name.lower()) > 1 else name for i, name in enumerate(names)
+    )
 
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(_reader(spark, multi_line).csv(path).columns)
 
+def _headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Paths grouped by their header, the first line that is not blank; one job for all files. Empty files have none."""
+    lines = spark.read.text(paths).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    first = (
+        lines.where((F.col("block") == 0) & (F.trim("value") != ""))
+        .groupBy("path")
+        .agg(F.min_by("value", "place").alias("line"))
+    )
+    listed = {_plain_path(path): path for path in paths}
     grouped: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    with ThreadPoolExecutor(max_workers=32) as pool:
-        for path, columns in zip(paths, pool.map(header, paths)):
-            grouped[columns].append(path)
+    for row in first.toLocalIterator():
+        grouped[_column_names(row["line"])].append(listed[_plain_path(row["path"])])
     return grouped
 
 
@@ -82,33 +105,17 @@ def _read_strings(spark: SparkSession, columns: tuple[str, ...], paths: list[str
     )
 
 
-def _split_count(spark: SparkSession, lengths: list[int]) -> int:
-    """No fewer than the splits a scan of files of these lengths has."""
+def _number_rows(rows: DataFrame) -> DataFrame:
+    """Ordinal of each stored row in its file, from its place in the file split and the rows of the splits before.
 
-    def size(key: str) -> int:
-        number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", spark.conf.get(key).strip().lower()).groups()
-        return int(number) << (10 * " kmgtp".index(unit or " "))
-
-    largest, smallest = size("spark.sql.files.maxPartitionBytes"), size("spark.sql.files.openCostInBytes")
-    per_core = sum(length + smallest for length in lengths) // spark.sparkContext.defaultParallelism
-    split = max(1, min(largest, max(smallest, per_core)))
-    return sum(1 + length // split for length in lengths)
-
-
-def _number_rows(rows: DataFrame, splits: int) -> DataFrame:
-    """Ordinal of each row in its file, from its place in the file split and the rows of the splits before.
-
-    Only one row per split is ever windowed, so a single huge file does not end up in one task. The
-    split table is broadcast while it is known to be small and the rows then stay where they were read;
-    beyond that they are shuffled on (file, split).
+    Only one row per split is ever windowed, so a single huge file does not end up in one task. Rows and splits are
+    read from the same stored table: every row has its split, however the files were cut.
     """
     counted = rows.groupBy(*_SPLIT).agg(F.min("_position").alias("_first"), F.count("*").alias("_rows"))
     earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counted.select(
         *_SPLIT, "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
     )
-    if splits <= BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
     number = F.col("_position") - F.col("_first") + F.col("_before") + 1
     return rows.join(offsets, list(_SPLIT)).withColumn("_row_number", number)
 
@@ -126,20 +133,26 @@ def read_drop(
     """All files of a domain as strings, united by column name, with five lineage columns.
 
     The period is matched in a file's whole path. Columns a file lacks are NULL, and so are `required`
-    columns that no file brings. `multi_line` allows line breaks inside quotes, at the price that a file
-    is then read by one task.
+    columns that no file brings. `multi_line` allows line breaks inside quotes (not in the header), at the price that a
+    file is then read by one task. The rows are stored once in the shared folder and numbered from there.
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     listing = listing.option("recursiveFileLookup", recursive).load(root)
-    lengths = {row.path: row.length for row in listing.select("path", "length").toLocalIterator()}
-    if not lengths:
+    paths = sorted(row.path for row in listing.select("path").toLocalIterator())
+    if not paths:
         raise FileNotFoundError(f"no file matches {pattern} under {root}")
 
+    staged = scratch_folder(spark)
+
     united: DataFrame | None = None
-    for columns, same_header in sorted(_headers(spark, sorted(lengths), multi_line).items()):
-        splits = _split_count(spark, [lengths[path] for path in same_header])
-        numbered = _number_rows(_read_strings(spark, columns, same_header, multi_line), splits)
-        part = numbered.drop("_block", "_position", "_first", "_before")
+    for n, (columns, same_header) in enumerate(sorted(_headers(spark, paths).items()) or [((), [])]):
+        if columns:
+            read = _read_strings(spark, columns, sorted(same_header), multi_line)
+            read.write.parquet(f"{staged}/{n}")
+            rows = spark.read.schema(read.schema).parquet(f"{staged}/{n}")
+        else:  # no file has a header
+            rows = spark.createDataFrame([], "_path string, _source_file string, _block long, _position long")
+        part = _number_rows(rows).drop("_block", "_position", "_first", "_before")
         united = part if united is None else united.unionByName(part, allowMissingColumns=True)
 
     for name in required:
@@ -147,7 +160,7 @@ def read_drop(
             united = united.withColumn(name, F.lit(None).cast("string"))
     data = [name for name in united.columns if name not in (*LINEAGE, "_path")]
     return united.select(
-        *data,
+        *(F.col(f"`{name}`") for name in data),
         "_source_file",
         F.lit(domain).alias("_source_table"),
         F.regexp_extract("_path", period_pattern, 1).alias("_source_month"),

@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def with_row_id(df: DataFrame, name: str = "_row") -> DataFrame:
-    """Tells rows apart that are exact copies. Take it right on a scan, where a task that runs again counts the same."""
-    return df.withColumn(name, F.monotonically_increasing_id())
-
-
 def publish(
     df: DataFrame,
     path: str,

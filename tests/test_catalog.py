@@ -44,13 +44,13 @@ def test_query_agrees_with_its_sql(spark, oracle, name):
     assert table(df.columns, df.collect()) == table(columns, cursor.fetchall())
 
 
-SPREAD = ["candidate_ranks", "best_supported_candidate", "version_counts", "quarantine_split", "as_of_for_events", "fact_event_enriched"]
+SPREAD = ["candidate_ranks", "hot_group_ranks", "best_supported_candidate", "version_counts", "quarantine_split", "as_of_for_events", "fact_event_enriched"]
 
 
 @pytest.mark.parametrize("name", SPREAD)
-def test_every_key_may_be_hot(spark, oracle, name):
-    """The same answer with every key cut into slices, without broadcasts and without adaptive execution."""
-    settings = {"spark.lodestrata.hotRows": "3", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+def test_plain_shuffles_give_the_same(spark, oracle, name):
+    """The same answer without broadcasts and without adaptive execution."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     saved = {key: spark.conf.get(key, None) for key in settings}
     try:
         for key, value in settings.items():

@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lodestrata.sources import drops
 from lodestrata.sources.drops import drop_manifest, manifest_issues, read_drop
 
 
@@ -46,18 +45,18 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
     assert rows(df, "id", "text", "_row_number") == [("1", "two\nlines", 1), ("2", "one", 2)]
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_row_numbers_run_through_a_split_file(spark, tmp_path, monkeypatch, broadcast):
-    if not broadcast:
-        monkeypatch.setattr(drops, "BROADCAST_SPLITS", 0)
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_row_numbers_run_through_a_split_file(spark, tmp_path, broadcast):
     for month, count in (("2025_01", 5000), ("2025_02", 3)):
         put(tmp_path, f"log_{month}.csv", "id,text\n" + "".join(f"{i},{'x' * (i % 37)}\n" for i in range(1, count + 1)))
-    saved = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    saved = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.autoBroadcastJoinThreshold")}
     try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
         spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
         spark.conf.set("spark.sql.files.openCostInBytes", "64")
         df = read_drop(spark, str(tmp_path), "log_*.csv", "log")
-        assert df.rdd.getNumPartitions() > 2
+        # The stored rows keep their numbers when files would now be cut elsewhere.
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
         assert df.count() == 5003
         assert df.where(F.col("_row_number") != F.col("id").cast("long")).count() == 0
     finally:
@@ -80,3 +79,22 @@ def test_manifest(spark, tmp_path):
 def test_no_file_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_drop(spark, str(tmp_path), "pets_*.csv", "pets")
+
+
+def test_odd_headers_and_one_header_job(spark, tmp_path):
+    for i in range(30):
+        put(tmp_path, f"pets_2025_{i:02d}.csv", f"\nid,unit.no,,Name,name\n{i},u{i},x,a,b\n")
+    group = "headers of pets"
+    spark.sparkContext.setJobGroup(group, group)
+    df = read_drop(spark, str(tmp_path), "pets_*.csv", "pets")
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setJobGroup("", "")
+    assert df.columns[:5] == ["id", "unit.no", "_c2", "Name3", "name4"]
+    assert sorted(r["unit.no"] for r in df.collect()) == sorted(f"u{i}" for i in range(30))
+    assert jobs < 20  # none for each file
+
+
+def test_only_files_without_header(spark, tmp_path):
+    put(tmp_path, "pets_2025_01.csv", "\n\n")
+    df = read_drop(spark, str(tmp_path), "pets_*.csv", "pets", required=("id",))
+    assert df.count() == 0 and df.columns[0] == "id"

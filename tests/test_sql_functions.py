@@ -21,9 +21,10 @@ def test_sql_names_agree_with_the_columns(spark, database):
     named = spark.sql(f"SELECT v, {parse}(v), {level}(v) FROM texts")
     assert sorted(map(tuple, named.collect()), key=repr) == sorted(map(tuple, columns.collect()), key=repr)
 
-    df = spark.createDataFrame([("{'CNA': 24.50}", " CNA "), ("{'CNA': 24.50}", "RN"), ("junk", "RN")], "d string, k string")
+    sheets = [("{'cook': 18.25}", " cook "), ("{'cook': 18.25}", "driver"), ("no sheet", "cook")]
+    df = spark.createDataFrame(sheets, "d string, k string")
     df.createOrReplaceTempView("rates")
-    assert [r[0] for r in spark.sql(f"SELECT {rate}(d, k) FROM rates").collect()] == [Decimal("24.50"), None, None]
-    assert [r[0] for r in df.select(parse_keyed_value(F.col("d"), F.col("k"))).collect()] == [Decimal("24.50"), None, None]
+    assert [r[0] for r in spark.sql(f"SELECT {rate}(d, k) FROM rates").collect()] == [Decimal("18.25"), None, None]
+    assert [r[0] for r in df.select(parse_keyed_value(F.col("d"), F.col("k"))).collect()] == [Decimal("18.25"), None, None]
     if database:
         spark.sql(f"DROP DATABASE {database} CASCADE")

@@ -90,7 +90,7 @@ def test_as_of_join_with_many_rows_per_day(spark, history):
     rows = [(i, f"k{i % 9}", LOW + dt.timedelta(days=i % 20)) for i in range(200)]
     left = spark.createDataFrame(rows, "id int, k string, day date")
     changes = spark.createDataFrame(history, "k string, changed date, seq int, value string")
-    got = as_of_join(left, changes, "k", "day", "changed", "value", "level", ["seq"], unique=False, hot_rows=10)
+    got = as_of_join(left, changes, "k", "day", "changed", "value", "level", ["seq"], unique=False)
     assert {r.id: r.level for r in got.collect()} == {i: latest(history, k, d) for i, k, d in rows}
 
 
