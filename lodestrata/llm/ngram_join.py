@@ -31,11 +31,9 @@ GROUP = ["hash", "left", "right"]
 
 def bands_for(threshold: float, recall: float = 0.9995, hashes: int = 128) -> tuple[int, int]:
     """(bands, rows): the most rows whose bands find a pair at the threshold with that chance within so many hashes."""
-    best = (hashes, 1)
-    for rows in range(1, hashes + 1):
-        bands = math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))
-        if bands * rows <= hashes:
-            best = (bands, rows)
+    best, rows = (hashes, 1), 1
+    while (bands := math.ceil(math.log1p(-recall) / math.log1p(-(threshold**rows)))) * rows <= hashes:
+        best, rows = (bands, rows), rows + 1
     return best
 
 
