@@ -165,7 +165,7 @@ def bounded_int_flag(spark: SparkSession, root: str) -> DataFrame:
     WITH stored AS (
         SELECT event_type,
                CASE event_type
-                    WHEN 'click' THEN CAST(props->>'$.k' AS DECIMAL(10, 2)) + 0.5
+                    WHEN 'click' THEN CAST(props->>'$.k' AS DECIMAL(10, 2))
                     WHEN 'error' THEN CAST(props->>'$.k' AS DECIMAL(10, 2)) END AS rate
         FROM events
     )
@@ -176,14 +176,14 @@ def bounded_int_flag(spark: SparkSession, root: str) -> DataFrame:
     GROUP BY event_type
 """)
 def keyed_json_rate(spark: SparkSession, root: str) -> DataFrame:
-    number = F.regexp_extract("props", "([0-9]+)", 1)
+    quoted = F.replace("props", F.lit('"'), F.lit("'"))
     document = (
-        F.when(F.col("event_type") == "signup", F.lit("not a dictionary"))
-        .when(F.col("event_type") == "view", F.lit("{'k': 'not numeric'}"))
-        .otherwise(F.concat(F.lit("{'k': "), number, F.lit(".5, 'Med Tech': "), number, F.lit("}")))
+        F.when(F.col("event_type") == "signup", F.concat(quoted, F.lit(" and more")))
+        .when(F.col("event_type") == "view", F.translate(quoted, "0123456789", "xxxxxxxxxx"))
+        .otherwise(quoted)
     )
     key = (
-        F.when(F.col("event_type") == "error", F.lit("Med Tech"))
+        F.when(F.col("event_type") == "error", F.lit("k"))
         .when(F.col("event_type") == "purchase", F.lit("missing"))
         .otherwise(F.lit(" k "))
     )

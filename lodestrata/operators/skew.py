@@ -26,6 +26,18 @@ def join_unique(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     return left.withColumn("_key", key_of(on)).join(keyed, "_key", how).drop("_key")
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Join on columns in which NULL matches NULL, as groups do; `on` comes first, taken from the side that has it."""
+    if not on:
+        raise ValueError("nothing to join on")
+    left, right = (
+        side.select(key_of(on).alias("_key"), *(name for name in side.columns if name not in on)) for side in (left, right)
+    )
+    joined = left.join(right, "_key", how)
+    rest = [name for name in joined.columns if name != "_key"]
+    return joined.select(*(F.col(f"_key.{name}").alias(name) for name in on), *rest)
+
+
 def ranked(
     df: DataFrame,
     keys: Sequence[str],

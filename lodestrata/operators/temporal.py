@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lodestrata.operators.skew import join_unique, key_of
+from lodestrata.operators.skew import join_null_safe, join_unique, key_of
 
 
 def days_between(first: Column, last: Column) -> Column:
@@ -235,7 +235,7 @@ def trailing(
     if group and groups is None:
         groups = daily.select(*group).distinct()
     line = _trailing(date, group, length)
-    filled = date_spine(days, date, groups if group else None).join(daily, [*group, date], "left")
+    filled = join_null_safe(date_spine(days, date, groups if group else None), daily, [*group, date], "left")
     return filled.select(
         *group,
         date,

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.functions import safe_ratio
+from lodestrata.operators.skew import join_null_safe
 from lodestrata.operators.star import StarModel, one_row
 from lodestrata.operators.temporal import trailing, trailing_distinct
 
@@ -174,7 +175,7 @@ def evaluate(
     if by:
         joined = parts[0]
         for part in parts[1:]:
-            joined = joined.join(part, _names(by), "full")
+            joined = join_null_safe(joined, part, _names(by), "full")
     else:
         joined = one_row(*parts)
 
@@ -216,7 +217,7 @@ def trailing_series(
     days = model.tables[calendar]
     daily = _daily(model, calendar, rate.denominator, by, "day_count")
     if not rate.numerator.distinct:
-        daily = daily.join(_daily(model, calendar, rate.numerator, by, "event_count"), [*group, "date"], "full")
+        daily = join_null_safe(daily, _daily(model, calendar, rate.numerator, by, "event_count"), [*group, "date"], "full")
         rolled = trailing(daily, days, "date", length, ("event_count", "day_count"), group)
     else:
         groups = daily.select(*group).distinct() if group else None
@@ -224,7 +225,8 @@ def trailing_series(
             *_groups(by), F.expr(rate.numerator.value).alias("_key"), F.col(rate.numerator.date).alias("date")
         )
         seen = trailing_distinct(rows, days, "_key", "date", length, "event_count", group, groups)
-        rolled = trailing(daily, days, "date", length, ("day_count",), group, groups).join(seen, [*group, "date"])
+        below = trailing(daily, days, "date", length, ("day_count",), group, groups)
+        rolled = join_null_safe(below, seen, [*group, "date"], "inner")
     if calendar in model.filters:
         rolled = rolled.join(model[calendar].select("date"), "date", "left_semi")
     below = F.col("day_count")

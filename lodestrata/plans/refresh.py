@@ -123,6 +123,7 @@ def load_silver(
         {
             "_resident_candidates": lambda: silver.resident_candidates(bronze["pcc_residents"]),
             "_lead_candidates": lambda: silver.lead_candidates(bronze["hubspot_leads"]),
+            "_lease_candidates": lambda: silver.lease_candidates(bronze["yardi_leases"]),
         },
     )
     people, prospects = candidates["_resident_candidates"], candidates["_lead_candidates"]
@@ -142,7 +143,8 @@ def load_silver(
     clean["pcc_incidents"] = store.write("silver", "pcc_incidents", silver.incidents(bronze["pcc_incidents"], stays))
     rejects = quarantine_tables(people, clean["yardi_units"], prospects, clean["pcc_incidents"])
     held = store.write_all("quarantine", {name: (lambda df=df: df) for name, df in rejects.items()})
-    rejection_summary(held).createOrReplaceTempView("rejection_summary")
+    summary = store.write("quarantine", "rejection_summary", rejection_summary(held))
+    summary.createOrReplaceTempView("rejection_summary")
     if store.catalog:
         register_functions(store.spark, "silver")
     _gate(clean, expected.silver)

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from lodestrata.operators.quality import (
 )
 from lodestrata.operators.quarantine import rejection_summary, split_on_flag
 from lodestrata.operators.ranking import top_n_per_group, top_n_with_ties, with_total
+from lodestrata.plans.measures import Amount, Rate, evaluate, trailing_series
 from lodestrata.operators.star import Relation, StarModel, dense_spine, one_row, orphan_count, orphans
 from lodestrata.sources.tables import mapping, publish, published_view, read_model
 
@@ -152,3 +155,23 @@ def test_published_view_allows_listed_columns_only(spark, model):
     assert spark.table("shown").columns == ["v"]
     with pytest.raises(ValueError, match="secret"):
         published_view(model["fact"], ["secret"])
+
+
+def test_null_groups_are_one_group(spark):
+    """A dimension member without a label is one row, with all its measures."""
+    dims = spark.createDataFrame([(1, "north"), (2, None), (3, None)], "id int, area string")
+    days = spark.createDataFrame([(1, dt.date(2025, 1, 1), 5), (2, dt.date(2025, 1, 1), 3), (3, dt.date(2025, 1, 2), 1)], "id int, date date, n int")
+    hits = spark.createDataFrame([(2, dt.date(2025, 1, 2), "a"), (1, dt.date(2025, 1, 1), "b"), (1, dt.date(2025, 1, 1), "b")], "id int, date date, who string")
+    calendar = spark.createDataFrame([(dt.date(2025, 1, 1),), (dt.date(2025, 1, 2),)], "date date")
+    relations = tuple(Relation(fact, key, dim, dim_key) for fact in ("days", "hits") for key, dim, dim_key in (("id", "dim", "id"), ("date", "dim_date", "date")))
+    model = StarModel({"dim": dims, "dim_date": calendar, "days": days, "hits": hits}, relations)
+    below = Amount("days", "date", "n")
+    rate = Rate(Amount("hits", "date"), below)
+    got = {r.area: r.rate for r in evaluate(model, {"rate": rate}, ("dim.area",), "dim_date").collect()}
+    assert got == {"north": 0.4, None: 0.25}
+    for distinct in (False, True):
+        rolling = Rate(Amount("hits", "date", "who", distinct=True) if distinct else Amount("hits", "date"), below)
+        rows = trailing_series(model, rolling, "dim_date", 2, ("dim.area",)).collect()
+        assert sorted(((r.area, r.date.day, r.event_count, r.day_count) for r in rows), key=repr) == sorted(
+            [("north", 1, 1 if distinct else 2, 5), ("north", 2, 1 if distinct else 2, 5), (None, 1, 0, 3), (None, 2, 1, 4)], key=repr
+        )
