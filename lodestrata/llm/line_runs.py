@@ -63,6 +63,7 @@ class LineRuns:
             rows.select(*KEY, "n_docs", "last")
             .write.bucketBy(self.buckets, *KEY)
             .sortBy(*KEY)
+            .option("compression", "zstd")
             .option("path", f"{self.folder}/{name}")
             .saveAsTable(name)
         )
