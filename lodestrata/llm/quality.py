@@ -99,10 +99,14 @@ class Model:
 
 
 def features(scaled: np.ndarray) -> np.ndarray:
-    """Random Fourier features of a Gaussian kernel whose width is the root of the number of statistics; a constant ends them."""
+    """Random Fourier features of a Gaussian kernel, and a constant.
+
+    The kernel is as wide as twice the root of the number of statistics: rare kinds of texts, such as very short ones,
+    then still have neighbours to be judged by.
+    """
     rng = np.random.default_rng(20240501)
     d = scaled.shape[1]
-    directions = rng.standard_normal((d, FEATURES)) / np.sqrt(d)
+    directions = rng.standard_normal((d, FEATURES)) / (2 * np.sqrt(d))
     phases = rng.uniform(0, 2 * np.pi, FEATURES)
     waves = np.cos(np.clip(scaled, -8, 8) @ directions + phases) * np.sqrt(2 / FEATURES)
     return np.hstack([waves, np.ones((len(scaled), 1))])
