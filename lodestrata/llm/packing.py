@@ -10,42 +10,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.llm.common import ranked_by_range, stored, with_position
-from lodestrata.llm.tokens import id_type, tokenize
+from lodestrata.llm.tokens import binaries, encoded_portions
 from lodestrata.session import scratch_folder
 
 #: A round takes the documents from the largest one waiting down to this share of its length.
-BAND = 0.8
+BAND = 0.5
+#: New sequences are opened when the gaps take less than this share of a round's documents.
+ENOUGH = 0.1
 
 
-def cut(tokens: DataFrame, capacity: int) -> DataFrame:
-    """Pieces of at most `capacity` ids: doc_id, piece, start, length, ids (binary u32). Only longer documents are cut."""
+def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = 2048, end: int = 0) -> DataFrame:
+    """doc_id, piece, start, length, ids (binary u32) of all documents (doc_id, text).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: list[tuple] = []
-            size = 0
-            for doc, width, raw in zip(
-                batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_numpy(zero_copy_only=False).tolist()
-            ):
-                ids = np.frombuffer(raw, id_type(width)).astype("<u4")
-                for piece, start in enumerate(range(0, len(ids), capacity)):
-                    own = ids[start : start + capacity]
-                    rows.append((doc, piece, start, len(own), own.tobytes()))
-                    size += len(own)
-                if size >= 1 << 20:
-                    yield _pieces(rows)
-                    rows, size = [], 0
-            yield _pieces(rows)
-
-    return tokens.select("doc_id", "width", "ids").mapInArrow(
-        run, "doc_id long, piece int, start long, length long, ids binary"
-    )
+    Each document's token ids and the `end` id are cut into pieces of `capacity`, the last one shorter; only longer
+    documents have more than one. A null text is an empty one, repeated rows stay repeated, other columns are left out.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, flat, counts in encoded_portions(batches, vocabulary, end):
+            pieces = -(-counts // capacity)
+            row = np.repeat(np.arange(len(counts)), pieces)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = piece * capacity
+            length = np.minimum(counts[row] - start, capacity)
+            columns = [ids.take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length)]
+            own = binaries(flat.astype("<u4"), length)
+            yield pa.RecordBatch.from_arrays([*columns, own], names=["doc_id", "piece", "start", "length", "ids"])
 
-def _pieces(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids": pa.binary()}
-    columns = zip(*rows) if rows else [()] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds.values())], names=list(kinds))
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return chosen.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
 
 
 class Gaps:
@@ -99,11 +92,12 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
     """Sequences for `pieces` (uid, unique, and length from 1 to `capacity`): uid, sequence_id, offset.
 
     Documents are range-sorted by length and ranked. Each round takes a band of lengths, sweeps the sorted lengths
-    along the sorted gaps, joins documents and open sequences on (gap, rank), and rewrites the gaps; documents
-    of the band without a gap open sequences, as many of a length to each as fit, which join the sweep as gaps
-    of the whole capacity. Lengths and gaps are integers up to `capacity`, so a sweep moves over that many numbers
-    whatever the number of rows; documents and sequences stay tables. There are at most log(capacity) / log(1 / BAND)
-    rounds with anything to place, and each leaves written tables.
+    along the sorted gaps, joins documents and open sequences on (gap, rank), and rewrites the gaps; what found no gap
+    waits for the next round. Where the gaps would take hardly any of the band, as many sequences are opened as its
+    rest fills (at least one for each document beyond half the capacity) and join the sweep as gaps of the whole capacity.
+    Lengths and gaps are integers up to `capacity`, so a sweep moves over that many numbers whatever the number of
+    rows; documents and sequences stay tables. A band halves the lengths and takes a few rounds, so there are a few
+    dozen rounds at any size; each leaves written tables.
     """
     spark = pieces.sparkSession
     folder = scratch_folder(spark)
@@ -118,33 +112,32 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
     state = _state(spark, f"{folder}/gaps-0", spark.range(0).select(F.lit(0).alias("gap"), F.col("id").alias("rank"), F.col("id").alias("sequence_id")))
     done: list[str] = []
     opened = 0
+    taken = np.zeros_like(waiting)
+    size = np.arange(capacity + 1)
     while waiting.any():
         top = int(np.flatnonzero(waiting)[-1])
         band = waiting.copy()
         band[: int(np.ceil(top * BAND))] = 0
-        totals = band.copy()
-        trial = Gaps(capacity)
+        trial, rest = Gaps(capacity), band.copy()
         trial.count = gaps.count.copy()
-        rest = band.copy()
         trial.sweep(rest)
-        lengths = np.flatnonzero(rest)
-        new = int((-(-rest[lengths] // (capacity // lengths))).sum())
-        if new:
+        if (band - rest).sum() < ENOUGH * band.sum():
+            new = max(int(rest[capacity // 2 + 1 :].sum()), -(-int((rest * size).sum()) // capacity))
             fresh = spark.range(opened, opened + new).select(
                 F.lit(capacity).alias("gap"), (F.col("id") - opened + int(gaps.count[capacity])).alias("rank"), F.col("id").alias("sequence_id")
             )
             state = state.unionByName(fresh)
             gaps.count[capacity] += new
             opened += new
-        matches, moves = gaps.sweep(band)
-        if band.any():
-            raise AssertionError("a document found neither a gap nor a new sequence")
+        rest = band.copy()
+        matches, moves = gaps.sweep(rest)
         out = f"{folder}/placed-{len(done)}"
-        _matched(spark, ranked, first, matches, capacity).join(state, ["gap", "rank"]).select(
+        _matched(spark, ranked, first + taken, matches, capacity).join(state, ["gap", "rank"]).select(
             "uid", "sequence_id", "offset"
-        ).write.parquet(out)
+        ).write.option("compression", "zstd").parquet(out)
         done.append(out)
-        waiting -= totals
+        taken += band - rest
+        waiting -= band - rest
         smallest = int(np.flatnonzero(waiting)[0]) if waiting.any() else capacity + 1
         moves = [m for m in moves if m[3] >= smallest]  # a sequence that takes nothing more is closed
         gaps.count[:smallest] = 0
@@ -155,7 +148,7 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
 
 
 def _state(spark: SparkSession, folder: str, gaps: DataFrame) -> DataFrame:
-    return stored(gaps.select(F.col("gap").cast("int"), F.col("rank").cast("long"), F.col("sequence_id").cast("long")), folder, "snappy")
+    return stored(gaps.select(F.col("gap").cast("int"), F.col("rank").cast("long"), F.col("sequence_id").cast("long")), folder)
 
 
 def _matched(spark: SparkSession, ranked: DataFrame, first: np.ndarray, matches: list[tuple], capacity: int) -> DataFrame:
@@ -183,11 +176,6 @@ def _moved(spark: SparkSession, state: DataFrame, moves: list[tuple]) -> DataFra
     ).select(F.col("_new").alias("gap"), (F.col("_first") + F.col("rank") - F.col("_from")).alias("rank"), "sequence_id")
 
 
-def pieces_of(docs: DataFrame, vocabulary: str, capacity: int = 2048, end: int = 0) -> DataFrame:
-    """The token pieces of whole documents; see `tokenize` for nulls and repeated rows."""
-    return cut(tokenize(docs, vocabulary, end), capacity)
-
-
 def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     """Adds sequence_id and offset to a table of pieces (any columns, `length` among them), which is stored first.
 

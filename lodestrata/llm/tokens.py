@@ -21,6 +21,22 @@ def with_end(flat: np.ndarray, counts: np.ndarray, end: int) -> tuple[np.ndarray
     return np.insert(flat, np.cumsum(counts), end), counts + 1
 
 
+def encoded_portions(
+    batches: Iterator[pa.RecordBatch], vocabulary: str, end: int
+) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Of batches (id, text): the ids of the documents, all token ids one after another, and how many each document has."""
+    coder = encoder(vocabulary)
+    for batch in batches:
+        for part in in_portions(batch):
+            yield part.column(0), *with_end(*coder.encode(part.column(1)), end)
+
+
+def binaries(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Runs of an array as binary values; a portion stays far below the two gigabytes that 32-bit offsets reach."""
+    ends = (np.concatenate(([0], np.cumsum(counts))) * flat.itemsize).astype("<i4")
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+
+
 def tokenize(
     docs: DataFrame, vocabulary: str, end: int, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -31,19 +47,11 @@ def tokenize(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = encoder(vocabulary)
-        for batch in batches:
-            for part in in_portions(batch):
-                flat, counts = with_end(*coder.encode(part.column(1)), end)
-                ends = np.concatenate(([0], np.cumsum(counts))) * flat.itemsize
-                # The batch of one portion stays far below the two gigabytes that 32-bit offsets reach.
-                ids = pa.Array.from_buffers(
-                    pa.binary(), len(counts), [None, pa.py_buffer(ends.astype("<i4")), pa.py_buffer(flat)]
-                )
-                width = pa.array(np.full(len(counts), flat.itemsize, np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts), width, ids], names=["doc_id", "n_tokens", "width", "ids"]
-                )
+        for docs_, flat, counts in encoded_portions(batches, vocabulary, end):
+            width = pa.array(np.full(len(counts), flat.itemsize, np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [docs_, pa.array(counts), width, binaries(flat, counts)], names=["doc_id", "n_tokens", "width", "ids"]
+            )
 
     chosen = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
     return chosen.mapInArrow(run, "doc_id long, n_tokens long, width int, ids binary")

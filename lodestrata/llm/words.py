@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes that are taken apart together.
-TOGETHER = 8 << 20
+TOGETHER = 4 << 20
 
 
 class WordCache(dict):
@@ -60,6 +60,8 @@ LOWERED_WORDS = {
     },
 }
 # Words of printable ASCII and Latin-1 letters have pieces that a plain pattern finds; others go to the library whole.
+PLAIN_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+POINTS = frozenset(".,;:!?")
 PLAIN_WORD = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 PLAIN_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
@@ -75,11 +77,11 @@ def byte_letters() -> dict[int, str]:
 class TextEncoder:
     """Token ids of whole texts, those that the library gives.
 
-    Under the settings above no token crosses white space, so the words of many texts are looked up together and only
-    words not met before are encoded; under any other settings each text goes to the library whole.
+    Under the settings above no token crosses white space, so the different words of many texts are looked up together
+    and only pieces not met before are encoded; under any other settings each text goes to the library whole.
     """
 
-    def __init__(self, path: str, words: int = 300_000):
+    def __init__(self, path: str, pieces: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -90,8 +92,7 @@ class TextEncoder:
         self.code = "H" if self.size <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
         self.letters = byte_letters()
-        self.pieces = WordCache(self._piece, 2 * words)
-        self.words = WordCache(self._word, words)
+        self.pieces = WordCache(self._piece, pieces)
 
     def _library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -101,6 +102,11 @@ class TextEncoder:
         return array(self.code, [t.id for t in tokens]).tobytes()
 
     def _word(self, word: str) -> bytes:
+        if word.isalpha() and (word.isascii() or PLAIN_LETTERS.fullmatch(word)):
+            return self.pieces[word.lower()]
+        body, end = word[:-1], word[-1:]
+        if end in POINTS and body.isalpha() and (body.isascii() or PLAIN_LETTERS.fullmatch(body)):
+            return self.pieces[body.lower()] + self.pieces[end]
         if "<|" in word or not PLAIN_WORD.fullmatch(word):
             return self._library(word) if word else b""
         return b"".join(map(self.pieces.__getitem__, PLAIN_PIECES.findall(word.lower())))
@@ -113,7 +119,7 @@ class TextEncoder:
             return flat, np.array([len(e) // self.dtype.itemsize for e in each], np.int64)
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = lists.flatten().dictionary_encode()
-        values = list(map(self.words.__getitem__, words.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        values = list(map(self._word, words.dictionary.to_numpy(zero_copy_only=False).tolist()))
         own = np.fromiter(map(len, values), np.int64, len(values)) // self.dtype.itemsize
         own_start = np.cumsum(own) - own
         ids = np.frombuffer(b"".join(values), self.dtype)
@@ -127,13 +133,17 @@ class TextEncoder:
 
 
 def in_portions(batch: pa.RecordBatch, text: int = 1, most: int = TOGETHER) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose texts take about `most` bytes; a longer text is a run of its own."""
+    """The batch in runs of rows whose texts take about `most` bytes; a longer text is a run of its own.
+
+    After the last run the memory that they took is given back, as the workers live on between tasks.
+    """
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     group = np.cumsum(sizes, dtype=np.int64) // most
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
     for a, b in zip(edges, edges[1:]):
         if b > a:
             yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 @functools.lru_cache(maxsize=2)
