@@ -10,8 +10,7 @@ from lodestrata.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(
-        "tests", **{"spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))}
-    )
+    folders = {"spark.sql.warehouse.dir": "warehouse", "spark.checkpoint.dir": "checkpoints"}
+    session = local_session("tests", **{key: str(tmp_path_factory.mktemp(name)) for key, name in folders.items()})
     yield session
     session.stop()
