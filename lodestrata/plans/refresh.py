@@ -13,7 +13,7 @@ from lodestrata.functions.sql import register_functions
 from lodestrata.operators.quality import raise_on_issues, raise_on_mismatch, reconcile, run_checks, table_counts
 from lodestrata.operators.quarantine import rejection_summary
 from lodestrata.operators.star import StarModel
-from lodestrata.plans import config, silver
+from lodestrata.plans import config, reports, silver
 from lodestrata.plans.gold import base_tables, derived_tables, gold_gates, gold_model, schema_checks
 from lodestrata.plans.quarantine import quarantine_tables
 from lodestrata.sources.drops import drop_manifest, manifest_issues, read_drop
@@ -197,4 +197,8 @@ def refresh(
         raise_on_mismatch(reconcile(_findings(bronze, clean, gold), expected.findings))
     if export is not None:
         export_gold(gold, export)
+    if catalog:
+        model = gold_model(gold)
+        for report in (reports.monthly_occupancy, reports.top_move_out_reasons, reports.incident_rate):
+            store.write("reports", report.__name__, report(model))
     return Refresh(bronze, clean, held, gold)

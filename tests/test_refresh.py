@@ -261,5 +261,9 @@ def test_catalog_tables(spark, run, tmp_path):
     refresh(spark, str(base / "source"), str(tmp_path), None, config.Expectations(), catalog=True)
     assert spark.sql("select count(*) from gold.fact_lease l join gold.dim_community using (community_id)").first()[0] == 60
     assert str(spark.sql("select silver.parse_date('3/7/2025')").first()[0]) == "2025-03-07"
-    for layer in ("bronze", "silver", "quarantine", "gold"):
+    assert spark.table("quarantine.rejection_summary").count() == 4
+    assert spark.table("silver._lease_candidates").count() >= spark.table("silver.yardi_leases").count()
+    named = ("monthly_occupancy", "top_move_out_reasons", "incident_rate")
+    assert all(spark.table(f"reports.{name}").count() > 0 for name in named)
+    for layer in ("bronze", "silver", "quarantine", "gold", "reports"):
         spark.sql(f"drop database {layer} cascade")
