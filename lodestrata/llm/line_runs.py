@@ -112,11 +112,16 @@ class LineRuns:
             level += 1
 
     def common(self, least: int) -> DataFrame:
-        """The keys found in at least `least` documents, as a stored table: h1, h2, last. The runs are merged to one."""
+        """The keys found in at least `least` documents, as a stored table: h1, h2, last.
+
+        The runs are merged to one, whose name leaves the catalog; no batch can be added afterwards.
+        """
         if len(self.live) > 1:
             self._merge([n for _, n in self.live], 1 + max(at for at, _ in self.live))
-        name = self.live[0][1]
-        kept = stored(self.spark.table(name).filter(F.col("n_docs") >= least).select(*KEY, "last"), f"{self.folder}/common-{name}")
+        name = self.live.pop()[1]
+        held = self.spark.table(name).filter(F.col("n_docs") >= least)
+        kept = stored(held.select(*KEY, "last"), f"{self.folder}/common-{name}")
+        self.spark.sql(f"DROP TABLE {name}")
         return kept
 
 
