@@ -1,5 +1,7 @@
 """Public licence texts and notices by SPDX id, and spellings that count as the same word."""
 
+from lodestrata.llm import license_whole_texts as whole
+
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
 rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
@@ -81,8 +83,24 @@ Unless required by applicable law or agreed to in writing, software distributed
 "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
 language governing permissions and limitations under the License."""
 
-#: (SPDX id, whole text). A text may stand alone, under a title, or be a one-line notice.
-KNOWN = [
+#: The line that closes the terms; what follows tells how to apply them, and is often left out.
+END = "END OF TERMS AND CONDITIONS"
+#: A line of the Apache appendix that is a copyright line, and so taken out, where its blanks are filled in.
+APACHE_BLANKS = "Copyright [yyyy] [name of copyright owner]"
+
+
+def terms(text: str) -> str:
+    """The text up to the line that closes the terms."""
+    return text[: text.index(END) + len(END)]
+
+
+def plain_addresses(text: str) -> str:
+    """The text as published while its addresses began with http."""
+    return text.replace("https://", "http://")
+
+
+#: (SPDX id, whole text). A text may stand alone, under a title, or be a one-line notice. The SQL of op10 has these.
+SHORT_TEXTS = [
     ("MIT", MIT),
     ("MIT", "MIT License\n\n" + MIT),
     ("MIT", "The MIT License (MIT)\n\n" + MIT),
@@ -111,6 +129,38 @@ KNOWN = [
     ("CC0-1.0", "Licensed under CC0 1.0."),
 ]
 
+#: (SPDX id, whole text) of the long licences, with and without the part on how to apply them.
+LONG_TEXTS = [
+    ("Apache-2.0", whole.APACHE_2),
+    ("Apache-2.0", whole.APACHE_2.replace(APACHE_BLANKS, "")),
+    ("Apache-2.0", terms(whole.APACHE_2)),
+    ("Artistic-1.0-Perl", whole.ARTISTIC),
+    ("BSD-3-Clause", whole.BSD_REGENTS),
+    ("CC-BY-SA-4.0", whole.CC_BY_SA_4),
+    ("CC0-1.0", whole.CC0),
+    ("GFDL-1.2-only", whole.GFDL_1_2),
+    ("GFDL-1.3-only", whole.GFDL_1_3),
+    ("GFDL-1.3-only", plain_addresses(whole.GFDL_1_3)),
+    ("GPL-1.0-only", whole.GPL_1),
+    ("GPL-1.0-only", terms(whole.GPL_1)),
+    ("GPL-2.0-only", whole.GPL_2),
+    ("GPL-2.0-only", terms(whole.GPL_2)),
+    ("GPL-3.0-only", whole.GPL_3),
+    ("GPL-3.0-only", plain_addresses(whole.GPL_3)),
+    ("GPL-3.0-only", terms(whole.GPL_3)),
+    ("LGPL-2.0-only", whole.LGPL_2),
+    ("LGPL-2.0-only", terms(whole.LGPL_2)),
+    ("LGPL-2.1-only", whole.LGPL_2_1),
+    ("LGPL-2.1-only", terms(whole.LGPL_2_1)),
+    ("LGPL-3.0-only", whole.LGPL_3),
+    ("MPL-1.1", whole.MPL_1_1),
+    ("MPL-2.0", whole.MPL_2),
+    ("Unlicense", whole.UNLICENSE),
+    ("Unlicense", whole.UNLICENSE.replace("http://", "https://")),
+]
+
+KNOWN = SHORT_TEXTS + LONG_TEXTS
+
 #: Equivalent spellings, in canonical form (lower case, one space): the left one is read as the right one.
 SPELLINGS = [
     ("acknowledgement", "acknowledgment"),

@@ -42,22 +42,28 @@ def with_canonical(docs: DataFrame, text_column: str, into: str) -> DataFrame:
     return own.withColumn(into, F.when(form.rlike(SPELLED), one_spelling(form)).otherwise(form))
 
 
-def known_digests(spark: SparkSession) -> DataFrame:
-    """digest, license: the licences of `license_texts`, a few dozen rows whatever the input."""
-    texts = with_canonical(spark.createDataFrame(KNOWN, "license string, text string"), "text", "form")
-    return texts.select(F.sha2(F.translate("form", "\n", " "), 256).alias("digest"), "license").dropDuplicates(["digest"])
+def known_digests(spark: SparkSession, known: DataFrame | None = None) -> DataFrame:
+    """digest, license: of the texts of `known` (license, text), by default those of `license_texts`.
+
+    Of two licences with texts of one form the first by name counts; rows without a licence or a word say nothing.
+    """
+    if known is None:
+        known = spark.createDataFrame(KNOWN, "license string, text string")
+    texts = with_canonical(known.select("license", "text"), "text", "form").filter("license IS NOT NULL AND form <> ''")
+    return texts.groupBy(F.sha2(F.translate("form", "\n", " "), 256).alias("digest")).agg(F.min("license").alias("license"))
 
 
-def license_scan(docs: DataFrame, text_column: str = "text") -> DataFrame:
+def license_scan(docs: DataFrame, text_column: str = "text", known: DataFrame | None = None) -> DataFrame:
     """`docs` with `digest`, `license` and `notices`.
 
     digest: SHA-256 of the whole text's canonical form (null and empty texts: of the empty form); license: the SPDX id
     of the licence that the entire text is, or null; notices: the sorted SPDX ids of the lines that are an entire known
     text, as an array. Rows come out as they went in, repeated ones too; an empty table stays empty.
+    `known` (license, text) takes the place of the list of `license_texts`; its digests, not its texts, reach the driver.
     """
-    known = known_digests(docs.sparkSession)
+    known = known_digests(docs.sparkSession, known)
     ids = {r["digest"]: r["license"] for r in known.collect()}
-    by_digest = F.create_map(*[F.lit(x) for pair in sorted(ids.items()) for x in pair])
+    by_digest = F.create_map(*[F.lit(x) for pair in sorted(ids.items()) for x in pair]).cast("map<string,string>")
     own = with_canonical(docs, text_column, "_form")
     found = F.transform(F.split("_form", "\n"), lambda line: F.element_at(by_digest, F.sha2(line, 256)))
     scanned = own.withColumn("notices", F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull()))))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.llm import licenses, line_runs, ring
-from lodestrata.llm.license_texts import KNOWN, SPELLINGS
+from lodestrata.llm.license_texts import SHORT_TEXTS, SPELLINGS
 from lodestrata.llm.registry import query, table
 
 LINE_SQL = r"""
@@ -60,7 +60,7 @@ def _canonical_sql(text: str) -> str:
 
 
 LICENSE_SQL = f"""
-WITH texts(license, text) AS (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in KNOWN)}),
+WITH texts(license, text) AS (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in SHORT_TEXTS)}),
 known AS (
   SELECT DISTINCT license, sha256(replace({_canonical_sql("text")}, chr(10), ' ')) AS digest FROM texts
 ), forms AS (

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lodestrata.llm import license_whole_texts as whole
 from lodestrata.llm import licenses, line_runs, ring
 from lodestrata.llm.common import ship
 from lodestrata.llm.license_texts import KNOWN, MIT
@@ -136,3 +137,31 @@ def test_licenses(spark):
     assert {r.digest for r in got if r.doc_id in (6, 7)} == {empty}
     assert licenses.license_scan(frame(spark, [])).count() == 0
     assert licenses.known_digests(spark).count() == len({(i, t) for i, t in KNOWN})
+
+
+def test_long_licenses_are_found_whole(spark):
+    ids = {
+        "Apache-2.0": whole.APACHE_2, "Artistic-1.0-Perl": whole.ARTISTIC, "CC-BY-SA-4.0": whole.CC_BY_SA_4, "CC0-1.0": whole.CC0,
+        "GFDL-1.2-only": whole.GFDL_1_2, "GFDL-1.3-only": whole.GFDL_1_3, "GPL-1.0-only": whole.GPL_1, "GPL-2.0-only": whole.GPL_2,
+        "GPL-3.0-only": whole.GPL_3, "LGPL-2.0-only": whole.LGPL_2, "LGPL-2.1-only": whole.LGPL_2_1, "LGPL-3.0-only": whole.LGPL_3,
+        "MPL-1.1": whole.MPL_1_1, "MPL-2.0": whole.MPL_2, "Unlicense": whole.UNLICENSE,
+    }
+    texts = dict(enumerate(ids.values())) | {
+        100: whole.APACHE_2.replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2024 Someone"),
+        101: whole.GPL_3[: whole.GPL_3.index("How to Apply")],
+        102: " ".join(whole.MPL_2.split()),
+        200: whole.GPL_3.replace("copyleft", "copyright", 1),
+        201: whole.MPL_2[:-40],
+    }
+    got = {r.doc_id: r.license for r in licenses.license_scan(frame(spark, list(texts.items()))).collect()}
+    want = dict(enumerate(ids)) | {100: "Apache-2.0", 101: "GPL-3.0-only", 102: "MPL-2.0", 200: None, 201: None}
+    assert got == want
+
+
+def test_licenses_of_the_callers_list(spark):
+    rows = [(1, "Own  TERMS,\nof two lines."), (2, MIT), (3, "a\nOne line!\nb"), (4, None)]
+    own = [("Own", "own terms: of two lines", 1), ("Line", "one line", 2), ("Other", "One line.", 3), ("Empty", "...", 4), ("None", None, 5), (None, "b", 6)]
+    known = spark.createDataFrame(own, "license string, text string, more long")
+    got = {r.doc_id: (r.license, list(r.notices)) for r in licenses.license_scan(frame(spark, rows), known=known).collect()}
+    assert got == {1: ("Own", []), 2: (None, []), 3: (None, ["Line"]), 4: (None, [])}
+    assert {(r.license, *r.notices) for r in licenses.license_scan(frame(spark, rows), known=known.limit(0)).collect()} == {(None,)}
