@@ -14,9 +14,9 @@ from lodestrata.llm.words import PUNCTUATION
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of all words one after another, and how many each text has.
 
-    Words are lower-case runs between white space without signs at their ends; null is an empty text.
+    Words are lower-case runs between white space of any script without signs at their ends; null is an empty text.
     """
-    lists = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
+    lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
     words = lists.flatten().dictionary_encode()
     bare = [w.strip(PUNCTUATION) for w in words.dictionary.to_numpy(zero_copy_only=False).tolist()]
     own = np.fromiter((xxhash.xxh3_64_intdigest(w) if w else 0 for w in bare), np.uint64, len(bare))

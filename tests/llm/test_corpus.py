@@ -164,6 +164,19 @@ def test_classes(spark, block):
     assert sorted((r.doc_id, r.class_id, r.n_links) for r in got) == plain_classes(rows)
 
 
+def test_all_white_space_parts_words(spark):
+    rng = random.Random(5)
+    rows = []
+    for n, space in enumerate(["\u00a0", "\u3000", "\u2003", "\u0085", "\u2028", "\x1f", " \u202f"]):
+        w = words(rng, 40)
+        rows += [(10 * n + d, gap.join([*w[:-d], *w[: d - 1]])) for d, gap in enumerate([" ", space, "\n", space], 1)]
+        rows += [(1000 + n, "Attention" + space + "! " + " ".join(w)), (2000 + n, "attention ! " + space.join(w) + space)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = ngram_join.similarity_classes(frame).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in got) == plain_classes(rows)
+    assert {r.class_id for r in got if r.doc_id < 1000} == {10 * n + 1 for n in range(7)}
+
+
 def test_no_classes(spark):
     assert ngram_join.similarity_classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
