@@ -3,8 +3,9 @@
 Every shard has `nodes` places on a ring of 64-bit hashes. A row belongs to the place that follows the hash of its key;
 where the shard is full, rows continue clockwise to the next place of a shard that is not. A shard takes its share of
 the rows, rounded up or down, and no more, so counts are at most one apart (`slack` above 0 allows each that much more).
-Keys are texts: copies stand together as far as the bound allows. Rows of one place are ranked by a hash of their id, so a
-text that a third of all rows share is ranked in as many partitions as it fills.
+Keys are texts: copies stand together as far as the bound allows. Rows of one place are ranked by the hash of their text, so
+that a cut parts the copies of one text at most, and then by a hash of their id, so that a text that a third of all rows
+share is ranked in as many partitions as it fills.
 """
 
 from __future__ import annotations
@@ -90,8 +91,8 @@ def assign(docs: DataFrame, shards: int = 40, nodes: int = 128, slack: float = 0
         F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
         F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"),
     )
-    keyed = narrow.select("doc_id", "size", "text_crc32", place_of("hash").alias("place"), F.xxhash64("doc_id").alias("order"))
-    rows, before = ranked_by_range(keyed, ["place", "order", "doc_id", "text_crc32", "size"], f"{scratch_folder(spark)}/rows")
+    keyed = narrow.select("doc_id", "size", "text_crc32", place_of("hash").alias("place"), "hash", F.xxhash64("doc_id").alias("order"))
+    rows, before = ranked_by_range(keyed, ["place", "hash", "order", "doc_id", "text_crc32", "size"], f"{scratch_folder(spark)}/rows")
     counts = np.zeros(len(places), np.int64)
     for r in rows.groupBy("place").count().collect():  # one row per place of the ring
         counts[r["place"]] = r["count"]

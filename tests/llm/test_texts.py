@@ -99,6 +99,15 @@ def test_ring(spark):
     assert {r.slot for r in ring.assign(frame(spark, rows[:3]), shards=7).collect()} == {0}
 
 
+def test_a_cut_parts_one_group_of_copies(spark):
+    ship(spark)
+    rows = [(i, f"text {i % 200}") for i in range(1000)]
+    homes = defaultdict(set)
+    for r in ring.assign(frame(spark, rows), shards=3, nodes=1).collect():
+        homes[r.text_crc32].add(r.shard)
+    assert len(homes) == 200 and sum(len(s) > 1 for s in homes.values()) <= 4
+
+
 def test_bounded_loads_move_clockwise_and_little():
     rng = np.random.default_rng(1)
     places, shard = ring.ring(8, 32)
