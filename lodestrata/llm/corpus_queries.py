@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import decontaminate, neighbours, ngram_join, quality, warc
+from lodestrata.llm import decontaminate, neighbours, ngram_join, quality, warc, whitening
 from lodestrata.llm.registry import query, table
 from lodestrata.session import scratch_folder
 
@@ -42,3 +42,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = quality.quality_scores(docs, labels, scratch_folder(spark))
     held_out = F.coalesce(quality.fold(F.col("doc_id")) == 2, F.lit(False))
     return scores.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query()
+def op11_weighted_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on the first eight components of their covariance. A deviation beyond 64 bits is null."""
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings"), scratch_folder(spark), components=8, weights="counts")
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import licenses, line_runs, ring
+from lodestrata.llm import decision_lists, licenses, line_runs, ring
 from lodestrata.llm.license_texts import SHORT_TEXTS, SPELLINGS
 from lodestrata.llm.registry import query, table
+from lodestrata.session import scratch_folder
 
 LINE_SQL = r"""
 WITH documents_ AS (
@@ -81,3 +82,12 @@ def op10_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: canonical digest, the licence that the entire text is, and the licences of its lines."""
     scanned = licenses.license_scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return scanned.select("doc_id", "digest", "license", F.array_join("notices", ",").alias("notices"))
+
+
+@query()
+def op13_decision_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: counts of words, signs and repetitions, and the verdict of the learned list."""
+    rows, _ = decision_lists.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), scratch_folder(spark))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
