@@ -5,8 +5,8 @@ compressed bitmap of the documents that hold the pair, and bit planes of how oft
 block are united there; blocks hold different documents, so a pair's documents and links over all blocks are sums of
 popcounts. The postings then carry the pairs' scores back to the documents.
 
-Both tokenizers part a text before white space that follows other signs, so most texts are taken apart there and each different
-piece is encoded and aligned once; other texts are encoded whole.
+Both tokenizers part a text before white space that follows other signs, so most texts are taken apart there and the different
+pieces of a portion are strung together, encoded and aligned at once; other texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import functools
 import hashlib
 import json
 import os
-from array import array
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,29 +28,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from lodestrata.llm.common import stored
-from lodestrata.llm.words import WordCache, in_portions
+from lodestrata.llm.words import in_portions
 
 #: A block ends at so many documents or bytes of text (a longer text is in a block with what its portion holds).
 BLOCK_ROWS = 1 << 16
 BLOCK_BYTES = 16 << 20
-#: Pieces that a worker remembers, twice at most.
-PIECES = 200_000
+#: Bytes of text in a portion, pieces that a worker remembers between portions, signs of pieces that are encoded together.
+PORTION_BYTES = 8 << 20
+PIECES = 500_000
+TOGETHER = 1 << 16
 
 # The settings of a byte-level vocabulary whose tokens do not reach from other signs into white space.
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 #: Runs of signs with one space or a run of line ends between them; neither library takes any of these signs for white space.
 PLAIN_TEXT = r"^[^\s\pZ\pC]+(?:(?: |\n+)[^\s\pZ\pC]+)*$"
-
-
-@dataclass(slots=True)
-class Aligned:
-    """A piece's tokens: how many, their groups as text, and the links as 64-bit numbers a << 32 | b in bytes."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
-    links: bytes
+FIRST = " a"
+#: Letters and signs that all editions of Unicode class alike; pieces of these may be encoded by ranks.
+LATIN = re.compile("[\n -~¡-ɏ]*")
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_values() -> dict[str, int]:
@@ -60,24 +55,59 @@ def byte_values() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(rest)}
 
 
-def overlaps(a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[int]) -> Aligned:
-    """Groups and links of two ways to cut the same bytes, given by the ends of their tokens."""
-    groups: list[str] = []
-    links: list[int] = []
-    i = j = i0 = j0 = 0
-    while i < len(a_ids):
-        links.append(a_ids[i] << 32 | b_ids[j])
-        a_end, b_end = a_ends[i], b_ends[j]
-        i += a_end <= b_end
-        j += b_end <= a_end
-        if a_end == b_end:
-            groups.append(f"{','.join(map(str, a_ids[i0:i]))}|{','.join(map(str, b_ids[j0:j]))}")
-            i0, j0 = i, j
-    return Aligned(len(a_ids), len(b_ids), len(groups), ";".join(groups), array("q", links).tobytes())
+def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, … of each run, one run after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+
+
+def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order, and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(np.concatenate((first, [len(keys)])))
+
+
+TOTALS = ("n_a", "n_b", "n_groups", "n_links")
+
+
+@dataclass
+class Pieces:
+    """What is known of pieces or whole texts, one after another: totals, groups as text (each ends with a semicolon), and the
+    links of all of them as a << 32 | b. Those that do not `agree` in bytes have no tokens."""
+
+    totals: dict[str, np.ndarray]
+    agree: np.ndarray
+    groups: pa.Array
+    links: np.ndarray
+
+    @classmethod
+    def none(cls, n: int) -> Pieces:
+        zeros = np.zeros(n, np.int64)
+        return cls(dict.fromkeys(TOTALS, zeros), np.zeros(n, bool), pa.array([b""] * n, pa.binary()), zeros[:0])
+
+    @classmethod
+    def joined(cls, parts: list[Pieces]) -> Pieces:
+        parts = parts or [cls.none(0)]
+        return cls(
+            {name: np.concatenate([p.totals[name] for p in parts]) for name in TOTALS},
+            np.concatenate([p.agree for p in parts]),
+            pa.concat_arrays([p.groups for p in parts]),
+            np.concatenate([p.links for p in parts]),
+        )
+
+    def without_first(self) -> Pieces:
+        links = self.links[int(self.totals["n_links"][0]) :]
+        return Pieces({k: v[1:] for k, v in self.totals.items()}, self.agree[1:], self.groups.slice(1), links)
+
+
+def _ending(ends: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """How many of the ascending `ends` lie between each limit and the one before."""
+    return np.diff(np.searchsorted(ends, limits, side="right"), prepend=0)
 
 
 class Aligner:
-    """Two tokenizers and what was aligned with them lately."""
+    """Two tokenizers and the pieces that were aligned with them lately."""
 
     def __init__(self, byte_vocabulary: str, piece_model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -88,60 +118,109 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_model)
         value = byte_values()
-        self.a_bytes = {
-            i: bytes(value[c] for c in token) if all(c in value for c in token) else token.encode()
-            for token, i in self.a.get_vocab().items()
-        }
-        self.b_bytes = [self._piece_bytes(i) for i in range(self.b.get_piece_size())]
-        settings = json.loads(self.a.to_str())
+        names = {i: t for t, i in self.a.get_vocab().items()}
+        a_bytes = [self._letters(names.get(i, ""), value) for i in range(max(names) + 1)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         mark = "▁"
-        self.blank = self.b.piece_to_id(mark)
+        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(mark, " ").encode() for i, p in enumerate(pieces)]
+        self.bytes = [pa.array(x, pa.binary()) for x in (a_bytes, b_bytes)]
+        self.lengths = [np.array(list(map(len, x)), np.int64) for x in (a_bytes, b_bytes)]
+        # A token as text, with what follows it: inside its side of a group, and last of it.
+        sides = ((len(a_bytes), ",|"), (len(b_bytes), ",;"))
+        self.texts = pa.array([f"{i}{end}".encode() for n, ends in sides for i in range(n) for end in ends], pa.binary())
+        settings = json.loads(self.a.to_str())
         parted = not any(mark in p.lstrip(mark) or "\n" in p for p in pieces)
         self.by_piece = parted and settings["normalizer"] is None and settings["pre_tokenizer"] == BYTE_LEVEL
-        self.cache = WordCache(lambda piece: self.aligned([piece])[0], PIECES)
-
-    def _piece_bytes(self, i: int) -> bytes:
-        piece = self.b.id_to_piece(i)
-        return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
-
-    def aligned(self, texts: list[str]) -> list[Aligned | None]:
-        """The alignment of each text; it begins with the space that B adds, or with a line end inside a document. None where
-        the tokens' bytes are not the text's."""
-        found: list[Aligned | None] = []
-        inner = [t[1:] if t.startswith(" ") else t for t in texts]
-        for text, a, b_ids in zip(texts, self.a.encode_batch(texts, add_special_tokens=False), self.b.encode(inner)):
-            if not text.startswith(" "):  # B put a blank before it, which no piece joins to a line end
-                if b_ids[:1] != [self.blank]:
-                    found.append(None)
-                    continue
-                b_ids = b_ids[1:]
-            a_ids = a.ids
-            a_parts, b_parts = [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids]
-            raw = text.encode()
-            if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
-                found.append(None)
-                continue
-            a_ends, b_ends = np.cumsum(list(map(len, a_parts))).tolist(), np.cumsum(list(map(len, b_parts))).tolist()
-            found.append(overlaps(a_ids, a_ends, b_ids, b_ends))
-        return found
-
-    def pieces(self, names: list[str]) -> list[Aligned | None]:
-        """The alignments of pieces, those not met lately encoded together."""
-        cache = self.cache
-        new = [p for p in names if p not in cache and p not in cache.old]
-        fresh = dict(zip(new, self.aligned(new))) if new else {}
-        out = []
-        for p in names:
-            if p in fresh:
-                if len(cache) >= cache.size:
-                    cache.old = dict(cache)
-                    cache.clear()
-                cache[p] = fresh[p]
-                out.append(fresh[p])
-            else:
-                out.append(cache[p])
-        return out
+        self.ranks = self._by_rank(settings, a_bytes) if self.by_piece else None
+        self.known: dict[str, int] = {}
+        self.store = Pieces.none(0)
+
+    @staticmethod
+    def _by_rank(settings: dict, tokens: list[bytes]):
+        """The same vocabulary for a faster encoder, if its merges stand in the order of their ids."""
+        vocabulary, special = settings["model"]["vocab"], {t["id"] for t in settings["added_tokens"]}
+        merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in settings["model"]["merges"]]
+        ids = [vocabulary.get(m, -1) for m in merged]
+        if ids != sorted(ids) or len(ids) + 256 + len(special) != len(tokens) or min(ids, default=0) < 256:
+            return None
+        import tiktoken
+
+        ranks = {token: i for i, token in enumerate(tokens) if i not in special}
+        return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def _a_ids(self, text: str) -> list[int]:
+        if self.ranks is not None and LATIN.fullmatch(text):
+            return self.ranks.encode_ordinary(text)
+        return self.a.encode(text, add_special_tokens=False).ids
+
+    @staticmethod
+    def _letters(token: str, value: dict[str, int]) -> bytes:
+        return bytes(value[c] for c in token) if all(c in value for c in token) else token.encode()
+
+    def aligned(self, text: str, limits: np.ndarray) -> Pieces | None:
+        """The alignment of the pieces of a text that begins with a space, given the byte at which each ends; None where the
+        tokens' bytes are not the text's or a token reaches over a limit."""
+        raw = text.encode()
+        ids = [np.array(self._a_ids(text), np.int64), np.array(self.b.encode(text[1:]), np.int64)]
+        for own, table in zip(ids, self.bytes):
+            told = table.take(pa.array(own)).buffers()
+            if not len(own) or not told[2].slice(0, self._end(told, len(own))).equals(pa.py_buffer(raw)):
+                return None
+        (a, b), (a_ends, b_ends) = ids, [np.cumsum(n[own]) for n, own in zip(self.lengths, ids)]
+        cuts = np.sort(np.concatenate((a_ends, b_ends)), kind="stable")
+        cuts = cuts[np.concatenate((cuts[1:] != cuts[:-1], [True]))]
+        at_a, at_b = np.searchsorted(a_ends, cuts), np.searchsorted(b_ends, cuts)
+        both = (a_ends[at_a] == cuts) & (b_ends[at_b] == cuts)
+        shared = cuts[both]
+        if not len(shared) or not (shared[np.searchsorted(shared, limits).clip(max=len(shared) - 1)] == limits).all():
+            return None
+        # Between neighbouring cuts lies the overlap of just one pair.
+        links = a[at_a] << 32 | b[at_b]
+        group = [np.searchsorted(shared, ends) for ends in (a_ends, b_ends)]
+        last = [shared[g] == ends for g, ends in zip(group, (a_ends, b_ends))]
+        place = np.concatenate((2 * a + last[0], 2 * (len(self.lengths[0]) + b) + last[1]))
+        order = np.argsort(np.concatenate((2 * group[0], 2 * group[1] + 1)), kind="stable")
+        told = self.texts.take(pa.array(place[order]))
+        totals = {"n_a": _ending(a_ends, limits), "n_b": _ending(b_ends, limits), "n_groups": _ending(shared, limits), "n_links": _ending(cuts, limits)}
+        tokens = np.concatenate(([0], np.cumsum(totals["n_a"] + totals["n_b"])))
+        offsets = np.frombuffer(told.buffers()[1], np.int32, len(told) + 1)[tokens]
+        groups = pa.Array.from_buffers(pa.binary(), len(limits), [None, pa.py_buffer(offsets.tobytes()), told.buffers()[2]])
+        return Pieces(totals, np.ones(len(limits), bool), groups, links)
+
+    @staticmethod
+    def _end(buffers: list[pa.Buffer], n: int) -> int:
+        return int(np.frombuffer(buffers[1], np.int32, n + 1)[n])
+
+    def alone(self, text: str) -> Pieces:
+        """A text that begins with a space, as one piece."""
+        found = self.aligned(text, np.array([len(text.encode())]))
+        return Pieces.none(1) if found is None else found
+
+    def strung(self, pieces: list[str]) -> Pieces:
+        """Pieces encoded as one text. Where that does not hold them all, its halves are tried, down to the one that does not."""
+        sizes = pc.binary_length(pa.array(pieces, pa.string())).to_numpy()
+        limits = np.cumsum(np.concatenate(([len(FIRST)], sizes)), dtype=np.int64)
+        found = self.aligned(FIRST + "".join(pieces), limits)
+        if found is not None:
+            return found.without_first()
+        if len(pieces) == 1:
+            return Pieces.none(1)
+        half = len(pieces) // 2
+        return Pieces.joined([self.strung(pieces[:half]), self.strung(pieces[half:])])
+
+    def pieces(self, names: list[str]) -> np.ndarray:
+        """The places of pieces in the store, to which those not known are added. A full store is begun anew."""
+        new = [p for p in names if p not in self.known]
+        if len(self.known) + len(new) > PIECES:
+            self.known, self.store, new = {}, Pieces.none(0), names
+        if new:
+            new.sort(key=lambda p: LATIN.fullmatch(p) is None)  # so that few texts hold other letters
+            size = np.cumsum(np.fromiter(map(len, new), np.int64, len(new))) // TOGETHER
+            edges = [0, *(np.flatnonzero(np.diff(size)) + 1).tolist(), len(new)]
+            parts = [self.strung(new[i:j]) for i, j in zip(edges, edges[1:]) if j > i]
+            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            self.store = Pieces.joined([self.store, *parts])
+        return np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))
 
 
 @functools.lru_cache(maxsize=1)
@@ -161,26 +240,13 @@ class Portion:
     times: np.ndarray
 
 
-def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The numbers start, start + 1, … of each run, one run after another."""
-    ends = np.cumsum(lengths)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
-
-
-def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Different keys in order, and how often each occurs."""
-    keys = np.sort(keys)
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.diff(np.concatenate((first, [len(keys)])))
-
-
 def in_pieces(texts: pa.Array, plain: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, list[str]]:
     """Of plain texts: piece numbers one after another, the texts' bounds in them, and the different pieces with the white space
     before them."""
     marked = pc.replace_substring_regex(texts.filter(pa.array(plain)), r"(\n+)", r" \1")
     lists = pc.split_pattern(marked, " ")
     words = lists.flatten().dictionary_encode()
-    names = [w if w.startswith("\n") else " " + w for w in words.dictionary.to_pylist()]
+    names = pc.replace_substring_regex(words.dictionary, r"^([^\n])", r" \1").to_pylist()
     return words.indices, lists.offsets.to_numpy(), np.flatnonzero(plain), names
 
 
@@ -191,44 +257,41 @@ def aligned_portion(coder: Aligner, texts: pa.Array) -> Portion:
     empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
     plain = ~empty & pc.match_substring_regex(texts, PLAIN_TEXT).to_numpy(zero_copy_only=False) if coder.by_piece else np.zeros(rows, bool)
     indices, bounds, plain_rows, names = in_pieces(texts, plain)
-    found = coder.pieces(names)
+    known = coder.pieces(names)
     whole_rows = np.flatnonzero(~plain & ~empty)
-    whole = [coder.aligned([" " + texts[int(i)].as_py()])[0] for i in whole_rows]
+    whole = [coder.alone(" " + texts[int(i)].as_py()) for i in whole_rows]
+    found = Pieces.joined([coder.store, *whole]) if whole else coder.store
 
-    # Occurrences of pieces, then whole texts as one piece each; a piece that does not agree takes its text out.
-    at = np.concatenate((indices.to_numpy().astype(np.int64), len(found) + np.arange(len(whole)))).astype(np.int64)
+    # Occurrences of pieces in the order of their documents, whole texts as one piece each. A piece that does not agree takes
+    # its text out.
+    at = np.concatenate((known[indices.to_numpy()], len(coder.store.agree) + np.arange(len(whole)))).astype(np.int64)
     doc = np.concatenate((np.repeat(plain_rows, np.diff(bounds)), whole_rows)).astype(np.int64)
-    all_ = found + whole
-    agrees = np.array([x is not None for x in all_], bool)
+    if len(whole):
+        order = np.argsort(doc, kind="stable")
+        at, doc = at[order], doc[order]
     bad = np.zeros(rows, bool)
-    bad[doc[~agrees[at]]] = True
-    none = Aligned(0, 0, 0, "", b"")
-    all_ = [x or none for x in all_]
+    bad[doc[~found.agree[at]]] = True
     keep = ~bad[doc]
     at, doc = at[keep], doc[keep]
 
-    columns = {"n_a": [x.n_a for x in all_], "n_b": [x.n_b for x in all_], "n_groups": [x.n_groups for x in all_]}
-    columns["n_links"] = [len(x.links) // 8 for x in all_]
+    starts = np.searchsorted(doc, np.arange(rows + 1))
     totals = {}
-    for name, values in columns.items():
-        sums = np.zeros(rows, np.int64)
-        np.add.at(sums, doc, np.array(values, np.int64)[at])
-        totals[name] = sums
-
-    order = np.argsort(doc, kind="stable")
-    ordered = at[order].tolist()
-    starts = np.searchsorted(doc[order], np.arange(rows + 1)).tolist()
-    texts_of = [x.groups for x in all_]
-    digests = []
-    for start, end in zip(starts, starts[1:]):
-        joined = ";".join(map(texts_of.__getitem__, ordered[start:end]))
-        digests.append(hashlib.sha256(joined.encode()).hexdigest() if joined else "")
-
-    lengths = np.array(columns["n_links"], np.int64)
-    flat = np.frombuffer(b"".join(x.links for x in all_), np.int64)
-    different, place = np.unique(flat, return_inverse=True)
+    for name, values in found.totals.items():
+        sums = np.concatenate(([0], np.cumsum(values[at])))
+        totals[name] = sums[starts[1:]] - sums[starts[:-1]]
+
+    told = found.groups.take(pa.array(at))
+    ends = np.frombuffer(told.buffers()[1], np.int32, len(told) + 1)[starts].tolist()
+    text = memoryview(told.buffers()[2] or b"")
+    digests = [hashlib.sha256(text[i : j - 1]).hexdigest() if j > i else "" for i, j in zip(ends, ends[1:])]
+
+    lengths = found.totals["n_links"]
     first = np.cumsum(lengths) - lengths
-    of_link = place[spread(first[at], lengths[at])].astype(np.int64)
+    used = np.flatnonzero(np.bincount(at, minlength=len(lengths)))
+    different, place = np.unique(found.links[spread(first[used], lengths[used])], return_inverse=True)
+    own_first = np.zeros(len(lengths), np.int64)
+    own_first[used] = np.cumsum(lengths[used]) - lengths[used]
+    of_link = place[spread(own_first[at], lengths[at])].astype(np.int64)
     keys, times = counted(of_link * max(rows, 1) + np.repeat(doc, lengths[at]))
     return Portion(totals, digests, different[keys // max(rows, 1)], keys % max(rows, 1), times)
 
@@ -345,7 +408,7 @@ def aligned_documents(docs: DataFrame, byte_vocabulary: str, piece_model: str, f
         number = TaskContext.get().partitionId() << 32
         block = _Block(number)
         for batch in batches:
-            for part in in_portions(batch):
+            for part in in_portions(batch, most=PORTION_BYTES):
                 for start in range(0, part.num_rows, BLOCK_ROWS):
                     some = part.slice(start, BLOCK_ROWS)
                     if block.rows + some.num_rows > BLOCK_ROWS or block.size >= BLOCK_BYTES:
