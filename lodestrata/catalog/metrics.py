@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.catalog.base import Sample, iso, query
+from lodestrata.catalog.base import Sample, day, iso, query
 from lodestrata.catalog.model import (
     ERROR_RATE,
     OCCUPANCY,
@@ -18,13 +18,16 @@ from lodestrata.catalog.model import (
     USER_DAYS,
     WEEK,
     dim_nation,
+    monthly_occupancy,
+    order_months,
     sample_model,
 )
 from lodestrata.functions import safe_ratio
 from lodestrata.operators.ranking import top_n_per_group as top_labels
 from lodestrata.operators.ranking import top_n_with_ties as leaders
 from lodestrata.operators.ranking import with_total
-from lodestrata.plans.measures import Rate, Total, evaluate, trailing_series, with_total_row
+from lodestrata.operators.star import Relation, StarModel
+from lodestrata.plans.measures import Amount, Rate, Total, evaluate, trailing_series, with_total_row
 from lodestrata.sources.tables import mapping
 
 
@@ -152,12 +155,15 @@ def latest_period_by_region(spark: SparkSession, root: str) -> DataFrame:
     ORDER BY 1
 """)
 def ratio_by_period(spark: SparkSession, root: str) -> DataFrame:
-    per_month = sample_model(spark, root, "occupancy")["occupancy"].groupBy("month_start").agg(
-        F.sum("occupied").alias("occupied"), F.sum("units").alias("units")
+    """The latest-period ratio at the grain of months: each month is its own latest one."""
+    s = Sample(spark, root)
+    months = order_months(s)
+    model = StarModel(
+        {"dim_month": months, "occupancy": monthly_occupancy(s)},
+        (Relation("occupancy", "month_start", "dim_month", "month_start"),),
     )
-    return per_month.select(
-        iso("month_start").alias("month_start"), safe_ratio(F.col("occupied"), F.col("units")).alias("ratio")
-    ).orderBy("month_start")
+    ratios = evaluate(model, {"ratio": OCCUPANCY}, ("dim_month.month_start",))
+    return ratios.withColumn("month_start", iso("month_start")).orderBy("month_start")
 
 
 @query("WITH" + _FACTS + """
@@ -216,8 +222,18 @@ def rolling_incident_rate(spark: SparkSession, root: str) -> DataFrame:
     GROUP BY o_orderpriority
 """)
 def distinct_completed(spark: SparkSession, root: str) -> DataFrame:
-    done = Sample(spark, root).orders.where(F.col("o_orderstatus") == "F")
-    return done.groupBy("o_orderpriority").agg(F.count_distinct("o_orderkey").alias("completed_orders"))
+    """The distinct amount itself, by the label of a dimension: orders count once they have a day of completion."""
+    orders = Sample(spark, root).orders
+    done = F.when(F.col("o_orderstatus") == "F", day("o_orderdate")).alias("done")
+    model = StarModel(
+        {
+            "dim_priority": orders.select("o_orderpriority").distinct(),
+            "orders": orders.select("o_orderkey", F.col("o_orderpriority").alias("priority"), done),
+        },
+        (Relation("orders", "priority", "dim_priority", "o_orderpriority"),),
+    )
+    completed = Total(Amount("orders", "done", "o_orderkey", distinct=True), empty=None)
+    return evaluate(model, {"completed_orders": completed}, ("dim_priority.o_orderpriority",)).where("completed_orders IS NOT NULL")
 
 
 _COMPLETED_RANGE = (datetime.date(1996, 1, 1), datetime.date(2000, 12, 31))
@@ -366,3 +382,33 @@ def sort_by_display_order(spark: SparkSession, root: str) -> DataFrame:
     return counts.join(order, "segment").orderBy("display_order")
 
 
+@query("""
+    WITH placed AS (
+        SELECT o_orderkey, o_orderstatus, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS segment
+        FROM orders LEFT JOIN customer ON c_custkey = o_custkey
+    ), labels AS (SELECT DISTINCT segment, 0 AS is_total FROM placed UNION ALL SELECT NULL, 1)
+    SELECT CASE WHEN is_total = 1 THEN 'Total' ELSE l.segment END AS segment,
+           (SELECT count(*) FROM placed p WHERE is_total = 1 OR p.segment IS NOT DISTINCT FROM l.segment) AS order_count,
+           (SELECT count(DISTINCT o_orderkey) FROM placed p
+            WHERE o_orderstatus = 'P' AND (is_total = 1 OR p.segment IS NOT DISTINCT FROM l.segment)) AS pending,
+           (SELECT nullif(count(*), 0) FROM placed p WHERE o_orderstatus = 'X' AND (is_total = 1 OR p.segment IS NOT DISTINCT FROM l.segment))
+             AS lost_share
+    FROM labels l
+""")
+def unknown_member(spark: SparkSession, root: str) -> DataFrame:
+    """Orders of a segment that the dimension lacks: they are the group without a name, and the total is the sum of all groups.
+    A rate without events is blank."""
+    s = Sample(spark, root)
+    segments = s.customer.select(F.col("c_custkey").alias("custkey"), F.col("c_mktsegment").alias("segment"))
+    dim = segments.where(F.col("segment") != "BUILDING")
+    placed = s.orders.select("o_orderkey", "o_orderstatus", F.col("o_custkey").alias("custkey"), day("o_orderdate").alias("date"))
+    facts = {"ordered": placed, "pending": placed.where("o_orderstatus = 'P'"), "lost": placed.where("o_orderstatus = 'X'")}
+    model = StarModel({"dim": dim, **facts}, tuple(Relation(name, "custkey", "dim", "custkey") for name in facts))
+    ordered = Amount("ordered", "date")
+    measures = {
+        "order_count": Total(ordered),
+        "pending": Total(Amount("pending", "date", "o_orderkey", distinct=True)),
+        "lost_share": Rate(Amount("lost", "date"), ordered, empty=None),
+    }
+    found = evaluate(model, measures, ("dim.segment",), total="Total")
+    return found.withColumn("lost_share", F.col("lost_share").cast("long"))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.catalog.base import Sample, day
-from lodestrata.operators.star import Relation, StarModel, dense_spine
+from lodestrata.operators.star import Bridged, Relation, StarModel, dense_spine
 from lodestrata.operators.temporal import calendar
 from lodestrata.plans.measures import Amount, Latest, Rate
 from lodestrata.sources.tables import mapping
@@ -45,7 +46,7 @@ def dim_nation(s: Sample) -> DataFrame:
 
 def span(facts: DataFrame, moment: str) -> tuple[datetime.date, datetime.date]:
     """First and last day of a fact, looked up once: a calendar is built from two dates, not from the fact."""
-    first, last = facts.agg(F.min(day(moment)), F.max(day(moment))).first()
+    first, last = facts.agg(F.min(moment).alias("first"), F.max(moment).alias("last")).select(day("first"), day("last")).first()
     return first, last
 
 
@@ -53,33 +54,36 @@ def event_calendar(s: Sample) -> DataFrame:
     return calendar(s.spark, *span(s.events, "ts"))
 
 
-def _placed(s: Sample, facts: DataFrame) -> DataFrame:
-    """Facts with the nation and segment of their user; callers aggregate per user and day first."""
+def _placed(s: Sample, shape: Callable[[DataFrame], DataFrame]) -> Bridged:
+    """Events as one row per user and day, under the nation and segment of their user."""
     users = s.customer.select(
         F.col("c_custkey").alias("user_id"),
         F.col("c_nationkey").alias("nation_key"),
         F.col("c_mktsegment").alias("segment"),
     )
-    return facts.join(users, "user_id")
+    return Bridged(s.events, "user_id", users, shape)
 
 
-def user_days(s: Sample) -> DataFrame:
-    return s.events.select("user_id", day("ts").alias("date")).distinct()
+def user_days(events: DataFrame) -> DataFrame:
+    return events.select("user_id", day("ts").alias("date")).distinct()
 
 
-def daily_errors(s: Sample) -> DataFrame:
-    errors = s.events.where(F.col("event_type") == "error")
+def daily_errors(events: DataFrame) -> DataFrame:
+    errors = events.where(F.col("event_type") == "error")
     return errors.groupBy("user_id", day("ts").alias("date")).agg(F.count("*").alias("error_count"))
 
 
-def purchase_days(s: Sample) -> DataFrame:
-    return s.events.where(F.col("event_type") == "purchase").select("user_id", day("ts").alias("date")).distinct()
+def purchase_days(events: DataFrame) -> DataFrame:
+    return events.where(F.col("event_type") == "purchase").select("user_id", day("ts").alias("date")).distinct()
+
+
+def order_months(s: Sample) -> DataFrame:
+    return calendar(s.spark, *span(s.orders, "o_orderdate")).select("month_start", "month_end").distinct()
 
 
 def monthly_occupancy(s: Sample) -> DataFrame:
     """Nation by month of the order calendar: customers ordering on the month's last day over suppliers."""
-    months = calendar(s.spark, *span(s.orders, "o_orderdate")).select("month_start", "month_end").distinct()
-
+    months = order_months(s)
     ordered = s.orders.select("o_custkey", day("o_orderdate").alias("month_end"))
     at_month_end = ordered.where(F.col("month_end") == F.last_day("month_end")).distinct()
     customers = s.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation_key"))
@@ -97,9 +101,9 @@ def sample_model(spark: SparkSession, root: str, *facts: str) -> StarModel:
     """The dimensions with the named facts."""
     s = Sample(spark, root)
     build = {
-        "user_day": lambda: _placed(s, user_days(s)),
-        "error": lambda: _placed(s, daily_errors(s)),
-        "purchase": lambda: _placed(s, purchase_days(s)),
+        "user_day": lambda: _placed(s, user_days),
+        "error": lambda: _placed(s, daily_errors),
+        "purchase": lambda: _placed(s, purchase_days),
         "occupancy": lambda: monthly_occupancy(s),
     }
     tables = {

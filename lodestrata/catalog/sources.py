@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.catalog.base import Sample, day, iso, query
 from lodestrata.functions import blank_to_null, parse_date, try_int
 from lodestrata.session import scratch_folder
-from lodestrata.sources import publish, read_drop, read_model
+from lodestrata.operators.quality import reconcile
+from lodestrata.sources import publish, read_drop, read_drop_parts, read_model
+from lodestrata.sources.tables import mapping
+from lodestrata.sources.versions import current_release, read_release, release, versions, write_version
 
 IN_FOLDER = r"period=([0-9]{4}_[0-9]{2})/"
 
@@ -82,3 +85,86 @@ def publish_read_back(spark: SparkSession, root: str) -> DataFrame:
         F.sum("price").cast("double").alias("price"),
         iso(F.max("order_day")).alias("last_day"),
     )
+
+
+@query("""
+    SELECT o_orderstatus AS status, count(*) AS row_count, count(*) FILTER (o_totalprice > 400000) AS set_aside,
+           count(*) FILTER (o_totalprice > 400000 AND o_orderstatus <> 'P') AS two_too_many,
+           min(CASE WHEN o_totalprice > 400000 THEN o_orderstatus || ',"' || o_orderkey || ',x",' || o_orderpriority ||
+               CASE WHEN o_orderstatus = 'P' THEN ',SURPLUS' ELSE ',SURPLUS,"a, b"' END END) AS first_line,
+           true AS rows_numbered
+    FROM orders GROUP BY 1
+""")
+def malformed_rows_set_aside(spark: SparkSession, root: str) -> DataFrame:
+    """Lines with more fields than the header leave the table and stand in the quarantine as they were delivered."""
+    folder = scratch_folder(spark)
+    status, dear = F.col("o_orderstatus"), F.col("o_totalprice") > 400000
+    key = F.concat(F.lit('"'), F.col("o_orderkey").cast("string"), F.lit(',x"'))
+    surplus = F.when(dear & (status == "P"), "SURPLUS").when(dear, 'SURPLUS,"a, b"')
+    line = F.concat_ws(",", status, key, "o_orderpriority", surplus).alias("status,id,priority")
+    Sample(spark, root).orders.select(line).write.option("header", True).option("sep", "\x01").option("quote", "").csv(
+        f"{folder}/period=2024_01"
+    )
+    drop = read_drop_parts(spark, folder, "*.csv", "orders", IN_FOLDER, recursive=True)
+    clean = drop.rows.select("status", F.lit(None).cast("string").alias("line"), F.lit(0).alias("extra"), "_source_file", "_row_number")
+    aside = drop.malformed.select(
+        F.substring("_line", 1, 1).alias("status"),
+        F.col("_line").alias("line"),
+        (F.col("_delivered_fields") - F.col("_header_fields")).alias("extra"),
+        "_source_file",
+        "_row_number",
+    )
+    both = clean.unionAll(aside)
+    per_file = both.groupBy("_source_file").agg(
+        F.count("*").alias("rows"), F.max("_row_number").alias("last"), F.sum("_row_number").alias("ordinals")
+    )
+    numbered = per_file.agg(F.every((F.col("last") == F.col("rows")) & (F.col("ordinals") * 2 == F.col("rows") * (F.col("rows") + 1))))
+    return both.groupBy("status").agg(
+        F.count("*").alias("row_count"),
+        F.count("line").alias("set_aside"),
+        F.count_if(F.col("extra") == 2).alias("two_too_many"),
+        F.min("line").alias("first_line"),
+        F.lit(numbered.scalar()).alias("rows_numbered"),
+    )
+
+
+@query("""
+    SELECT 'orders' AS name, count(*) FILTER (o_orderstatus <> 'P') AS first_rows, count(*) AS row_count,
+           count(*) FILTER (o_totalprice > 400000) AS dear, CAST(2 AS BIGINT) AS versions_known FROM orders
+    UNION ALL
+    SELECT 'customer', count(*) FILTER (c_acctbal >= 0), count(*), count(*) FILTER (c_acctbal > 9000), 2 FROM customer
+""")
+def published_twice(spark: SparkSession, root: str) -> DataFrame:
+    """Two tables replaced together: until the second release they read as the first one made them, then as a whole anew. Rows
+    are counted by the tasks that write them."""
+    folder, s = scratch_folder(spark), Sample(spark, root)
+    tables = {
+        "orders": (s.orders, F.col("o_orderstatus") != "P", F.col("o_totalprice") > 400000),
+        "customer": (s.customer, F.col("c_acctbal") >= 0, F.col("c_acctbal") > 9000),
+    }
+
+    def write(first: bool) -> tuple[dict, dict[str, tuple[int, int]]]:
+        written, counts = {}, {}
+        for name, (table, part, dear) in tables.items():
+            chosen = table.where(part) if first else table
+            seen = Observation()
+            watched = chosen.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(dear).alias("dear"))
+            written[name] = {"version": write_version(watched, f"{folder}/{name}"), "columns": chosen.columns}
+            counts[name] = (seen.get["rows"], seen.get["dear"])
+        return written, counts
+
+    release(spark, folder, write(True)[0])
+    written, counts = write(False)
+    before = {name: df.count() for name, df in read_release(spark, folder).items()}
+    release(spark, folder, written)
+    lines = [(name, before[name], *counts[name]) for name in current_release(spark, folder)]
+    counted = mapping(spark, lines, "name string, first_rows long, observed long, dear long")
+    stored = None
+    for name, df in read_release(spark, folder).items():
+        line = df.agg(F.count("*").alias("actual")).select(F.lit(name).alias("name"), "actual")
+        stored = line if stored is None else stored.unionAll(line)
+    checked = reconcile(stored, {name: counts[name][0] for name in counts}).where("ok")
+    known = mapping(spark, [(name, len(versions(spark, f"{folder}/{name}"))) for name in tables], "name string, versions_known long")
+    return counted.join(checked.select("name", F.col("actual").alias("row_count")), "name").join(known, "name").select(
+        "name", "first_rows", "row_count", "dear", "versions_known"
+    )

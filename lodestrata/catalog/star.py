@@ -18,9 +18,10 @@ from lodestrata.operators.quality import (
     snapshot_hash,
     table_counts,
 )
-from lodestrata.operators.star import Relation, StarModel, orphan_count
+from lodestrata.operators.star import Bridged, Relation, StarModel, orphan_count
 from lodestrata.session import scratch_folder
 from lodestrata.sources.tables import publish, published_view
+from lodestrata.sources.versions import read_published
 
 _SPINE = """
     months AS (
@@ -209,12 +210,15 @@ def keyed_sums(spark: SparkSession, root: str) -> DataFrame:
 
 def _order_model(s: Sample) -> StarModel:
     """Orders under nations: orders carry their customer's nation, counted per customer and status first."""
-    per_customer = s.orders.groupBy("o_custkey", "o_orderstatus").agg(
-        F.count("*").alias("order_count"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("price")
-    )
+
+    def per_customer(orders: DataFrame) -> DataFrame:
+        return orders.groupBy("o_custkey", "o_orderstatus").agg(
+            F.count("*").alias("order_count"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("price")
+        )
+
     homes = s.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation_key"))
     return StarModel(
-        {"dim_nation": dim_nation(s), "orders": per_customer.join(homes, "o_custkey")},
+        {"dim_nation": dim_nation(s), "orders": Bridged(s.orders, "o_custkey", homes, per_customer)},
         (Relation("orders", "nation_key", "dim_nation", "nation_key"),),
     )
 
@@ -278,9 +282,9 @@ def snapshot_fingerprint(spark: SparkSession, root: str) -> DataFrame:
         runs = []
         for n, run in enumerate((first, again, other)):
             publish(run, f"{folder}/{name}-{n}")
-            written = spark.read.parquet(f"{folder}/{name}-{n}")
+            written = read_published(spark, f"{folder}/{name}-{n}")
             runs.append(snapshot_hash(written, ("at",)).withColumn("run", F.lit(n)))
-        counted = spark.read.parquet(f"{folder}/{name}-0").drop("at")
+        counted = read_published(spark, f"{folder}/{name}-0").drop("at")
         values = counted.agg(sum((F.count(c) for c in counted.columns), F.count("*")).alias("filled"))
         both = runs[0].unionAll(runs[1]).unionAll(runs[2]).unionByName(values, allowMissingColumns=True)
         prints = both.agg(

@@ -123,7 +123,7 @@ def as_of_lookup(spark: SparkSession, root: str) -> DataFrame:
     s = Sample(spark, root)
     changes = s.events.select("user_id", "event_id", "event_type", "ts", day("ts").alias("changed"))
     found = as_of_join(
-        user_days(s), changes, "user_id", "date", "changed", "event_type", "latest_type", tie=["ts", "event_id"]
+        user_days(s.events), changes, "user_id", "date", "changed", "event_type", "latest_type", tie=["ts", "event_id"]
     )
     return found.withColumn("date", iso("date"))
 
@@ -147,7 +147,7 @@ def _levels(s: Sample) -> DataFrame:
     )
     users = s.customer.select(F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
     return as_of_join(
-        user_days(s).join(users, "user_id", "left"),
+        user_days(s.events).join(users, "user_id", "left"),
         changes,
         "user_id",
         "date",
@@ -199,7 +199,7 @@ def point_in_interval(spark: SparkSession, root: str) -> DataFrame:
     flag = outside_interval(F.col("date"), F.col("start_day"), F.col("end_day"))
     # Errors are counted per user and day before they meet the stays.
     return (
-        daily_errors(s)
+        daily_errors(s.events)
         .join(_stays(s), "user_id", "left")
         .groupBy(flag.alias("outside_flag"))
         .agg(F.sum("error_count").alias("error_count"))

@@ -8,8 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.operators.dedupe import surplus_rows
-from lodestrata.operators.star import orphan_count
 from lodestrata.sources.tables import mapping
 
 
@@ -55,48 +53,98 @@ class QualityError(RuntimeError):
     """A gate found issues."""
 
 
-def _row_conditions(check) -> tuple[str, Column]:
+def _name(check) -> str:
+    if isinstance(check, Unique):
+        return check.name or f"unique {', '.join(check.columns)}"
+    if isinstance(check, ForeignKey):
+        return check.name or f"{check.column} in {check.dim}"
     if isinstance(check, NotNull):
-        return f"not null {check.column}", F.count_if(F.col(check.column).isNull())
+        return f"not null {check.column}"
+    return check.name if isinstance(check, Check) else f"row count {check.expected}"
+
+
+def _issue(check) -> Column:
+    """Whether a row counts for a check of single rows; every row counts for a row count."""
+    if isinstance(check, NotNull):
+        return F.col(check.column).isNull()
     if isinstance(check, Check):
-        return check.name, F.count_if(~F.coalesce(check.predicate, F.lit(check.null_passes)))
-    off = F.abs(F.count("*") - F.lit(check.expected))
-    return f"row count {check.expected}", off
+        return ~F.coalesce(check.predicate, F.lit(check.null_passes))
+    return F.lit(True)
 
 
-def _report_lines(tables: Mapping[str, DataFrame], checks: Iterable) -> list[DataFrame]:
-    checks = list(checks)
-    lines: list[DataFrame] = []
-    per_row = [c for c in checks if isinstance(c, (NotNull, Check, RowCount))]
-    for table in dict.fromkeys(c.table for c in per_row):
-        named = [_row_conditions(c) for c in per_row if c.table == table]
-        counted = tables[table].agg(*(issues.cast("long").alias(f"_{i}") for i, (_, issues) in enumerate(named)))
-        pairs = F.array(
-            *(F.struct(F.lit(name).alias("check"), F.col(f"_{i}").alias("issues")) for i, (name, _) in enumerate(named))
-        )
-        lines.append(counted.select(F.lit(table).alias("table"), F.inline(pairs)))
-    for c in checks:
-        if isinstance(c, Unique):
-            name, issues = c.name or f"unique {', '.join(c.columns)}", surplus_rows(tables[c.table], c.columns)
-        elif isinstance(c, ForeignKey):
-            name = c.name or f"{c.column} in {c.dim}"
-            issues = orphan_count(tables[c.table], c.column, tables[c.dim], c.dim_column)
-        else:
-            continue
-        lines.append(issues.select(F.lit(c.table).alias("table"), F.lit(name).alias("check"), "issues"))
-    return lines
+def row_metrics(checks: Iterable, table: str) -> dict[str, Column]:
+    """The checks of a table's single rows as named counts of issue rows, to be observed while it is written."""
+    return {_name(c): F.count_if(_issue(c)) for c in checks if isinstance(c, (NotNull, Check)) and c.table == table}
+
+
+def _key(parts: Iterable[Column]) -> Column:
+    return F.array(*(part.cast("string") for part in parts))
+
+
+def _entries(name: str, tables: Mapping[str, DataFrame], checks: list) -> DataFrame | None:
+    """What a table's rows say, in one pass: (check, key, of_dim) for each key check that the table takes part in, and the
+    outcomes of all its checks of single rows as one text."""
+    table = tables[name]
+    entry = lambda i, key, of_dim=False: F.struct(F.lit(i).alias("check"), key.alias("key"), F.lit(of_dim).alias("of_dim"))
+    said = []
+    for i, c in enumerate(checks):
+        if isinstance(c, Unique) and c.table == name:
+            said.append(entry(i, _key(map(F.col, c.columns))))
+        if isinstance(c, ForeignKey) and c.table == name:
+            kind = tables[c.dim].schema[c.dim_column].dataType
+            own = F.col(c.column)
+            said.append(entry(i, _key([own if table.schema[c.column].dataType == kind else own.cast(kind)])))
+        if isinstance(c, ForeignKey) and c.dim == name:
+            said.append(entry(i, _key([F.col(c.dim_column)]), True))
+    per_row = [c for c in checks if isinstance(c, (NotNull, Check, RowCount)) and c.table == name]
+    if per_row:
+        flags = F.concat(*(F.when(_issue(c), F.lit("1")).otherwise(F.lit("0")) for c in per_row))
+        said.append(entry(len(checks) + list(tables).index(name), F.array(flags)))
+    return table.select(F.inline(F.array(*said))) if said else None
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable) -> DataFrame:
     """Report with one row per check: table, check, issues.
 
-    All row-level checks of a table are evaluated in one pass over it; keys take one aggregate each.
+    Each table is read once, whatever the number of its keys, references and row checks: its rows are expanded to (check,
+    key) and counted per key before one shuffle. Keys are compared as text, NULL members included; a NULL reference is an
+    issue. An entry that many rows share crosses the shuffle once per task.
     """
-    lines = _report_lines(tables, checks)
-    report = lines[0]
-    for line in lines[1:]:
-        report = report.unionAll(line)
-    return report
+    checks = list(checks)
+    said = [entries for name in tables if (entries := _entries(name, tables, checks)) is not None]
+    spark = next(iter(tables.values())).sparkSession
+    everything = said[0]
+    for more in said[1:]:
+        everything = everything.unionAll(more)
+    rows = F.count_if(~F.col("of_dim"))
+    per_key = everything.groupBy("check", "key").agg(rows.alias("rows"), F.max("of_dim").alias("known"))
+
+    single = F.col("check") >= len(checks)
+    known = F.col("known") & F.get("key", F.lit(0)).isNotNull()
+    counted = per_key.groupBy("check", F.when(single, F.get("key", F.lit(0))).alias("flags")).agg(
+        F.sum("rows").alias("rows"),
+        F.sum(F.greatest(F.col("rows") - 1, F.lit(0))).alias("surplus"),
+        F.sum(F.when(~known, F.col("rows")).otherwise(F.lit(0))).alias("orphans"),
+    )
+    # From here on there are a few rows per check.
+    outcome = lambda i, n: F.struct(F.lit(i).alias("id"), n.alias("issues"))
+    by_check = F.array().cast("array<struct<id:int,issues:bigint>>")
+    for t, name in enumerate(tables):
+        own = [i for i, c in enumerate(checks) if isinstance(c, (NotNull, Check, RowCount)) and c.table == name]
+        flagged = [outcome(i, F.when(F.substring("flags", k + 1, 1) == "1", F.col("rows")).otherwise(F.lit(0))) for k, i in enumerate(own)]
+        if own:
+            by_check = F.when(F.col("check") == len(checks) + t, F.array(*flagged)).otherwise(by_check)
+    for i, c in enumerate(checks):
+        if isinstance(c, (Unique, ForeignKey)):
+            issues = F.col("surplus" if isinstance(c, Unique) else "orphans")
+            by_check = F.when(F.col("check") == i, F.array(outcome(i, issues))).otherwise(by_check)
+    found = counted.select(F.inline(by_check)).groupBy("id").agg(F.sum("issues").alias("_issues"))
+
+    lines = [(i, c.table, _name(c), c.expected if isinstance(c, RowCount) else -1) for i, c in enumerate(checks)]
+    listed = mapping(spark, lines, "_id int, table string, check string, _expected long")
+    issues = F.coalesce("_issues", F.lit(0).cast("long"))
+    issues = F.when(F.col("_expected") < 0, issues).otherwise(F.abs(issues - F.col("_expected")))
+    return listed.join(found, F.col("_id") == F.col("id"), "left").select("table", "check", issues.alias("issues"))
 
 
 def raise_on_issues(report: DataFrame) -> None:
@@ -126,8 +174,14 @@ def reconcile(actual: DataFrame, expected: Mapping[str, int]) -> DataFrame:
 
 def raise_on_mismatch(report: DataFrame) -> None:
     wrong = report.where(~F.col("ok")).orderBy("name").collect()
+    raise_on_counts({r["name"]: r["actual"] for r in wrong}, {r["name"]: r["expected"] for r in wrong})
+
+
+def raise_on_counts(actual: Mapping[str, int | None], expected: Mapping[str, int]) -> None:
+    """Stops where a count that was taken already is not the expected one; no job is run."""
+    wrong = {name: n for name, n in sorted(expected.items()) if actual.get(name) != n}
     if wrong:
-        found = "; ".join(f"{r['name']}: expected {r['expected']:,}, found {r['actual']}" for r in wrong)
+        found = "; ".join(f"{name}: expected {n:,}, found {actual.get(name)}" for name, n in wrong.items())
         raise QualityError(f"counts do not reconcile: {found}")
 
 

@@ -26,3 +26,9 @@ def rejection_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
         line = df.agg(F.count("*").alias("row_count")).select(F.lit(category).alias("category"), "row_count")
         summary = line if summary is None else summary.unionAll(line)
     return summary
+
+
+def summary_query(tables: Mapping[str, str]) -> str:
+    """The same summary as SQL over tables of the catalog, for a lasting view: category -> qualified name."""
+    lines = [f"SELECT '{category}' AS category, count(*) AS row_count FROM {name}" for category, name in tables.items()]
+    return " UNION ALL ".join(lines)

@@ -33,8 +33,17 @@ def top_n_per_group(
 
 
 def top_n_with_ties(df: DataFrame, measure: str, n: int, rank: str = "rank") -> DataFrame:
-    """Rows ranked n or better by a measure; rows level with the last one stay in."""
-    return df.withColumn(rank, F.rank().over(Window.orderBy(F.col(measure).desc_nulls_last()))).where(F.col(rank) <= n)
+    """Rows ranked n or better by a measure; rows level with the last one stay in. NULL ranks last.
+
+    The n largest values are found first (each task forwards n) and reach the rows as one array: a value's place in it is its
+    rank, and what is not in it is out. However many rows are level, they stay where they are.
+    """
+    most = df.select(measure).orderBy(F.col(measure).desc_nulls_last()).limit(n)
+    known = most.agg(F.sort_array(F.collect_list(measure), asc=False).alias("values")).scalar()
+    value = F.col(measure)
+    place = F.when(value.isNotNull(), F.nullif(F.array_position(known, value), F.lit(0)))
+    last = F.when(value.isNull() & (F.size(known) < n), F.size(known) + 1)
+    return df.withColumn(rank, F.coalesce(place, last).cast("int")).where(F.col(rank).isNotNull())
 
 
 def with_total(

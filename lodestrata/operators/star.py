@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
@@ -19,14 +19,38 @@ class Relation:
     dim_key: str
 
 
+@dataclass(frozen=True)
+class Bridged:
+    """A fact made of raw rows, whose dimension keys stand in another table.
+
+    `bridge` has `key`, once per row, and the dimension keys; `shape` turns raw rows into fact rows and keeps `key`. Filters of
+    dimensions narrow the bridge, and its keys narrow the raw rows before `shape` aggregates them.
+    """
+
+    raw: DataFrame
+    key: str
+    bridge: DataFrame
+    shape: Callable[[DataFrame], DataFrame]
+
+    def table(self, keys: Mapping[str, DataFrame]) -> DataFrame:
+        """Fact rows with their dimension keys, only of the given ones (one-column relations by the name of the key)."""
+        bridge, raw = self.bridge, self.raw
+        for name, chosen in keys.items():
+            bridge = bridge.join(chosen, name, "left_semi")
+        if keys:
+            raw = raw.join(bridge.select(self.key), self.key, "left_semi")
+        return self.shape(raw).join(bridge, self.key)
+
+
 @dataclass(frozen=True)
 class StarModel:
     """Tables, their relations, and the dimension filters of the current context.
 
-    Filters are kept as predicates and applied where a table is read, so a measure can step out of one.
+    Filters are kept as predicates and applied where a table is read, so a measure can step out of one. A fact's filters
+    stand as semi-joins right above its scan, where a fact that is partitioned by the key is pruned.
     """
 
-    tables: Mapping[str, DataFrame]
+    tables: Mapping[str, DataFrame | Bridged]
     relations: tuple[Relation, ...]
     filters: Mapping[str, Column] = field(default_factory=dict)
 
@@ -36,12 +60,18 @@ class StarModel:
     def table(self, name: str, ignore: Sequence[str] = ()) -> DataFrame:
         """A table in context: a dimension under its filter, a fact semi-joined to its filtered dimensions."""
         table = self.tables[name]
+        chosen = {
+            r.fact_key: self.table(r.dim).select(F.col(r.dim_key).alias(r.fact_key))
+            for r in self.relations
+            if r.fact == name and r.dim in self.filters and r.dim not in ignore
+        }
+        if isinstance(table, Bridged):
+            over = {key: chosen.pop(key) for key in list(chosen) if key in table.bridge.columns}
+            table = table.table(over)
         if name in self.filters and name not in ignore:
             table = table.where(self.filters[name])
-        for r in self.relations:
-            if r.fact == name and r.dim in self.filters and r.dim not in ignore:
-                keys = self.table(r.dim).select(F.col(r.dim_key).alias(r.fact_key))
-                table = table.join(keys, r.fact_key, "left_semi")
+        for key, keys in chosen.items():
+            table = table.join(keys, key, "left_semi")
         return table
 
     def filtered(self, predicates: Mapping[str, Column]) -> StarModel:
@@ -54,10 +84,13 @@ class StarModel:
     def relation(self, fact: str, dim: str) -> Relation | None:
         return next((r for r in self.relations if r.fact == fact and r.dim == dim), None)
 
-    def with_attributes(self, fact: str, columns: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
+    def with_attributes(
+        self, fact: str, columns: Sequence[str], ignore: Sequence[str] = (), unknown: bool = False
+    ) -> DataFrame:
         """Fact rows in context with the named 'dimension.column' attributes.
 
-        Rows without a dimension row drop out, as they belong to no group of it.
+        Rows without a dimension row drop out, or with `unknown` belong to the dimension's unknown member, whose
+        attributes are all NULL. Under a filter of the dimension there are none.
         """
         table = self.table(fact, ignore)
         wanted: dict[str, list[str]] = {}
@@ -71,7 +104,8 @@ class StarModel:
             attributes = self.tables[dim].select(
                 F.col(r.dim_key).alias("_dim_key"), *(F.col(name).alias(f"{dim}.{name}") for name in names)
             )
-            table = table.join(attributes, F.col(r.fact_key) == F.col("_dim_key")).drop("_dim_key")
+            how = "left" if unknown else "inner"
+            table = table.join(attributes, F.col(r.fact_key) == F.col("_dim_key"), how).drop("_dim_key")
         return table
 
 

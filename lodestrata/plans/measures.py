@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from lodestrata.functions import safe_ratio
@@ -45,21 +45,30 @@ class Amount:
 
 @dataclass(frozen=True)
 class Total:
-    """The amount itself, 0 where there is none."""
+    """The amount itself, `empty` where there is none (None leaves it blank)."""
 
     amount: Amount
+    empty: int | None = 0
 
     @property
     def amounts(self) -> tuple[Amount, ...]:
         return (self.amount,)
 
     def value(self, parts: Mapping[Amount, Column], dates: Mapping[int, Column]) -> Column:
-        return F.coalesce(parts[self.amount], F.lit(0))
+        return _filled(parts[self.amount], self.empty, self.amount)
+
+
+def _filled(value: Column, empty: int | None, amount: Amount) -> Column:
+    """A missing amount as `empty`. Where it is to stay blank, a distinct count of nothing is missing too."""
+    if empty is not None:
+        return F.coalesce(value, F.lit(empty))
+    return F.nullif(value, F.lit(0)) if amount.distinct else value
 
 
 @dataclass(frozen=True)
 class Rate:
-    """Numerator over denominator; a missing numerator is 0, a missing denominator leaves it blank.
+    """Numerator over denominator; a missing numerator counts as `empty` (None: the rate is blank), a missing denominator
+    leaves it blank.
 
     With `daily` the denominator is the average per date that exists in its window.
     """
@@ -68,6 +77,7 @@ class Rate:
     denominator: Amount
     scale: float = 1.0
     daily: bool = False
+    empty: int | None = 0
 
     @property
     def amounts(self) -> tuple[Amount, ...]:
@@ -77,7 +87,7 @@ class Rate:
         below = parts[self.denominator]
         if self.daily:
             below = safe_ratio(below, dates[self.denominator.days])
-        return safe_ratio(F.coalesce(parts[self.numerator], F.lit(0)), below, self.scale)
+        return safe_ratio(_filled(parts[self.numerator], self.empty, self.numerator), below, self.scale)
 
 
 @dataclass(frozen=True)
@@ -98,8 +108,19 @@ def _names(by: Sequence[str]) -> list[str]:
     return [path.split(".")[1] for path in by]
 
 
-def _groups(by: Sequence[str]) -> list[Column]:
-    return [F.col(f"`{path}`").alias(path.split(".")[1]) for path in by]
+def _grouped(table: DataFrame, by: Sequence[str], total: bool, *more: Column) -> tuple[GroupedData, list[Column]]:
+    """Rows grouped by the attributes and `more`, with `total` once more by `more` alone in the same pass; and the group's
+    columns under their names. `_total` tells the total from a group without a name."""
+    marks = {f"_g{i}": F.col(f"`{path}`") for i, path in enumerate(by)}
+    keys = [F.col(mark) for mark in marks]
+    named = [F.col(mark).alias(path.split(".")[1]) for mark, path in zip(marks, by)]
+    if not total:
+        return table.withColumns(marks).groupBy(*keys, *more), named
+    return table.withColumns(marks).groupingSets([[*keys, *more], [*more]], *keys, *more), [*named, F.col("_total")]
+
+
+def _marked(total: bool) -> list[Column]:
+    return [(F.grouping("_g0") == 1).alias("_total")] if total else []
 
 
 def _window(model: StarModel, calendar: str, days: int) -> DataFrame:
@@ -109,16 +130,17 @@ def _window(model: StarModel, calendar: str, days: int) -> DataFrame:
 
 
 def _amounts(
-    model: StarModel, calendar: str | None, fact: str, amounts: Mapping[str, Amount], by: Sequence[str]
+    model: StarModel, calendar: str | None, fact: str, amounts: Mapping[str, Amount], by: Sequence[str], total: bool
 ) -> DataFrame:
-    """All amounts of one fact in one aggregate."""
+    """All amounts of one fact in one aggregate, its total included."""
     lengths = sorted({amount.days for amount in amounts.values() if amount.days is not None})
     if not lengths:
-        table = model.with_attributes(fact, by)
-        return table.groupBy(*_groups(by)).agg(*(amount.aggregate().alias(name) for name, amount in amounts.items()))
+        groups, named = _grouped(model.with_attributes(fact, by, unknown=True), by, total)
+        sums = [amount.aggregate().alias(name) for name, amount in amounts.items()]
+        return groups.agg(*sums, *_marked(total)).select(*named, *amounts)
 
     # A window reaches back past a selection of dates, so dates are flagged here instead of filtered.
-    table = model.with_attributes(fact, by, ignore=(calendar,))
+    table = model.with_attributes(fact, by, ignore=(calendar,), unknown=True)
     date = next(iter(amounts.values())).date
     spans = {f"_last_{days}": _window(model, calendar, days) for days in lengths}
     everything = [amount for amount in amounts.values() if amount.days is None]
@@ -134,28 +156,33 @@ def _amounts(
         flag = "_selected" if amount.days is None else f"_last_{amount.days}"
         return flag if flag in spans else None
 
-    return table.groupBy(*_groups(by)).agg(
-        *(amount.aggregate(flag_of(amount)).alias(name) for name, amount in amounts.items())
-    )
+    groups, named = _grouped(table, by, total)
+    sums = [amount.aggregate(flag_of(amount)).alias(name) for name, amount in amounts.items()]
+    return groups.agg(*sums, *_marked(total)).select(*named, *amounts)
 
 
-def _latest(model: StarModel, measure: Latest, by: Sequence[str], out: str) -> DataFrame:
-    per_period = (
-        model.with_attributes(measure.fact, by)
-        .groupBy(*_groups(by), F.col(measure.period).alias("_period"))
-        .agg(F.sum(measure.numerator).alias("_num"), F.sum(measure.denominator).alias("_den"))
-    )
+def _latest(model: StarModel, measure: Latest, by: Sequence[str], total: bool, out: str) -> DataFrame:
+    table = model.with_attributes(measure.fact, by, unknown=True).withColumn("_period", F.col(measure.period))
+    groups, named = _grouped(table, by, total, F.col("_period"))
+    per_period = groups.agg(F.sum(measure.numerator).alias("_num"), F.sum(measure.denominator).alias("_den"), *_marked(total))
     newest = F.max(F.struct("_period", "_num", "_den")).alias("_last")
     ratio = safe_ratio(F.col("_last._num"), F.col("_last._den"), measure.scale)
-    return per_period.groupBy(*_names(by)).agg(newest).select(*_names(by), ratio.alias(out))
+    kept = [*_names(by), *(["_total"] if total else [])]
+    return per_period.select(*named, "_period", "_num", "_den").groupBy(*kept).agg(newest).select(*kept, ratio.alias(out))
 
 
 def evaluate(
-    model: StarModel, measures: Mapping[str, Measure], by: Sequence[str] = (), calendar: str | None = None
+    model: StarModel,
+    measures: Mapping[str, Measure],
+    by: Sequence[str] = (),
+    calendar: str | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """One column per measure, one row per group of `by` ('dimension.column' paths), or one row in all.
 
-    Trailing windows end on the last calendar day in context and are not cut by a selection of dates. For windows that end with each day or period, see
+    Facts without a dimension member are the group whose attributes are NULL. With `total` there is one more row, labelled so
+    in the first attribute: its measures are evaluated over all rows, in the same pass over each fact. Trailing windows end on
+    the last calendar day in context and are not cut by a selection of dates. For windows that end with each day or period, see
     `trailing_series` and `at_period_ends`.
     """
     wanted: dict[Amount, str] = {}
@@ -166,16 +193,23 @@ def evaluate(
 
     if any(amount.days for amount in wanted) and any(path.startswith(f"{calendar}.") for path in by):
         raise ValueError("a trailing window is not grouped by its own calendar; use trailing_series")
+    if total is not None and not by:
+        raise ValueError("a total row needs groups")
 
-    parts = [_latest(model, m, by, name) for name, m in measures.items() if isinstance(m, Latest)]
+    with_total = total is not None
+    parts = [_latest(model, m, by, with_total, name) for name, m in measures.items() if isinstance(m, Latest)]
     for fact in dict.fromkeys(amount.fact for amount in wanted):
         of_fact = {name: amount for amount, name in wanted.items() if amount.fact == fact}
-        parts.append(_amounts(model, calendar, fact, of_fact, by))
+        parts.append(_amounts(model, calendar, fact, of_fact, by, with_total))
 
+    if with_total:  # grouping sets over no rows have no total
+        kinds = dict(parts[0].dtypes)
+        empty = [F.lit(None).cast(kinds[name]).alias(name) for name in _names(by)]
+        parts.append(parts[0].sparkSession.range(1).select(*empty, F.lit(True).alias("_total")))
     if by:
         joined = parts[0]
         for part in parts[1:]:
-            joined = join_null_safe(joined, part, _names(by), "full")
+            joined = join_null_safe(joined, part, [*_names(by), *(["_total"] if with_total else [])], "full")
     else:
         joined = one_row(*parts)
 
@@ -184,8 +218,11 @@ def evaluate(
         for days in {amount.days for amount in wanted if amount.days is not None}
     }
     columns = {amount: F.col(name) for amount, name in wanted.items()}
+    names: list[Column] = [F.col(name) for name in _names(by)]
+    if with_total:
+        names[0] = F.when(F.col("_total"), F.lit(total)).otherwise(names[0]).alias(_names(by)[0])
     return joined.select(
-        *_names(by),
+        *names,
         *(
             F.col(name) if isinstance(m, Latest) else m.value(columns, dates).alias(name)
             for name, m in measures.items()
@@ -196,14 +233,17 @@ def evaluate(
 def with_total_row(
     model: StarModel, measures: Mapping[str, Measure], by: str, calendar: str | None = None, label: str = "Total"
 ) -> DataFrame:
-    """Measures per group and once more without grouping: totals are evaluated, never added up."""
-    total = evaluate(model, measures, (), calendar).withColumn(by.split(".")[1], F.lit(label))
-    return evaluate(model, measures, (by,), calendar).unionByName(total)
+    """Measures per group and one more row for all of them: totals are evaluated, never added up."""
+    return evaluate(model, measures, (by,), calendar, total=label)
+
+
+def _groups(by: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{path}`").alias(path.split(".")[1]) for path in by]
 
 
 def _daily(model: StarModel, calendar: str, amount: Amount, by: Sequence[str], out: str) -> DataFrame:
     return (
-        model.with_attributes(amount.fact, by, ignore=(calendar,))
+        model.with_attributes(amount.fact, by, ignore=(calendar,), unknown=True)
         .groupBy(*_groups(by), F.col(amount.date).alias("date"))
         .agg(amount.aggregate().alias(out))
     )
@@ -221,7 +261,7 @@ def trailing_series(
         rolled = trailing(daily, days, "date", length, ("event_count", "day_count"), group)
     else:
         groups = daily.select(*group).distinct() if group else None
-        rows = model.with_attributes(rate.numerator.fact, by, ignore=(calendar,)).select(
+        rows = model.with_attributes(rate.numerator.fact, by, ignore=(calendar,), unknown=True).select(
             *_groups(by), F.expr(rate.numerator.value).alias("_key"), F.col(rate.numerator.date).alias("date")
         )
         seen = trailing_distinct(rows, days, "_key", "date", length, "event_count", group, groups)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.operators.quarantine import rejected, rejection_summary
+from lodestrata.operators.quarantine import rejected
 from lodestrata.plans.config import REJECTION_REASONS
 
 
@@ -20,5 +20,3 @@ def quarantine_tables(
     }
     return {name: rejected(df, flag, REJECTION_REASONS[name]) for name, (df, flag) in flagged.items()}
 
-
-__all__ = ["quarantine_tables", "rejection_summary"]

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import csv
 from collections import defaultdict
+from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +22,20 @@ LINEAGE = ("_source_file", "_source_table", "_source_month", "_row_number", "_in
 # ---------------------------------------------------------------------------------------------
 
 _SPLIT = ("_path", "_block")
+_LINE = "_line_as_delivered"
+
+
+class MalformedDrop(ValueError):
+    """A file has rows with more fields than its header."""
+
+
+@dataclass(frozen=True)
+class Drop:
+    """The rows of a domain's files, the lines with more fields than their header, and how many of these there are."""
+
+    rows: DataFrame
+    malformed: DataFrame
+    surplus: int
 
 
 def drop_manifest(spark: SparkSession, root: str, patterns: dict[str, str]) -> DataFrame:
@@ -93,11 +108,24 @@ def _headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], lis
     return grouped
 
 
+def field_count(line: Column) -> Column:
+    """Number of fields in a CSV line; commas inside quoted fields do not part."""
+    bare = F.regexp_replace(line, r'(^|,)"(?:[^"]|"")*"', "$1")
+    return F.char_length(bare) - F.char_length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+
+
 def _read_strings(spark: SparkSession, columns: tuple[str, ...], paths: list[str], multi_line: bool) -> DataFrame:
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    rows = _reader(spark, multi_line).schema(schema).csv(paths)
+    """Rows as strings with their place; `_delivered_fields` and the line itself where a row has more fields than the header."""
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*columns, _LINE)])
+    reader = _reader(spark, multi_line).option("columnNameOfCorruptRecord", _LINE)
+    # The reader keeps the line of every row whose number of fields is not the header's, too few or too many.
+    rows = reader.schema(schema).csv(paths).withColumn("_delivered_fields", field_count(F.col(_LINE)))
+    surplus = F.col("_delivered_fields") > len(columns)
     return rows.select(
         *(F.nullif(F.col(f"`{name}`"), F.lit("")).alias(name) for name in columns),
+        F.when(surplus, F.col(_LINE)).alias(_LINE),
+        F.when(surplus, F.col("_delivered_fields")).alias("_delivered_fields"),
+        F.lit(len(columns)).alias("_header_fields"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_name").alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -120,7 +148,7 @@ def _number_rows(rows: DataFrame) -> DataFrame:
     return rows.join(offsets, list(_SPLIT)).withColumn("_row_number", number)
 
 
-def read_drop(
+def read_drop_parts(
     spark: SparkSession,
     root: str,
     pattern: str,
@@ -129,12 +157,14 @@ def read_drop(
     required: tuple[str, ...] = (),
     recursive: bool = False,
     multi_line: bool = False,
-) -> DataFrame:
+) -> Drop:
     """All files of a domain as strings, united by column name, with five lineage columns.
 
     The period is matched in a file's whole path. Columns a file lacks are NULL, and so are `required`
-    columns that no file brings. `multi_line` allows line breaks inside quotes (not in the header), at the price that a
-    file is then read by one task. The rows are stored once in the shared folder and numbered from there.
+    columns that no file brings; rows that end early are filled with NULL. Rows with more fields than the header of
+    their file are set aside as delivered: `_line`, `_delivered_fields`, `_header_fields` and lineage, with the row numbers they
+    have among all rows. `multi_line` allows line breaks inside quotes (not in the header), at the price that a file is
+    then read by one task. The rows are stored once in the shared folder, counted meanwhile, and numbered from there.
     """
     listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
     listing = listing.option("recursiveFileLookup", recursive).load(root)
@@ -145,25 +175,42 @@ def read_drop(
     staged = scratch_folder(spark)
 
     united: DataFrame | None = None
+    surplus = 0
     for n, (columns, same_header) in enumerate(sorted(_headers(spark, paths).items()) or [((), [])]):
         if columns:
             read = _read_strings(spark, columns, sorted(same_header), multi_line)
-            read.write.parquet(f"{staged}/{n}")
+            seen = Observation()
+            read.observe(seen, F.count("_delivered_fields").alias("surplus")).write.parquet(f"{staged}/{n}")
+            surplus += seen.get["surplus"]
             rows = spark.read.schema(read.schema).parquet(f"{staged}/{n}")
         else:  # no file has a header
-            rows = spark.createDataFrame([], "_path string, _source_file string, _block long, _position long")
+            rows = spark.createDataFrame(
+                [], f"{_LINE} string, _delivered_fields int, _header_fields int, _path string, _source_file string, _block long, _position long"
+            )
         part = _number_rows(rows).drop("_block", "_position", "_first", "_before")
         united = part if united is None else united.unionByName(part, allowMissingColumns=True)
 
     for name in required:
         if name not in united.columns:
             united = united.withColumn(name, F.lit(None).cast("string"))
-    data = [name for name in united.columns if name not in (*LINEAGE, "_path")]
-    return united.select(
-        *(F.col(f"`{name}`") for name in data),
-        "_source_file",
+    data = [name for name in united.columns if name not in (*LINEAGE, "_path", _LINE, "_delivered_fields", "_header_fields")]
+    lineage = [
+        F.col("_source_file"),
         F.lit(domain).alias("_source_table"),
         F.regexp_extract("_path", period_pattern, 1).alias("_source_month"),
-        "_row_number",
+        F.col("_row_number"),
         F.current_timestamp().alias("_ingested_at_utc"),
+    ]
+    return Drop(
+        united.where(F.col("_delivered_fields").isNull()).select(*(F.col(f"`{name}`") for name in data), *lineage),
+        united.where(F.col("_delivered_fields").isNotNull()).select(F.col(_LINE).alias("_line"), "_delivered_fields", "_header_fields", *lineage),
+        surplus,
     )
+
+
+def read_drop(spark: SparkSession, root: str, pattern: str, domain: str, **options) -> DataFrame:
+    """The rows of `read_drop_parts`, for files in which no row has more fields than the header; others raise MalformedDrop."""
+    drop = read_drop_parts(spark, root, pattern, domain, **options)
+    if drop.surplus:
+        raise MalformedDrop(f"{domain}: {drop.surplus:,} rows have more fields than the header of their file")
+    return drop.rows

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lodestrata.sources.drops import drop_manifest, manifest_issues, read_drop
+from lodestrata.sources.drops import MalformedDrop, drop_manifest, manifest_issues, read_drop, read_drop_parts
 
 
 def put(folder, name, text):
@@ -98,3 +98,22 @@ def test_only_files_without_header(spark, tmp_path):
     put(tmp_path, "pets_2025_01.csv", "\n\n")
     df = read_drop(spark, str(tmp_path), "pets_*.csv", "pets", required=("id",))
     assert df.count() == 0 and df.columns[0] == "id"
+
+
+def test_surplus_fields_are_set_aside(spark, tmp_path):
+    (tmp_path / "pets_2024_01.csv").write_text('id,owner\n1,ann\n2,b,SURPLUS\n3\n"4,x","c ""q"", d"\n5,e,,\n6,"f,g",h,"i,j"\n')
+    (tmp_path / "pets_2024_02.csv").write_text("owner,id,age\nzoe,7,3\ny,8,4,5\n")
+    drop = read_drop_parts(spark, str(tmp_path), "pets_*.csv", "pets")
+    assert drop.surplus == 4
+    assert sorted((r.id, r.owner, r.age, r._source_month, r._row_number) for r in drop.rows.collect()) == sorted(
+        [("1", "ann", None, "2024_01", 1), ("3", None, None, "2024_01", 3), ("4,x", 'c "q", d', None, "2024_01", 4), ("7", "zoe", "3", "2024_02", 1)]
+    )
+    aside = {(r._source_file, r._row_number): (r._line, r._delivered_fields, r._header_fields) for r in drop.malformed.collect()}
+    assert aside == {
+        ("pets_2024_01.csv", 2): ("2,b,SURPLUS", 3, 2),
+        ("pets_2024_01.csv", 5): ("5,e,,", 4, 2),
+        ("pets_2024_01.csv", 6): ('6,"f,g",h,"i,j"', 4, 2),
+        ("pets_2024_02.csv", 2): ("y,8,4,5", 4, 3),
+    }
+    with pytest.raises(MalformedDrop, match="pets: 4 rows"):
+        read_drop(spark, str(tmp_path), "pets_*.csv", "pets")

@@ -1,6 +1,7 @@
 """The whole pipeline over synthetic drops against a day-by-day reading of the rules."""
 
 import datetime as dt
+import shutil
 from collections import Counter, defaultdict
 from dataclasses import replace
 
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from lodestrata.operators.quality import QualityError, snapshot_hash
 from lodestrata.plans import config, reports
-from lodestrata.plans.refresh import import_gold, refresh
+from lodestrata.plans.refresh import Store, import_gold, refresh
 from lodestrata.plans.silver import lease_candidates
+from lodestrata.sources.versions import current_release
 from tests.drops import FIRST, LAST, expected_days, make_drops, month_bounds, seen_stays
 
 ALL_DAYS = [FIRST + dt.timedelta(days=i) for i in range(181)]
@@ -267,3 +269,46 @@ def test_catalog_tables(spark, run, tmp_path):
     assert all(spark.table(f"reports.{name}").count() > 0 for name in named)
     for layer in ("bronze", "silver", "quarantine", "gold", "reports"):
         spark.sql(f"drop database {layer} cascade")
+
+
+def test_a_failed_run_changes_nothing(spark, run, tmp_path):
+    """Readers of the store and of the export keep the tables of the run before, and gates need no job."""
+    base, _, expected, result = run
+    store, export = str(tmp_path / "store"), str(tmp_path / "export")
+    refresh(spark, str(base / "source"), store, export, expected)
+    before = current_release(spark, store), current_release(spark, export)
+    with pytest.raises(QualityError, match="completed move-outs: expected 31, found 30"):
+        refresh(spark, str(base / "source"), store, export, replace(expected, findings={"completed move-outs": 31}))
+    assert (current_release(spark, store), current_release(spark, export)) == before
+    assert Store(spark, store).read("gold", "fact_resident_day").count() == result.gold["fact_resident_day"].count()
+    assert import_gold(spark, export)["fact_lease"].count() == 60
+    with pytest.raises(FileNotFoundError):
+        Store(spark, store).read("gold", "fact_of_none")
+
+
+def test_counts_are_taken_while_writing(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    tracker = spark.sparkContext.statusTracker()
+    rows = spark.range(0, 100, 1, 7).withColumn("part", F.col("id") % 3)
+    store.write("a", "full", rows, ("part",), {"odd": F.count_if(F.col("id") % 2 == 1), "most": F.max("id")})
+    store.write("a", "empty", rows.where("id < 0"), (), {"odd": F.count_if(F.col("id") % 2 == 1)})
+    jobs = len(tracker.getJobIdsForGroup(None))
+    assert store.rows("a") == {"full": 100, "empty": 0}
+    assert store.written["a", "full"].counts == {"odd": 50, "most": 99} and store.written["a", "empty"].counts == {"odd": 0}
+    assert len(tracker.getJobIdsForGroup(None)) == jobs
+    assert store.read("a", "full").columns == ["id", "part"]
+
+
+def test_malformed_lines_are_quarantined(spark, run, tmp_path):
+    base, _, expected, result = run
+    assert result.quarantine["malformed_rows"].count() == 0
+    source = tmp_path / "source"
+    shutil.copytree(base / "source", source)
+    broken = sorted(source.glob("gbp_reviews_*.csv"))[0]
+    broken.write_text(broken.read_text().rstrip("\n") + "\nr1,C001,2025-01-05,5,good,,,one,too many\n")
+    found = refresh(spark, str(source), str(tmp_path / "store"), None, config.Expectations())
+    held = found.quarantine["malformed_rows"].collect()
+    assert [(r._line, r._source_table, r._delivered_fields - r._header_fields) for r in held] == [("r1,C001,2025-01-05,5,good,,,one,too many", "gbp_reviews", 2)]
+    assert found.bronze["gbp_reviews"].where("review_id = 'r1'").count() == 0
+    with pytest.raises(QualityError, match="malformed_rows: expected 0, found 1"):
+        refresh(spark, str(source), str(tmp_path / "store"), None, config.Expectations(quarantine={"malformed_rows": 0}))

@@ -11,17 +11,19 @@ from lodestrata.operators.quality import (
     QualityError,
     RowCount,
     Unique,
+    raise_on_counts,
     raise_on_issues,
     raise_on_mismatch,
     reconcile,
+    row_metrics,
     run_checks,
     snapshot_hash,
     table_counts,
 )
 from lodestrata.operators.quarantine import rejection_summary, split_on_flag
 from lodestrata.operators.ranking import top_n_per_group, top_n_with_ties, with_total
-from lodestrata.plans.measures import Amount, Rate, evaluate, trailing_series
-from lodestrata.operators.star import Relation, StarModel, dense_spine, one_row, orphan_count, orphans
+from lodestrata.plans.measures import Amount, Rate, Total, evaluate, trailing_series
+from lodestrata.operators.star import Bridged, Relation, StarModel, dense_spine, one_row, orphan_count, orphans
 from lodestrata.sources.tables import mapping, publish, published_view, read_model
 
 
@@ -175,3 +177,68 @@ def test_null_groups_are_one_group(spark):
         assert sorted(((r.area, r.date.day, r.event_count, r.day_count) for r in rows), key=repr) == sorted(
             [("north", 1, 1 if distinct else 2, 5), ("north", 2, 1 if distinct else 2, 5), (None, 1, 0, 3), (None, 2, 1, 4)], key=repr
         )
+
+
+def test_facts_without_a_member_are_a_group(spark, model):
+    """They have no label, and groups add up to the total; under a filter of the dimension they are gone."""
+    total = Total(Amount("fact", "v", "v"))
+    got = {r.region: r.v for r in evaluate(model, {"v": total}, ("dim.region",), total="Total").collect()}
+    assert got == {"north": 6, "south": 4, None: 11, "Total": 21}
+    north = model.filtered({"dim": F.col("region") == "north"})
+    assert {r.region: r.v for r in evaluate(north, {"v": total}, ("dim.region",), total="Total").collect()} == {"north": 6, "Total": 6}
+    with pytest.raises(ValueError, match="groups"):
+        evaluate(model, {"v": total}, total="Total")
+
+
+def test_blanks(spark, model):
+    nothing = StarModel({**model.tables, "none": model.tables["fact"].where("v > 2 and v < 4")}, (*model.relations, Relation("none", "id", "dim", "id")))
+    hits, seen = Amount("none", "v"), Amount("fact", "v")
+    distinct = Amount("none", "v", "v", distinct=True)
+    measures = {"zero": Rate(hits, seen), "blank": Rate(hits, seen, empty=None), "count": Total(distinct, empty=None), "odd": Rate(seen, hits)}
+    got = {r.region: tuple(r)[1:] for r in evaluate(nothing, measures, ("dim.region",), total="Total").collect()}
+    assert got["south"] == (0.0, None, None, None) and got["north"] == (1 / 3, 1 / 3, 1, 3.0)
+    assert got["Total"] == (1 / 6, 1 / 6, 1, 6.0) and got[None] == (0.0, None, None, None)
+    empty = StarModel({**model.tables, "fact": model.tables["fact"].where("false")}, model.relations)
+    assert [tuple(r) for r in evaluate(empty, {"v": Total(seen)}, ("dim.region",), total="Total").collect()] == [("Total", 0)]
+
+
+def test_bridged_facts(spark):
+    raw = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "a"), (9, "a")], "who int, kind string")
+    homes = spark.createDataFrame([(1, "n"), (2, "s"), (3, None)], "who int, id string")
+    dim = mapping(spark, [("n", "north"), ("s", "south")], "id string, region string")
+    fact = Bridged(raw, "who", homes, lambda rows: rows.groupBy("who", "kind").agg(F.count("*").alias("n")))
+    model = StarModel({"dim": dim, "fact": fact}, (Relation("fact", "id", "dim", "id"),))
+    assert sorted((r.who, r.n) for r in model["fact"].collect()) == [(1, 2), (2, 1), (3, 1)]
+    north = model.filtered({"dim": F.col("region") == "north"})
+    assert [(r.who, r.kind, r.n, r.id) for r in north["fact"].select("who", "kind", "n", "id").collect()] == [(1, "a", 2, "n")]
+    assert north.table("fact", ignore=("dim",)).count() == 3
+
+
+def test_ties_by_threshold(spark):
+    rows = [("a", 5), ("b", 3), ("c", 3), ("d", 3), ("e", 1), ("f", None), ("g", None)]
+    df = spark.createDataFrame(rows, "k string, n int").repartition(3)
+    ranks = lambda n: {r.k: r["rank"] for r in top_n_with_ties(df, "n", n).collect()}
+    assert ranks(1) == {"a": 1} and ranks(2) == ranks(4) == {"a": 1, "b": 2, "c": 2, "d": 2}
+    assert ranks(5) == {"a": 1, "b": 2, "c": 2, "d": 2, "e": 5}
+    assert ranks(6) == ranks(99) == {**ranks(5), "f": 6, "g": 6} and ranks(0) == {}
+    assert top_n_with_ties(df.where("false"), "n", 3).count() == 0
+
+
+def test_all_checks_in_one_pass(spark):
+    """Keys of several columns, NULL keys, references to the table itself, and empty tables."""
+    people = spark.createDataFrame([(1, None, "x"), (2, 1, "x"), (3, 7, None), (3, None, None)], "id long, boss int, team string")
+    teams = spark.createDataFrame([("x",), (None,)], "team string")
+    tables = {"people": people, "teams": teams, "none": teams.where("false")}
+    checks = [Unique("people", ("id",)), Unique("people", ("boss", "team")), ForeignKey("people", "boss", "people", "id"), ForeignKey("people", "team", "teams", "team"),
+              Unique("none", ("team",)), ForeignKey("none", "team", "teams", "team"), NotNull("none", "team"), RowCount("none", 2), RowCount("people", 4), NotNull("people", "team")]
+    found = {(r.table, r.check): r.issues for r in run_checks(tables, checks).collect()}
+    names = ["unique id", "unique boss, team", "boss in people", "team in teams", "row count 4", "not null team"]
+    assert [found["people", name] for name in names] == [1, 0, 3, 2, 0, 2]
+    assert [found["none", name] for name in ("unique team", "team in teams", "not null team", "row count 2")] == [0, 0, 0, 2]
+
+
+def test_counts_without_a_job(spark):
+    with pytest.raises(QualityError, match="a: expected 2, found 3; c: expected 1, found None"):
+        raise_on_counts({"a": 3, "b": 1}, {"a": 2, "b": 1, "c": 1})
+    raise_on_counts({"a": 3}, {})
+    assert set(row_metrics([NotNull("t", "x"), Check("t", "small", F.col("x") < 3), NotNull("u", "y"), Unique("t", ("x",))], "t")) == {"not null x", "small"}
