@@ -1,8 +1,11 @@
 """Licence texts found by the digest of their canonical form, with Spark's own functions only.
 
-Canonical form: A-Z in lower case; lines that begin, but for signs, with a copyright mark (the word with "(c)", the sign
-or a year; "(c)" with a year; the sign) or with "all rights reserved" are taken out; signs and white space become one
-space; equivalent spellings become one. The form of a text keeps its line ends, so that its lines are in canonical form too.
+Canonical form: A-Z in lower case; lines that begin, but for signs, with a copyright mark (the word with "(c)", the sign,
+a year or, written Copyright, a capitalised holder; "(c)" with a year; the sign) or with "all rights reserved" are taken out;
+signs and white space of any script become one space; equivalent spellings become one. Where much more text follows the
+first sentence of such a line, only that sentence is taken out, so that a text on one line is not lost with it; a holder whose
+name has a full stop ("Inc.") then leaves the rest of the name behind. The form of a text keeps its line ends, so that its lines
+are in canonical form too.
 """
 
 from __future__ import annotations
@@ -15,12 +18,15 @@ from pyspark.sql import functions as F
 from lodestrata.llm.license_texts import KNOWN, SPELLINGS
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A copyright line with the line end before it.
-COPYRIGHT_LINE = (
-    r"(^|\n)[^a-z0-9\n]*(copyright[ \t]*(\(c\)|\x{a9}|[0-9]{4})|\(c\)[ \t]*[0-9]{4}|\x{a9}|all rights reserved)[^\n]*"
-)
-#: Signs and white space other than the line end; curly quotes, dashes and the like among them.
-SIGNS = r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x7f\x{a0}\x{a9}\x{ab}\x{bb}\x{2010}-\x{2027}]+"
+#: A holder without a year, written out before the text is lowered: what is marked so begins like other copyright lines.
+HOLDER = r"(^|\n)([^A-Za-z0-9\n]*)Copyright[ \t]+((?:The[ \t]+)?[A-Z])"
+NO_HOLDER = r"\bCopyright([ \t]+)(Notice|Holder|Owner|License|Law|Act|Statement|Office|Status|Disclaimer|Protection|And|Or|In|Of)"
+MARK = r"(copyright[ \t]*(\(c\)|\x{a9}|[0-9]{4})|\(c\)[ \t]*[0-9]{4}|\x{a9}|all rights reserved)"
+#: The first sentence of a copyright line with much more text on it, and a copyright line with the line end before it.
+COPYRIGHT_SENTENCE = rf"(^|\n)[^a-z0-9\n]*{MARK}[^\n.]*\.[ \t]+([^\n]{{160}})"
+COPYRIGHT_LINE = rf"(^|\n)[^a-z0-9\n]*{MARK}[^\n]*"
+#: Signs and white space of any script other than the line end.
+SIGNS = r"[\x00-\x09\x0b-\x2f\x3a-\x60\x7b-\x{9f}\pP\pS\pZ\p{Cf}]+"
 LINE_ENDS = r" ?\n[ \n]*"
 
 
@@ -35,9 +41,16 @@ def one_spelling(text: Column) -> Column:
 
 def with_canonical(docs: DataFrame, text_column: str, into: str) -> DataFrame:
     """Adds the canonical form, a line end after each line but the last; null counts as empty."""
-    own = docs.withColumn(into, F.translate(F.coalesce(F.col(text_column), F.lit("")), UPPER, LOWER))
+    own = docs.withColumn(into, F.coalesce(F.col(text_column), F.lit("")))
     form = F.col(into)
-    own = own.withColumn(into, F.when(form.rlike(MARKED), F.regexp_replace(form, COPYRIGHT_LINE, "$1")).otherwise(form))
+    held = F.regexp_replace(F.regexp_replace(form, NO_HOLDER, "copyright$1$2"), HOLDER, "$1$2copyright 1999 $3")
+    own = own.withColumn(into, F.when(F.contains(form, F.lit("Copyright")), held).otherwise(form))
+    own = own.withColumn(into, F.translate(form, UPPER, LOWER))
+    cut = form
+    for _ in range(2):  # "all rights reserved" is often a sentence after it
+        cut = F.regexp_replace(cut, COPYRIGHT_SENTENCE, "$1$4")
+    cut = F.regexp_replace(cut, COPYRIGHT_LINE, "$1")
+    own = own.withColumn(into, F.when(form.rlike(MARKED), cut).otherwise(form))
     own = own.withColumn(into, F.btrim(F.regexp_replace(F.regexp_replace(form, SIGNS, " "), LINE_ENDS, "\n"), F.lit(" \n")))
     return own.withColumn(into, F.when(form.rlike(SPELLED), one_spelling(form)).otherwise(form))
 

@@ -135,6 +135,15 @@ def matrix(column: pa.ChunkedArray, dtype=np.float64) -> np.ndarray:
     return np.frombuffer(b"".join(raw), dtype).reshape(len(raw), -1)
 
 
+def nearer(found: list[tuple[float, int]], scores: np.ndarray, ids: np.ndarray, query: int, k: int) -> list[tuple[float, int]]:
+    """The k best (-score, id) of those found and the new ones, each id once with its largest score, without the query's own."""
+    best = {v: s for s, v in found}
+    for s, v in zip((-scores).tolist(), ids.tolist()):
+        if v != query and s < best.get(v, math.inf):
+            best[v] = s
+    return sorted((s, v) for v, s in best.items())[:k]
+
+
 class _Leaf:
     """Vectors of a part of a leaf, against which queries are verified in portions."""
 
@@ -158,15 +167,14 @@ class _Leaf:
                 some = order[at : at + 64]
                 at += 64
                 scores = (self.unit[some] * units[i]).sum(axis=1)
-                found += [(-s, v) for s, v in zip(scores.tolist(), self.ids[some].tolist()) if v != query]
-                found = sorted(found)[:k]
+                found = nearer(found, scores, self.ids[some], query, k)
                 if len(found) == k:
                     bound = min(bound, max(2 + 2 * found[-1][0], 0.0))
                     while at < len(order) and near[at] <= near[at - 1] + 1e-9 and near[at] > point * bound + 1e-9:
                         more = order[at : at + 64]  # equally near in projection: ties are all looked at
                         at += 64
                         scores = (self.unit[more] * units[i]).sum(axis=1)
-                        found = sorted(found + [(-s, v) for s, v in zip(scores.tolist(), self.ids[more].tolist()) if v != query])[:k]
+                        found = nearer(found, scores, self.ids[more], query, k)
             out += [(query, v, -s) for s, v in found]
         return out
 
@@ -229,7 +237,8 @@ def _search(index: DataFrame, visits: DataFrame, counts: dict, k: int, point: fl
 
 def _best(found: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def nearest(

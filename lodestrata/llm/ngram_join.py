@@ -59,7 +59,7 @@ def signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                             np.multiply(work, odd[b * rows + r], out=work)
                             keys[:, b] += np.minimum.reduceat(work, starts) * factor[r]
                         keys[:, b] = mixed(keys[:, b] + np.uint64(b))
-                f1, f2 = fingerprints(words, counts)
+                f1, f2 = fingerprints(words, counts, part.column(1))
                 lists = np.zeros(len(counts) + 1, np.int32)
                 lists[full + 1] = bands
                 yield pa.RecordBatch.from_arrays(
@@ -130,10 +130,13 @@ def _meeting_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=[*GROUP, "key", "partners"])
 
 
-def fingerprints(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits of each text's word sequence as two numbers."""
+def fingerprints(words: np.ndarray, counts: np.ndarray, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of each text's word sequence as two numbers; of a text without words, 128 bits of itself without the white
+    space around it (null is an empty text)."""
     ends = np.concatenate(([0], np.cumsum(counts)))
     prints = [xxhash.xxh3_128_intdigest(words[a:z].tobytes()) for a, z in zip(ends, ends[1:])]
+    for i in np.flatnonzero(counts == 0).tolist():
+        prints[i] = xxhash.xxh3_128_intdigest((texts[i].as_py() or "").strip().encode(), seed=1)
     low = np.array([p & (1 << 64) - 1 for p in prints], np.uint64)
     return low.view(np.int64), np.array([p >> 64 for p in prints], np.uint64).view(np.int64)
 
@@ -145,7 +148,7 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             for part in in_portions(batch):
                 words, counts = word_hashes(part.column(1))
-                f1, f2 = fingerprints(words, counts)
+                f1, f2 = fingerprints(words, counts, part.column(1))
                 right = (f1 == part.column(2).to_numpy()) & (f2 == part.column(3).to_numpy())
                 hashes, each = shingle_hashes(words, counts, size)
                 ends = np.concatenate(([0], np.cumsum(each)))
@@ -224,8 +227,8 @@ def similarity_classes(
 
     n_links: how many other rows have at least `threshold` Jaccard similarity of their sets of `size`-word shingles,
     rows of the same words included; copy_id: the least doc_id of the same words; class_id: the least doc_id that is
-    reached over links. Texts of one to `size` - 1 words have one shingle of them all; texts without words (null, empty)
-    are copies of each other and near nothing else. Two different texts under one id are two rows of that id.
+    reached over links. Texts of one to `size` - 1 words have one shingle of them all; texts without words are
+    copies where they are equal but for white space around them (null is an empty text), and near nothing else. Two different texts under one id are two rows of that id.
     A pair at the threshold is found with the chance `recall`, a nearer one more surely; a pair that is found
     is verified on its full sets.
     """

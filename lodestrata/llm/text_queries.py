@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.llm import decision_lists, licenses, line_runs, ring
-from lodestrata.llm.license_texts import SHORT_TEXTS, SPELLINGS
+from lodestrata.llm.license_texts import KNOWN, SPELLINGS
 from lodestrata.llm.registry import query, table
 from lodestrata.session import scratch_folder
 
@@ -51,17 +51,20 @@ def _quoted(text: str) -> str:
 
 
 def _canonical_sql(text: str) -> str:
-    lower = f"translate(coalesce({text}, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
-    plain = f"regexp_replace({lower}, {_quoted(licenses.COPYRIGHT_LINE)}, '\\1', 'g')"
-    spaced = f"regexp_replace({plain}, {_quoted(licenses.SIGNS)}, ' ', 'g')"
-    form = f"trim(regexp_replace({spaced}, {_quoted(licenses.LINE_ENDS)}, chr(10), 'g'), ' ' || chr(10))"
+    form = f"coalesce({text}, '')"
+    for pattern, by in ((licenses.NO_HOLDER, r"copyright\1\2"), (licenses.HOLDER, r"\1\2copyright 1999 \3")):
+        form = f"regexp_replace({form}, {_quoted(pattern)}, '{by}', 'g')"
+    form = f"translate({form}, '{licenses.UPPER}', '{licenses.LOWER}')"
+    for pattern, by in ((licenses.COPYRIGHT_SENTENCE, r"\1\4"),) * 2 + ((licenses.COPYRIGHT_LINE, r"\1"), (licenses.SIGNS, " ")):
+        form = f"regexp_replace({form}, {_quoted(pattern)}, '{by}', 'g')"
+    form = f"trim(regexp_replace({form}, {_quoted(licenses.LINE_ENDS)}, chr(10), 'g'), ' ' || chr(10))"
     for word, same in SPELLINGS:
         form = f"regexp_replace({form}, '\\b{word}\\b', '{same}', 'g')"
     return form
 
 
 LICENSE_SQL = f"""
-WITH texts(license, text) AS (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in SHORT_TEXTS)}),
+WITH texts(license, text) AS (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in KNOWN)}),
 known AS (
   SELECT DISTINCT license, sha256(replace({_canonical_sql("text")}, chr(10), ' ')) AS digest FROM texts
 ), forms AS (

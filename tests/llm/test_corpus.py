@@ -113,7 +113,9 @@ def test_nothing_leaks_from_or_into_nothing(spark):
 
 def shingles(text):
     found = [w for w in (x.strip(PUNCTUATION) for x in (text or "").lower().split()) if w]
-    return tuple(found), frozenset(tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))) if found else frozenset()
+    if not found:  # texts without words are copies where they are equal
+        return (text or "").strip(), frozenset()
+    return tuple(found), frozenset(tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4)))
 
 
 def plain_classes(rows):
@@ -153,7 +155,7 @@ def near_copies(seed, n=150):
         w[rng.randrange(60)] = f"own{d}"
         rows.append((10_000 + d, " ".join(w)))
     rows += [(20_000 + d, " ".join(hot)) for d in range(80)]
-    return rows + [(30_000, None), (30_001, ""), (30_002, " ...\n"), (None, "a b c d e f"), (30_003, "one"), (30_004, "one"), (0, rows[0][1]), (3, "another text under an id that is taken")]
+    return rows + [(30_000, None), (30_001, ""), (30_002, " ...\n"), (30_005, "..."), (30_006, "====="), (30_007, "$ $ $ $"), (30_008, "--- | ---"), (30_009, "\u3000\n"), (None, "a b c d e f"), (30_003, "one"), (30_004, "one"), (0, rows[0][1]), (3, "another text under an id that is taken")]
 
 
 @pytest.mark.parametrize("block", [256, 7])
@@ -248,6 +250,18 @@ def test_neighbours(spark, monkeypatch, leaf):
     assert [j for j, _ in got[4000]] == [4050]
 
 
+@pytest.mark.parametrize("leaf", [2048, 4])
+def test_rows_of_one_id_are_one_neighbour(spark, monkeypatch, leaf):
+    """Eight rows of one candidate do not take the places of others, and its best row gives its score."""
+    monkeypatch.setattr(neighbours, "LEAF", leaf)
+    rows = [(0, [1.0, 0.0, 0.0])] + [(7, [1.0, 0.1 * i, 0.0]) for i in range(1, 9)] + [(10 + i, [1.0, 1.0, float(i)]) for i in range(6)]
+    rows += [(100, [3.0, 0.0, 0.0])]  # a multiple of the first query
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)).collect()
+    found = {q: [r.vec_id for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] for q in (0, 100)}
+    assert found == {0: [100, 7, 10, 11, 12], 100: [0, 7, 10, 11, 12]}
+    assert [r.score for r in got if r.vec_id == 7] == pytest.approx([1 / np.sqrt(1.01)] * 2, abs=1e-15)
+
+
 def test_no_neighbours(spark):
     assert neighbours.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     assert neighbours.nearest(spark.createDataFrame([(0, [1.0])], "vec_id long, embedding array<float>")).count() == 0

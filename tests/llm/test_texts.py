@@ -6,11 +6,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.llm import license_whole_texts as whole
-from lodestrata.llm import licenses, line_runs, ring
+from lodestrata.llm import licenses, line_runs, ring, text_queries
 from lodestrata.llm.common import ship
 from lodestrata.llm.license_texts import KNOWN, MIT
 from lodestrata.session import scratch_folder
@@ -174,3 +175,37 @@ def test_licenses_of_the_callers_list(spark):
     got = {r.doc_id: (r.license, list(r.notices)) for r in licenses.license_scan(frame(spark, rows), known=known).collect()}
     assert got == {1: ("Own", []), 2: (None, []), 3: (None, ["Line"]), 4: (None, [])}
     assert {(r.license, *r.notices) for r in licenses.license_scan(frame(spark, rows), known=known.limit(0)).collect()} == {(None,)}
+
+
+PERMISSION = MIT[MIT.index("Permission") :]
+FORMS = {
+    0: ("Copyright (c) 2024 X. " + " ".join(PERMISSION.split()), "MIT"),
+    1: ("Copyright (c) 2024 X. All rights reserved. " + " ".join(PERMISSION.split()), "MIT"),
+    2: ("\ufeffMIT License\n\nCopyright The Demo Authors\n\n" + PERMISSION, "MIT"),
+    3: ("MIT License\n\nCopyright Joyent, Inc. and other contributors.\n\n" + PERMISSION, "MIT"),
+    4: ("MIT License\n\nCopyright (c) 2024 J. Random Hacker\n\n" + PERMISSION.replace(" ", "\u3000").replace(",", "\uff0c"), "MIT"),
+    5: ("Copyright (c) 2024 X.\nAll rights reserved.", None),
+    6: (whole.APACHE_2, "Apache-2.0"),
+    7: (whole.GPL_3, "GPL-3.0-only"),
+    8: ("Copyright Notice\nis kept", None),
+    9: ("Prose that ends.\nCopyright Someone Else\nand goes on\u2014here.", None),
+    10: ("Copyright (c) 2024 X. " + " ".join(dict(KNOWN)["ISC"].split()), "ISC"),
+}
+
+
+def test_forms_of_copyright_lines(spark):
+    got = {r.doc_id: (r.license, r.digest) for r in licenses.license_scan(frame(spark, [(i, t) for i, (t, _) in FORMS.items()])).collect()}
+    assert {i: x for i, (x, _) in got.items()} == {i: x for i, (_, x) in FORMS.items()}
+    empty = hashlib.sha256(b"").hexdigest()
+    assert [i for i, (_, digest) in got.items() if digest == empty] == [5]
+    assert got[8][1] == hashlib.sha256(b"copyright notice is kept").hexdigest()
+    assert got[9][1] == hashlib.sha256(b"prose that ends and goes on here").hexdigest()
+
+
+def test_sql_says_the_same_of_all_texts(spark):
+    duckdb = pytest.importorskip("duckdb")
+    rows = [*((i, t) for i, (t, _) in FORMS.items()), *((100 + i, t) for i, (_, t) in enumerate(KNOWN)), (1000, None), (1001, "a\nLicensed under CC BY-NC 4.0.\nb")]
+    scanned = licenses.license_scan(frame(spark, rows)).select("doc_id", "digest", "license", F.array_join("notices", ",").alias("notices"))
+    documents = pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})  # noqa: F841
+    said = duckdb.sql(text_queries.LICENSE_SQL).fetchall()
+    assert sorted(map(tuple, scanned.collect())) == sorted(said)
