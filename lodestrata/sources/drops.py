@@ -208,9 +208,18 @@ def read_drop_parts(
     )
 
 
-def read_drop(spark: SparkSession, root: str, pattern: str, domain: str, **options) -> DataFrame:
+def read_drop(
+    spark: SparkSession,
+    root: str,
+    pattern: str,
+    domain: str,
+    period_pattern: str = PERIOD_PATTERN,
+    required: tuple[str, ...] = (),
+    recursive: bool = False,
+    multi_line: bool = False,
+) -> DataFrame:
     """The rows of `read_drop_parts`, for files in which no row has more fields than the header; others raise MalformedDrop."""
-    drop = read_drop_parts(spark, root, pattern, domain, **options)
+    drop = read_drop_parts(spark, root, pattern, domain, period_pattern, required, recursive, multi_line)
     if drop.surplus:
         raise MalformedDrop(f"{domain}: {drop.surplus:,} rows have more fields than the header of their file")
     return drop.rows
