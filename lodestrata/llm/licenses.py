@@ -15,8 +15,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestrata.llm.common import stored
 from lodestrata.llm.license_texts import KNOWN, SPELLINGS
 
+#: Digests of known texts that are handed to every task.
+LISTED = 10_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A holder without a year, written out before the text is lowered: what is marked so begins like other copyright lines.
 HOLDER = r"(^|\n)([^A-Za-z0-9\n]*)Copyright[ \t]+((?:The[ \t]+)?[A-Z])"
@@ -72,14 +75,33 @@ def license_scan(docs: DataFrame, text_column: str = "text", known: DataFrame |
     digest: SHA-256 of the whole text's canonical form (null and empty texts: of the empty form); license: the SPDX id
     of the licence that the entire text is, or null; notices: the sorted SPDX ids of the lines that are an entire known
     text, as an array. Rows come out as they went in, repeated ones too; an empty table stays empty.
-    `known` (license, text) takes the place of the list of `license_texts`; its digests, not its texts, reach the driver.
+    `known` (license, text) takes the place of the list of `license_texts`. Up to `LISTED` digests go to every task; a longer
+    list is joined, and `docs` is then stored once in the shared folder.
     """
     known = known_digests(docs.sparkSession, known)
-    ids = {r["digest"]: r["license"] for r in known.collect()}
-    by_digest = F.create_map(*[F.lit(x) for pair in sorted(ids.items()) for x in pair]).cast("map<string,string>")
+    few = known.limit(LISTED + 1).collect()
+    if len(few) > LISTED:
+        return _joined_scan(docs, text_column, known)
+    by_digest = F.create_map(*[F.lit(x) for r in sorted(few) for x in r]).cast("map<string,string>")
     own = with_canonical(docs, text_column, "_form")
     found = F.transform(F.split("_form", "\n"), lambda line: F.element_at(by_digest, F.sha2(line, 256)))
     scanned = own.withColumn("notices", F.array_sort(F.array_distinct(F.filter(found, lambda x: x.isNotNull()))))
     scanned = scanned.withColumn("digest", F.sha2(F.translate("_form", "\n", " "), 256)).drop("_form")
-    listed = known.select(F.col("digest").alias("_known"), "license")
+    listed = docs.sparkSession.createDataFrame([tuple(r) for r in few], "_known string, license string")
     return scanned.join(F.broadcast(listed), F.col("digest") == F.col("_known"), "left").drop("_known")
+
+
+def _joined_scan(docs: DataFrame, text_column: str, known: DataFrame) -> DataFrame:
+    """The same over a list of any length: digests of texts and of their different lines are joined with it."""
+    forms = with_canonical(docs, text_column, "_form")
+    lines = F.array_distinct(F.transform(F.split("_form", "\n"), lambda line: F.sha2(line, 256)))
+    own = stored(
+        forms.withColumns({"digest": F.sha2(F.translate("_form", "\n", " "), 256), "_lines": lines, "_row": F.monotonically_increasing_id()})
+        .drop("_form")
+    )
+    listed = stored(known.select(F.col("digest").alias("_known"), "license"))
+    said = own.select(F.col("_row").alias("_of"), F.explode("_lines").alias("_line")).join(listed, F.col("_line") == F.col("_known"))
+    notices = said.groupBy("_of").agg(F.array_sort(F.collect_set("license")).alias("_notices"))
+    both = own.join(notices, F.col("_row") == F.col("_of"), "left").join(listed, F.col("digest") == F.col("_known"), "left")
+    kept = F.coalesce("_notices", F.array().cast("array<string>")).alias("notices")
+    return both.select(*(F.col(f"`{c}`") for c in docs.columns), kept, "digest", "license")

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ WATCHED = b"!|%#&*$."
 FEATURES = 256
 #: Scores are counted in so many steps for calibration, whatever the number of rows.
 STEPS = 2048
+#: Groups in which the tasks' sums are added up first.
+LANES = 256
 
 
 def statistics(text: str) -> list[float]:
@@ -113,7 +116,10 @@ def features(scaled: np.ndarray) -> np.ndarray:
 
 
 def normal_equations(rows: DataFrame, mean: np.ndarray, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Z'Z and Z'y over `rows` (stats, label), summed within tasks, then row by row of the matrix on the executors."""
+    """Z'Z and Z'y over `rows` (stats, label), summed within tasks, then row by row of the matrix on the executors.
+
+    The tasks' sums of a row are added up in two levels, in `LANES` groups and then these, so that no group grows with the tasks.
+    """
     size = FEATURES + 1
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,16 +130,19 @@ def normal_equations(rows: DataFrame, mean: np.ndarray, spread: np.ndarray) -> t
                 z = features((stats - mean) / spread)
                 total += z.T @ np.hstack([z, batch.column(1).to_numpy()[:, None]])
         lists = pa.ListArray.from_arrays(pa.array(np.arange(size + 1, dtype=np.int32) * (size + 1)), pa.array(total.ravel()))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), lists], names=["i", "sums"])
+        lane = np.full(size, TaskContext.get().partitionId() % LANES, np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(lane), lists], names=["i", "lane", "sums"])
 
     def summed(table: pa.Table) -> pa.Table:
         parts = table.column("sums").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
-        return pa.table({"i": table.column("i")[:1], "sums": pa.array([parts.sum(axis=0)], pa.list_(pa.float64()))})
+        own = {"i": table.column("i")[:1], "lane": table.column("lane")[:1]}
+        return pa.table({**own, "sums": pa.array([parts.sum(axis=0)], pa.list_(pa.float64()))})
 
-    kinds = "i int, sums array<double>"
+    kinds = "i int, lane int, sums array<double>"
     total = np.zeros((size, size + 1))
     each = rows.select("stats", F.col("label").cast("double").alias("label")).mapInArrow(partial, kinds)
-    for r in each.groupBy("i").applyInArrow(summed, kinds).collect():  # one row per feature
+    lanes = each.groupBy("i", "lane").applyInArrow(summed, kinds)
+    for r in lanes.groupBy("i").applyInArrow(summed, kinds).collect():  # one row per feature
         total[r["i"]] = r["sums"]
     return total[:, :size], total[:, size]
 
@@ -224,13 +233,13 @@ def keep_good(docs: DataFrame, model: Model | None, threshold: float = 0.7) -> D
 
 
 def model_of(docs: DataFrame, labels: DataFrame, folder: str) -> Model | None:
-    """The model that `quality_scores` fits, without the scores."""
-    stats = with_statistics(docs.select("doc_id", "text"), ["doc_id"])
-    return fit(stored(training(stats, labels, None), f"{folder}/training"))
+    """The model that `quality_scores` fits, without the scores: statistics are taken of the rows to learn from only."""
+    rows = training(docs.select("doc_id", "text"), labels, None)
+    return fit(stored(with_statistics(rows, ["doc_id", "label"]), f"{folder}/training"))
 
 
-def training(stats: DataFrame, labels: DataFrame, learn: Column | None) -> DataFrame:
-    """The labelled rows to learn from: doc_id, stats, label."""
+def training(rows: DataFrame, labels: DataFrame, learn: Column | None) -> DataFrame:
+    """The labelled ones of `rows` (doc_id, more) that are to learn from, with `label`."""
     known = labels.filter(F.col("quality").isin(0, 1)).select(F.col("doc_id").alias("_doc"), F.col("quality").alias("label"))
     admitted = fold(F.col("doc_id")) != 2 if learn is None else learn
-    return stats.join(known, F.col("doc_id") == F.col("_doc")).filter(admitted).select("doc_id", "stats", "label")
+    return rows.filter(admitted).join(known, F.col("doc_id") == F.col("_doc")).drop("_doc")

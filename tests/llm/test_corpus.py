@@ -352,3 +352,56 @@ def test_classifier_without_labels(spark):
     assert [r.score for r in quality.quality_scores(frame, none, scratch_folder(spark)).collect()] == [1.0, 1.0]
     assert quality.keep_good(frame, quality.model_of(frame, none, scratch_folder(spark))).count() == 2
     assert quality.quality_scores(frame.limit(0), none, scratch_folder(spark)).count() == 0
+
+
+def plain_scores(rows, labels):
+    """Scores by plain numpy on rows (doc_id, text), all steps written out."""
+    fold = lambda i: zlib.crc32(str(i).encode()) % 4
+    stats = {i: np.array(quality.statistics(t or "")) for i, t in rows}
+    known = [i for i in stats if labels.get(i) in (0, 1) and fold(i) != 2]
+    x = np.array([stats[i] for i in known])
+    mean, spread = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3)
+    rng = np.random.default_rng(20240501)
+    d = x.shape[1]
+    directions, phases = rng.standard_normal((d, 256)) / (2 * np.sqrt(d)), rng.uniform(0, 2 * np.pi, 256)
+
+    def lifted(values):
+        return np.array([[*(np.sqrt(2 / 256) * np.cos(np.clip((v - mean) / spread, -8, 8) @ directions + phases)), 1.0] for v in values])
+
+    for_weights = [i for i in known if fold(i) != 3]
+    z, y = lifted([stats[i] for i in for_weights]), np.array([labels[i] for i in for_weights], float)
+    penalty = np.diag([1e-3 * len(y) / 256] * 256 + [1e-12 * len(y)])
+    weights = np.linalg.inv(z.T @ z + penalty) @ (z.T @ y)
+    raw = {i: float((lifted([v]) @ weights)[0]) for i, v in stats.items()}
+
+    steps = defaultdict(list)
+    for i in known:
+        if fold(i) == 3:
+            steps[int(np.clip((raw[i] + 1) / 3, 0, 1) * 2048)].append(labels[i])
+    blocks = [[(s + 0.5) / 2048 * 3 - 1, len(v), sum(v)] for s, v in sorted(steps.items())]
+    merged = True
+    while merged:  # neighbours that do not rise are pooled until all do
+        merged = False
+        for n in range(len(blocks) - 1):
+            (a, p, k), (b, q, m) = blocks[n], blocks[n + 1]
+            if k / p >= m / q:
+                blocks[n : n + 2] = [[(a * p + b * q) / (p + q), p + q, k + m]]
+                merged = True
+                break
+    knots, shares = [b[0] for b in blocks], [b[2] / b[1] for b in blocks]
+    return {i: min(max(0.999 * float(np.interp(r, knots, shares)) + 0.001 * min(max((r + 1) / 3, 0), 1), 0), 1) for i, r in raw.items()}
+
+
+def test_scores_as_plain_numpy(spark):
+    rng = random.Random(8)
+    rows, labels = [], {}
+    for i in range(320):
+        w = words(rng, rng.randint(5, 80))
+        bad = rng.random() < 0.4
+        rows.append((i, " ".join(x + "!!" * (rng.random() < 0.5) if bad else x for x in w)))
+        labels[i] = int(not bad) if rng.random() < 0.9 else int(bad)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    known = spark.createDataFrame(list(labels.items()), "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in quality.quality_scores(frame, known, scratch_folder(spark)).collect()}
+    want = plain_scores(rows, labels)
+    assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in want) < 1e-6

@@ -168,7 +168,9 @@ def test_long_licenses_are_found_whole(spark):
     assert got == want
 
 
-def test_licenses_of_the_callers_list(spark):
+@pytest.mark.parametrize("listed", [10_000, 2])
+def test_licenses_of_the_callers_list(spark, monkeypatch, listed):
+    monkeypatch.setattr(licenses, "LISTED", listed)  # the second value joins the list
     rows = [(1, "Own  TERMS,\nof two lines."), (2, MIT), (3, "a\nOne line!\nb"), (4, None)]
     own = [("Own", "own terms: of two lines", 1), ("Line", "one line", 2), ("Other", "One line.", 3), ("Empty", "...", 4), ("None", None, 5), (None, "b", 6)]
     known = spark.createDataFrame(own, "license string, text string, more long")
@@ -209,3 +211,54 @@ def test_sql_says_the_same_of_all_texts(spark):
     documents = pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})  # noqa: F841
     said = duckdb.sql(text_queries.LICENSE_SQL).fetchall()
     assert sorted(map(tuple, scanned.collect())) == sorted(said)
+
+
+def walked(rows, shards, nodes):
+    """Each row by itself: (text hash, id hash, id) -> shard, row after row and round after round clockwise."""
+    places, owner = ring.ring(shards, nodes)
+    places = [int(p) for p in places]
+    low, more = divmod(len(rows), shards)
+    home = {row: next((n for n, p in enumerate(places) if p >= row[0] % (1 << 64)), 0) for row in rows}
+    demand = Counter(int(owner[n]) for n in home.values())
+    ranked = sorted(range(shards), key=lambda s: (-demand[s], s))
+    bound = {s: low + (s in ranked[:more]) for s in range(shards)}
+    load, shard_of = Counter(), {}
+    waiting = [(n, row) for row, n in home.items()]
+    while waiting:
+        left = []
+        for n, row in sorted(waiting, key=lambda w: (w[0], home[w[1]], w[1])):
+            s = int(owner[n])
+            if load[s] < bound[s]:
+                load[s] += 1
+                shard_of[row] = s
+            else:
+                left.append((n, row))
+        waiting = []
+        for n, row in left:  # clockwise to the next place of a shard that is not full
+            while load[int(owner[n])] >= bound[int(owner[n])]:
+                n = (n + 1) % len(places)
+            waiting.append((n, row))
+    return shard_of
+
+
+@pytest.mark.parametrize(("shards", "nodes"), [(5, 8), (7, 3)])
+def test_rows_walk_clockwise(spark, shards, nodes):
+    ship(spark)
+    rows = [(i, f"text {i % 60}" if i % 3 else "the hot text") for i in range(400)]
+    hashed = frame(spark, rows).select("doc_id", F.xxhash64("text").alias("hash"), F.xxhash64("doc_id").alias("order")).collect()
+    want = walked([(r.hash, r.order, r.doc_id) for r in hashed], shards, nodes)
+    got = ring.assign(frame(spark, rows), shards=shards, nodes=nodes).collect()
+    counts = Counter(r.shard for r in got)
+    assert counts == Counter(want.values()) and max(counts.values()) - min(counts.values()) <= 1
+    moved = sum({k[2]: s for k, s in want.items()}[r.doc_id] != r.shard for r in got)
+    assert moved == 0, f"{moved} rows elsewhere"
+
+
+def test_a_further_shard_moves_few_rows(spark):
+    """With one shard more a row stays unless its place is the new shard's or a bound pushes it."""
+    ship(spark)
+    rows = [(i, f"text {i}") for i in range(4000)]
+    before, after = ({r.doc_id: r.shard for r in ring.assign(frame(spark, rows), shards=n, slack=0.5).collect()} for n in (10, 11))
+    moved = [i for i in before if before[i] != after[i]]
+    assert all(after[i] == 10 for i in moved) or len(moved) < 4000 * 2 / 11
+    assert 0 < len(moved) < 4000 * 2 / 11
