@@ -10,8 +10,13 @@ from lodestrata.functions.cleanse import MONTH_FIRST, YEAR_FIRST
 from lodestrata.plans.config import CARE_LEVEL_SPELLINGS
 
 
+def _text(value: str) -> str:
+    """An SQL literal of any text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _variants(spellings: Mapping[str, str]) -> str:
-    return ", ".join(f"'{part}'" for pair in spellings.items() for part in pair)
+    return ", ".join(_text(part) for pair in spellings.items() for part in pair)
 
 
 def _definitions() -> dict[str, tuple[str, str, str]]:

@@ -130,7 +130,7 @@ def make_drops(root: Path, people: int = 60, seed: int = 7) -> dict:
 
         roles = ["CNA", "Med Tech", "RN"]
         shifts = [{"shift_id": f"S{i}{n:04d}", "community_id": COMMUNITIES[n % 14], "employee_id": f"E{n}", "role": roles[n % 3], "shift_date": us(first),
-                   "hours_worked": "8", "hourly_rate": "{'CNA': 24.50, 'Med Tech': 30, 'RN': 42.00}"} for n in range(30)]
+                   "hours_worked": "8", "hourly_rate": "{'CNA': 21.75, 'Med Tech': 28, 'RN': 47.10}"} for n in range(30)]
         write(root, "adp_shifts", month, shifts, "shift_id community_id employee_id role shift_date hours_worked hourly_rate".split())
 
         reviews = [{"review_id": f"G{i}{n}", "community_id": "C001", "review_date": first.isoformat(), "rating": str(1 + n % 5),
