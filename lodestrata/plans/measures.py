@@ -272,7 +272,8 @@ def trailing_series(
     below = F.col("day_count")
     if rate.daily:
         below = safe_ratio(below, F.col("dates_in_window"))
-    return rolled.withColumn("rate", safe_ratio(F.col("event_count"), below, rate.scale))
+    events = F.col("event_count") if rate.empty is not None else F.nullif("event_count", F.lit(0))
+    return rolled.withColumn("rate", safe_ratio(events, below, rate.scale))
 
 
 def at_period_ends(series: DataFrame, calendar: DataFrame, period: str = "month_start") -> DataFrame:

@@ -28,7 +28,7 @@ from lodestrata.plans.gold import base_tables, derived_tables, gold_gates, gold_
 from lodestrata.plans.quarantine import quarantine_tables
 from lodestrata.sources.drops import Drop, drop_manifest, manifest_issues, read_drop_parts
 from lodestrata.sources.tables import catalog_view, mapping, quoted, read_model
-from lodestrata.sources.versions import current_release, expire, read_version, release, write_version
+from lodestrata.sources.versions import current_release, expire, read_version, release, versioned, write_version
 
 #: The day fact is stored by day: a month's end, a window or a role's dates are found by folder.
 PARTITIONS = {"fact_resident_day": ("date",)}
@@ -37,10 +37,9 @@ SUMMARY = "rejection_summary"
 
 @dataclass(frozen=True)
 class Written:
-    """A stored table: its version, its columns, and what was counted while it was written."""
+    """A stored table: its version, as a release names it, and what was counted while it was written."""
 
-    version: str
-    columns: tuple[str, ...]
+    entry: Mapping
     rows: int
     counts: Mapping[str, int]
 
@@ -64,12 +63,10 @@ class Store:
     def read(self, layer: str, name: str) -> DataFrame:
         """The table as this run wrote it, else as it was released last."""
         own = self.written.get((layer, name))
-        if own is not None:
-            return read_version(self.spark, own.version, own.columns)
-        released = current_release(self.spark, self.root).get(f"{layer}.{name}")
-        if released is None:
+        table = own.entry if own is not None else current_release(self.spark, self.root).get(f"{layer}.{name}")
+        if table is None:
             raise FileNotFoundError(f"{layer}.{name} was not released under {self.root}")
-        return read_version(self.spark, released["version"], released["columns"])
+        return read_version(self.spark, table["version"], table["columns"], table["schema"])
 
     def write(
         self, layer: str, name: str, df: DataFrame, partition_by: Sequence[str] = (), counts: Mapping[str, Column] | None = None
@@ -83,7 +80,7 @@ class Store:
         version = write_version(watched, self.path(layer, name), partition_by)
         found = seen.get
         self.written[layer, name] = Written(
-            version, tuple(df.columns), found.get("rows", 0), {n: found.get(n) or 0 for n in counts or {}}
+            versioned(version, df), found.get("rows", 0), {n: found.get(n) or 0 for n in counts or {}}
         )
         return self.read(layer, name)
 
@@ -109,12 +106,11 @@ class Store:
 
     def commit(self) -> None:
         """Makes this run's tables the current ones, all at once; then points the catalog's views at them."""
-        tables = {f"{layer}.{name}": {"version": w.version, "columns": w.columns} for (layer, name), w in self.written.items()}
-        release(self.spark, self.root, tables)
+        release(self.spark, self.root, {f"{layer}.{name}": w.entry for (layer, name), w in self.written.items()})
         if self.catalog:
             for (layer, name), w in self.written.items():
-                columns = ", ".join(f"`{c}`" for c in w.columns)
-                catalog_view(self.spark, f"{layer}.{name}", f"SELECT {columns} FROM parquet.`{w.version}`")
+                columns = ", ".join(f"`{c}`" for c in w.entry["columns"])
+                catalog_view(self.spark, f"{layer}.{name}", f"SELECT {columns} FROM parquet.`{w.entry['version']}`")
         expire(self.spark, self.root)
 
 
@@ -236,8 +232,7 @@ def export_gold(tables: Mapping[str, DataFrame], root: str) -> None:
     spark = next(iter(tables.values())).sparkSession
     written = {}
     for name, df in tables.items():
-        version = write_version(df, f"{root}/{name}.parquet", PARTITIONS.get(name, ()))
-        written[name] = {"version": version, "columns": df.columns}
+        written[name] = versioned(write_version(df, f"{root}/{name}.parquet", PARTITIONS.get(name, ())), df)
     release(spark, root, written)
     expire(spark, root)
 

@@ -25,11 +25,14 @@ RESIDENT_DAYS = Amount("fact_resident_day", "date", "resident_day_count")
 INCIDENTS = Amount("fact_incident", "incident_date")
 MOVE_OUTS = Amount("fact_lease", "move_out_date", "lease_id", distinct=True)
 
+# Nothing to count is a blank, not a 0, in every measure of the dashboard.
 CURRENT_OCCUPANCY = Latest("fact_occupancy_monthly", "occupied_resident_count", "valid_unit_count", "month_start")
-MOVE_OUT_RATE = Rate(MOVE_OUTS.over(config.TRAILING_DAYS), RESIDENT_DAYS.over(config.TRAILING_DAYS), daily=True)
-INCIDENT_RATE = Rate(INCIDENTS, RESIDENT_DAYS, scale=100)
-ROLLING_INCIDENT_RATE = Rate(INCIDENTS.over(config.TRAILING_DAYS), RESIDENT_DAYS.over(config.TRAILING_DAYS), scale=100)
-COMPLETED_MOVE_OUTS = Total(MOVE_OUTS)
+MOVE_OUT_RATE = Rate(MOVE_OUTS.over(config.TRAILING_DAYS), RESIDENT_DAYS.over(config.TRAILING_DAYS), daily=True, empty=None)
+INCIDENT_RATE = Rate(INCIDENTS, RESIDENT_DAYS, scale=100, empty=None)
+ROLLING_INCIDENT_RATE = Rate(
+    INCIDENTS.over(config.TRAILING_DAYS), RESIDENT_DAYS.over(config.TRAILING_DAYS), scale=100, empty=None
+)
+COMPLETED_MOVE_OUTS = Total(MOVE_OUTS, empty=None)
 
 MEASURES = {
     "current_occupancy": CURRENT_OCCUPANCY,
@@ -125,7 +128,7 @@ def kpi_cards(model: StarModel) -> DataFrame:
 
 def move_out_rate_by_day(model: StarModel, by: tuple[str, ...] = ()) -> DataFrame:
     """The trailing move-out rate as it stood at the end of each day."""
-    return trailing_series(model, Rate(MOVE_OUTS, RESIDENT_DAYS, daily=True), "dim_date", config.TRAILING_DAYS, by)
+    return trailing_series(model, Rate(MOVE_OUTS, RESIDENT_DAYS, daily=True, empty=None), "dim_date", config.TRAILING_DAYS, by)
 
 
 def incident_rate_by_day(model: StarModel, by: tuple[str, ...] = ()) -> DataFrame:

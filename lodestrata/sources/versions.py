@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 MARK = "_SUCCESS"
 RELEASES = "releases"
@@ -96,14 +97,28 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
     return read_version(spark, current_version(spark, path))
 
 
-def read_version(spark: SparkSession, folder: str, columns: Sequence[str] = ()) -> DataFrame:
-    """A version, with its columns in the given order (partition columns are stored last)."""
-    table = spark.read.option("pathGlobFilter", "*.parquet").parquet(folder)
+def read_version(
+    spark: SparkSession, folder: str, columns: Sequence[str] = (), schema: T.StructType | Mapping | None = None
+) -> DataFrame:
+    """A version, with its columns in the given order (partition columns are stored last).
+
+    With its `schema` no file is opened to find it, and a partitioned table without rows, which has no files, is a table too.
+    """
+    reader = spark.read.option("pathGlobFilter", "*.parquet")
+    if schema is not None:
+        reader = reader.schema(schema if isinstance(schema, T.StructType) else T.StructType.fromJson(dict(schema)))
+    table = reader.parquet(folder)
     return table.select(*columns) if columns else table
 
 
+def versioned(version: str, df: DataFrame) -> dict:
+    """What a release says of a table: its version, columns and types."""
+    return {"version": version, "columns": df.columns, "schema": json.loads(df.schema.json())}
+
+
 def release(spark: SparkSession, root: str, tables: Mapping[str, Mapping]) -> str:
-    """Makes these versions the current ones of `root` in one step: name -> {"version": folder, "columns": names}."""
+    """Makes these versions the current ones of `root` in one step: name -> {"version": folder, "columns": names}, and a
+    "schema" where it is known (see `versioned`)."""
     path = f"{root.rstrip('/')}/{RELEASES}/r{_stamp()}.json"
     Files(spark).write_once(path, json.dumps(tables, indent=1, sort_keys=True))
     return path
@@ -126,7 +141,8 @@ def read_release(spark: SparkSession, root: str, names: Iterable[str] | None = N
     missing = sorted(set(names or ()) - set(tables))
     if missing:
         raise FileNotFoundError(f"not in the release of {root}: {', '.join(missing)}")
-    return {n: read_version(spark, tables[n]["version"], tables[n]["columns"]) for n in (tables if names is None else names)}
+    chosen = {name: tables[name] for name in (tables if names is None else names)}
+    return {name: read_version(spark, t["version"], t["columns"], t.get("schema")) for name, t in chosen.items()}
 
 
 def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:

@@ -113,7 +113,7 @@ def test_incident_rate_report(run):
 
 
 def window_measures(known, result, keep=lambda community: True, selected=lambda day: True):
-    """The five measures, counted one by one; `selected` is a choice of dates."""
+    """The five measures, counted one by one; `selected` is a choice of dates. Nothing to count is a blank."""
     end = max(d for d in ALL_DAYS if selected(d))
     days = {k: v for k, v in expected_days(known).items() if keep(v[0])}
     incidents = [(r.incident_date, r.community_id) for r in result.gold["fact_incident"].collect() if keep(r.community_id)]
@@ -124,12 +124,14 @@ def window_measures(known, result, keep=lambda community: True, selected=lambda
     last_month = max(d for d in ALL_DAYS if selected(d) and d.day == 1)
     month_end = month_bounds(f"{last_month.year}_{last_month.month:02d}")[1]
     chosen = [d for (_, d) in days if selected(d)]
+    gone, hurt = sum(1 for when in leases if when in window), sum(1 for d, _ in incidents if d in window)
+    hurt_then = sum(1 for d, _ in incidents if selected(d))
     return {
         "current_occupancy": sum(1 for (_, d) in days if d == month_end) / (5 * len(members)),
-        "move_out_rate": sum(1 for when in leases if when in window) / (len(recent) / len(window)),
-        "incident_rate": 100 * sum(1 for d, _ in incidents if selected(d)) / len(chosen),
-        "rolling_incident_rate": 100 * sum(1 for d, _ in incidents if d in window) / len(recent),
-        "completed_move_outs": sum(1 for when in leases if selected(when)),
+        "move_out_rate": gone / (len(recent) / len(window)) if gone else None,
+        "incident_rate": 100 * hurt_then / len(chosen) if hurt_then else None,
+        "rolling_incident_rate": 100 * hurt / len(recent) if hurt else None,
+        "completed_move_outs": sum(1 for when in leases if selected(when)) or None,
     }
 
 
@@ -312,3 +314,13 @@ def test_malformed_lines_are_quarantined(spark, run, tmp_path):
     assert found.bronze["gbp_reviews"].where("review_id = 'r1'").count() == 0
     with pytest.raises(QualityError, match="malformed_rows: expected 0, found 1"):
         refresh(spark, str(source), str(tmp_path / "store"), None, config.Expectations(quarantine={"malformed_rows": 0}))
+
+
+def test_blank_measures(run):
+    """Where nothing happened the measures have no value; the reports say 0."""
+    model = run[3].model
+    quiet = reports.slicer(model, community="Community of none")
+    assert set(reports.kpi_cards(quiet).first().asDict().values()) == {None}
+    calm = replace(model, tables={**model.tables, "fact_incident": model.tables["fact_incident"].where("false")})
+    assert set(reports.measures(calm, ("incident_rate", "rolling_incident_rate")).first().asDict().values()) == {None}
+    assert {r.incidents_per_100_resident_days for r in reports.incident_rate(calm).collect()} == {0.0}

@@ -106,3 +106,11 @@ def test_views_last_and_are_read_by_other_sessions(spark, tmp_path):
     with pytest.raises(ValueError, match="secret"):
         published_catalog_view(spark, "lasting.shown", "lasting.shown", ["secret"])
     spark.sql("drop database lasting cascade")
+
+
+def test_a_partitioned_table_without_rows(spark, tmp_path):
+    root, empty = str(tmp_path), numbers(spark, 3).where("id < 0")
+    version = v.write_version(empty, f"{root}/a", ["part"])
+    v.release(spark, root, {"a": v.versioned(version, empty)})
+    found = v.read_release(spark, root)["a"]
+    assert found.columns == ["id", "part"] and found.dtypes == empty.dtypes and found.count() == 0
