@@ -131,7 +131,7 @@ class Layers(Sample):
             F.lit("C001").alias("community_id"),
             iso(day("o_orderdate")).alias("move_in_date"),
             moved.alias("move_out_date"),
-            F.when(F.col("o_totalprice") > 250000, F.col("o_orderpriority")).alias("move_out_reason"),
+            F.when(F.col("o_totalprice") > 250000, F.col("o_orderstatus")).alias("move_out_reason"),
             F.col("o_totalprice").cast("decimal(12,2)").cast("string").alias("monthly_rate"),
             *_lineage(F.date_format("o_orderdate", "yyyy_MM"), F.col("o_orderkey")),
         )
@@ -282,7 +282,7 @@ _LEASES = """
     SELECT CAST(o_custkey AS VARCHAR) AS lease_id, CAST(o_orderkey AS VARCHAR) AS resident_id, 'u1' AS unit_id, 'C001' AS community_id,
            CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS move_in_date,
            CASE WHEN o_orderstatus = 'F' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS move_out_date,
-           CASE WHEN o_totalprice > 250000 THEN o_orderpriority ELSE 'Unknown' END AS move_out_reason,
+           CASE WHEN o_totalprice > 250000 THEN o_orderstatus ELSE 'Unknown' END AS move_out_reason,
            CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE) AS monthly_rate
     FROM orders
     QUALIFY row_number() OVER (

@@ -205,7 +205,7 @@ def evaluate(
     if with_total:  # grouping sets over no rows have no total
         kinds = dict(parts[0].dtypes)
         empty = [F.lit(None).cast(kinds[name]).alias(name) for name in _names(by)]
-        parts.append(parts[0].sparkSession.range(1).select(*empty, F.lit(True).alias("_total")))
+        parts.append(parts[0].sparkSession.range(1).select(*empty, (F.col("id") == 0).alias("_total")))
     if by:
         joined = parts[0]
         for part in parts[1:]:
