@@ -233,9 +233,9 @@ def keep_good(docs: DataFrame, model: Model | None, threshold: float = 0.7) -> D
 
 
 def model_of(docs: DataFrame, labels: DataFrame, folder: str) -> Model | None:
-    """The model that `quality_scores` fits, without the scores: statistics are taken of the rows to learn from only."""
-    rows = training(docs.select("doc_id", "text"), labels, None)
-    return fit(stored(with_statistics(rows, ["doc_id", "label"]), f"{folder}/training"))
+    """The model that `quality_scores` fits, without the scores. Statistics meet the labels, as texts would be dealt with them."""
+    stats = with_statistics(docs.select("doc_id", "text"), ["doc_id"])
+    return fit(stored(training(stats, labels, None), f"{folder}/training"))
 
 
 def training(rows: DataFrame, labels: DataFrame, learn: Column | None) -> DataFrame:

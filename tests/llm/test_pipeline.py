@@ -104,7 +104,7 @@ def test_run_over_nothing(spark, tmp_path):
 
 
 def test_every_query_is_registered():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")} == set(range(1, 14))
     registered = entry_module.queries()
     assert set(QUERIES) | {"pipeline"} <= set(registered)
     assert set(ORACLES) <= set(entry_module.oracle_sql())
