@@ -18,7 +18,7 @@ from lodestrata.plans.quarantine import quarantine_tables
 from lodestrata.plans.refresh import PARTITIONS, export_gold, import_gold
 from lodestrata.session import scratch_folder
 from lodestrata.sources.tables import catalog_view, published_catalog_view, quoted
-from lodestrata.sources.versions import read_published, write_version
+from lodestrata.sources.versions import read_published, read_version, write_version
 
 VIEWS = "lodestrata_sample"
 MONTHS = range(1, 7)
@@ -40,13 +40,22 @@ def _level(number: Column) -> Column:
 class Layers(Sample):
     """Bronze tables in the shape of the drops, and what the pipeline makes of them."""
 
+    def _dealt(self, table: DataFrame, key: str, *columns: str) -> DataFrame:
+        """Columns of a table whose rows are about to multiply, on as many tasks as a shuffle has: its file is small, and one task's."""
+        return table.select(key, *columns).repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), key)
+
+    def stored(self, df: DataFrame) -> DataFrame:
+        """A table that is used more than once, as the refresh stores it."""
+        return read_version(self.spark, write_version(df, scratch_folder(self.spark)), df.columns, df.schema)
+
     @cached_property
     def bronze_residents(self) -> DataFrame:
         key, none = F.col("c_custkey"), F.lit(None).cast("string")
         month = F.explode(F.array(*map(F.lit, MONTHS))).alias("month")
         admitted = _new_year(key % 120)
         left = F.when(F.col("c_mktsegment") == "BUILDING", iso(_new_year(key % 120 + 40)))
-        snapshots = self.customer.select(
+        customers = self._dealt(self.customer, "c_custkey", "c_nationkey", "c_name", "c_acctbal", "c_mktsegment")
+        snapshots = customers.select(
             key,
             _community(F.col("c_nationkey") % 14 + 1).alias("community_id"),
             F.col("c_name").alias("last_name"),
@@ -86,7 +95,7 @@ class Layers(Sample):
 
     @cached_property
     def bronze_units(self) -> DataFrame:
-        return self.part.select(
+        return self._dealt(self.part, "p_partkey", "p_brand", "p_retailprice").select(
             F.col("p_partkey").cast("string").alias("unit_id"),
             _community(F.substring("p_brand", 7, 10).cast("int")).alias("community_id"),
             F.lit("al").alias("unit_type"),
@@ -142,11 +151,11 @@ class Layers(Sample):
 
     @cached_property
     def residents(self) -> DataFrame:
-        return silver.residents(self.candidates)
+        return self.stored(silver.residents(self.candidates))
 
     @cached_property
     def stays(self) -> DataFrame:
-        return silver.resident_stays(self.residents)
+        return self.stored(silver.resident_stays(self.residents))
 
     @cached_property
     def units(self) -> DataFrame:

@@ -198,6 +198,37 @@ def level_segments(
     )
 
 
+def count_days(df: DataFrame, start: str, end: str, low: Column, high: Column) -> int:
+    """Days of all intervals [start, end] inside [low, high]; an open end runs to `high`. One job over `df`."""
+    first = F.greatest(F.col(start), low)
+    last = F.least(F.coalesce(F.col(end), high), high)
+    return df.select(F.when(first <= last, F.date_diff(last, first) + 1).alias("n")).agg(F.sum("n")).first()[0] or 0
+
+
+def deal_segments(
+    segments: DataFrame, key: str, low: Column, high: Column, days: int, step: int = 7, per_task: int = 2_000_000
+) -> DataFrame:
+    """Segments inside [low, high], cut every `step` days from `low` on and dealt so that a task explodes about `per_task` days.
+
+    Adaptive execution sees the bytes of the segments, which say little of their days, so the number of tasks comes from
+    `days`. Pieces of one stretch of the calendar go to tasks of their own, by the hash of `key` where one task is too small
+    for them: what a task writes by day falls into `step` folders.
+    """
+    stretch = lambda day: F.floor(F.date_diff(day, low) / step).cast("int")
+    spans = max(1, segments.sparkSession.range(1).select(stretch(high) + 1).first()[0])
+    lanes = max(1, -(-days // (spans * per_task)))
+    pieces = segments.withColumn("_stretch", F.explode(F.sequence(stretch(F.col("_from")), stretch(F.col("_to")))))
+    opens = F.date_add(low, F.col("_stretch") * step)
+    cut = pieces.withColumns(
+        {
+            "_from": F.greatest("_from", opens),
+            "_to": F.least(F.col("_to"), F.date_add(opens, step - 1)),
+            "_lane": F.col("_stretch") * lanes + F.pmod(F.hash(key), F.lit(lanes)),
+        }
+    )
+    return cut.repartitionById(spans * lanes, "_lane").drop("_stretch", "_lane")
+
+
 def explode_segments(segments: DataFrame, out: str = "date") -> DataFrame:
     """One row per day of each segment."""
     return segments.withColumn(out, F.explode(days_between(F.col("_from"), F.col("_to")))).drop("_from", "_to")
