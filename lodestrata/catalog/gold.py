@@ -15,7 +15,7 @@ from lodestrata.catalog.layers import _lineage
 from lodestrata.operators.quarantine import summary_query
 from lodestrata.plans import gold, silver
 from lodestrata.plans.quarantine import quarantine_tables
-from lodestrata.plans.refresh import PARTITIONS, export_gold, import_gold
+from lodestrata.plans.refresh import PARTITIONS, export_gold, import_gold, side_by_side
 from lodestrata.session import scratch_folder
 from lodestrata.sources.tables import catalog_view, published_catalog_view, quoted
 from lodestrata.sources.versions import read_published, read_version, write_version
@@ -422,14 +422,20 @@ def published_view_by_name(spark: SparkSession, root: str) -> DataFrame:
 def gold_export(spark: SparkSession, root: str) -> DataFrame:
     """The seven gold tables exported twice and imported: the later release, with the columns of the tables."""
     layers = Layers(spark, root)
+    # As in a refresh, a fact is built once, and what is exported is the stored table.
+    base = side_by_side({"fact_resident_day": lambda: layers.resident_days, "fact_lease": lambda: layers.stored(layers.leases)})
+    derived = side_by_side(
+        {
+            "fact_occupancy_monthly": lambda: layers.stored(layers.occupancy),
+            "fact_incident": lambda: layers.stored(layers.valid_incidents),
+        }
+    )
     tables = {
         "dim_date": gold.dim_date(spark),
         "dim_community": gold.dim_community(spark),
         "dim_care_level": gold.dim_care_level(spark),
-        "fact_resident_day": layers.resident_days,
-        "fact_occupancy_monthly": layers.occupancy,
-        "fact_lease": layers.leases,
-        "fact_incident": layers.valid_incidents,
+        **base,
+        **derived,
     }
     folder = scratch_folder(spark)
     export_gold({name: df.limit(1) for name, df in tables.items()}, folder)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +35,13 @@ PARTITIONS = {"fact_resident_day": ("date",)}
 SUMMARY = "rejection_summary"
 
 
+def side_by_side(jobs: Mapping[str, Callable]) -> dict:
+    """The results of independent jobs, run beside each other, so that small ones do not leave a cluster idle."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        running = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: job.result() for name, job in running.items()}
+
+
 @dataclass(frozen=True)
 class Written:
     """A stored table: its version, as a release names it, and what was counted while it was written."""
@@ -91,14 +98,12 @@ class Store:
         partitions: Mapping[str, Sequence[str]] | None = None,
         counts: Mapping[str, Mapping[str, Column]] | None = None,
     ) -> dict[str, DataFrame]:
-        """Independent tables side by side, so that small ones do not leave a cluster idle."""
+        """Independent tables side by side."""
 
         def one(name: str, build: Callable[[], DataFrame]) -> DataFrame:
             return self.write(layer, name, build(), (partitions or {}).get(name, ()), (counts or {}).get(name))
 
-        with ThreadPoolExecutor(max_workers=4) as pool:
-            jobs = {name: pool.submit(one, name, build) for name, build in tables.items()}
-            return {name: job.result() for name, job in jobs.items()}
+        return side_by_side({name: partial(one, name, build) for name, build in tables.items()})
 
     def rows(self, layer: str) -> dict[str, int]:
         """Rows per table of a layer, as counted while they were written."""
@@ -230,10 +235,11 @@ def export_gold(tables: Mapping[str, DataFrame], root: str) -> None:
     The day fact keeps its folders by day: the stored files of a day are written as files of that day, without a shuffle.
     """
     spark = next(iter(tables.values())).sparkSession
-    written = {}
-    for name, df in tables.items():
-        written[name] = versioned(write_version(df, f"{root}/{name}.parquet", PARTITIONS.get(name, ())), df)
-    release(spark, root, written)
+
+    def one(name: str, df: DataFrame) -> dict:
+        return versioned(write_version(df, f"{root}/{name}.parquet", PARTITIONS.get(name, ())), df)
+
+    release(spark, root, side_by_side({name: partial(one, name, df) for name, df in tables.items()}))
     expire(spark, root)
 
 

@@ -72,6 +72,18 @@ def test_count_days(spark):
     assert count_days(df.limit(0), "a", "b", F.lit(LOW), F.lit(HIGH)) == 0
 
 
+def test_facts_are_built_once_for_both_exports(spark, tables, monkeypatch):
+    exported = []
+    export = queries.export_gold
+    monkeypatch.setattr(queries, "export_gold", lambda model, folder: exported.append(model) or export(model, folder))
+    counts = {row["name"]: row["row_count"] for row in queries.gold_export(spark, tables).collect()}
+    assert counts["fact_lease"] == 20 and counts["fact_occupancy_monthly"] == 84 and counts["fact_incident"] > 0
+    for name, df in exported[1].items():
+        if name.startswith("fact_"):
+            assert not {"Join", "Window", "Aggregate"} & set(_plan(df).replace("(", " ").split()), name
+            assert "Exchange" not in _plan(df), name
+
+
 def test_rows_that_multiply_are_spread_first(spark, tables):
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     layers = queries.Layers(spark, tables)
