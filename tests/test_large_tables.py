@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from lodestrata.catalog import gold as queries
 from lodestrata.operators.temporal import count_days, deal_segments, explode_segments
+from lodestrata.sources import drops
+from lodestrata.sources.drops import read_drop
 
 LOW, HIGH = datetime.date(2025, 1, 1), datetime.date(2025, 6, 30)
 
@@ -90,3 +92,28 @@ def test_rows_that_multiply_are_spread_first(spark, tables):
     assert layers.bronze_units.rdd.getNumPartitions() == parts
     assert layers.bronze_residents.rdd.getNumPartitions() == 2 * parts
     assert layers.bronze_units.count() == 600 and layers.bronze_residents.count() == 650
+
+
+def test_rows_of_a_drop_are_numbered_in_place(spark, sorted_joins, tmp_path):
+    """Neither a shuffle nor a sort of the rows, however many splits there are."""
+    for n in (1, 2):
+        (tmp_path / f"pets_2025_0{n}.csv").write_text("id\n" + "".join(f"{i}\n" for i in range(50)))
+    rows = read_drop(spark, str(tmp_path), "pets_*.csv", "pets")
+    assert "SortMergeJoin" not in _plan(rows)
+    assert rows.groupBy("_source_file").agg(F.max("_row_number")).count() == 2
+    assert rows.where(F.col("_row_number") != F.col("id").cast("long") + 1).isEmpty()
+
+
+def test_headers_are_found_without_a_sort_of_all_lines(spark, tmp_path, monkeypatch):
+    """Blank lines come first, a header comes late, and files share a task."""
+    files = {"a.csv": "\n  \nid,name\n1,x\n", "b.csv": "id,name\n" * 3, "c.csv": "z\n", "empty.csv": "", "blank.csv": "\n \n"}
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    paths = sorted(f"file:{tmp_path / name}" for name in files)
+    plans = []
+    frame = type(spark.range(0))
+    iterate = frame.toLocalIterator
+    monkeypatch.setattr(frame, "toLocalIterator", lambda self, *a: plans.append(_plan(self)) or iterate(self, *a))
+    found = {names: sorted(of) for names, of in drops._headers(spark, paths).items()}
+    assert found == {("id", "name"): [f"file:{tmp_path}/a.csv", f"file:{tmp_path}/b.csv"], ("z",): [f"file:{tmp_path}/c.csv"]}
+    assert plans and "Sort" not in plans[0]
