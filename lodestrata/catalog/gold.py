@@ -5,7 +5,7 @@ Customers are residents with a snapshot a month, finished orders are changes of
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -397,8 +397,10 @@ def quarantined_rows(spark: SparkSession, root: str) -> DataFrame:
 def rejection_view(spark: SparkSession, root: str) -> DataFrame:
     """The summary as a lasting view of the catalog, over lasting views of stored quarantine tables."""
     folder = scratch_folder(spark)
-    for name, held in _rejects(Layers(spark, root)).items():
-        published_catalog_view(spark, f"{VIEWS}.{name}", write_version(held, f"{folder}/{name}"), held.columns)
+    rejects = _rejects(Layers(spark, root))
+    stored = side_by_side({name: partial(write_version, held, f"{folder}/{name}") for name, held in rejects.items()})
+    for name, held in rejects.items():
+        published_catalog_view(spark, f"{VIEWS}.{name}", stored[name], held.columns)
     catalog_view(spark, f"{VIEWS}.rejection_summary", summary_query({name: quoted(f"{VIEWS}.{name}") for name in _KEYS}))
     return spark.table(f"{VIEWS}.rejection_summary")
 

@@ -26,11 +26,15 @@ def blank_to_null(value: Column) -> Column:
 
 
 def parse_date(value: Column) -> Column:
-    """Year-month-day text first, month/day/year second, NULL for anything else."""
+    """Year-month-day text first, month/day/year second, NULL for anything else.
+
+    Text that a date is written back as (four digits, two, two) is taken as it stands; only other spellings meet the expressions.
+    """
     text = blank_to_null(value)
+    plain = text.try_cast("date")
     year_first = F.regexp_replace(text, YEAR_FIRST, "000$1-$3-$4").try_cast("date")
     month_first = F.regexp_replace(text, MONTH_FIRST, "000$3-$1-$2").try_cast("date")
-    return F.coalesce(year_first, month_first)
+    return F.when((F.char_length(text) == 10) & (plain.cast("string") == text), plain).otherwise(F.coalesce(year_first, month_first))
 
 
 def parse_timestamp(value: Column) -> Column:

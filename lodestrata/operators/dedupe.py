@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestrata.operators.skew import join_unique, ranked
+from lodestrata.operators.skew import join_unique, key_of, ranked
 
 
 def latest_version(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -60,8 +60,13 @@ def _support_order(supporting: str, tie: Sequence[str]) -> list[Column]:
 
 
 def with_version_count(df: DataFrame, key: Sequence[str], name: str) -> DataFrame:
-    """Adds the number of rows that share the key."""
-    return join_unique(df, df.groupBy(*key).agg(F.count("*").alias(name)), key)
+    """Adds the number of rows that share the key.
+
+    Counts are grouped by what they are joined on, so that they are dealt once; the sort compares hashes before keys.
+    """
+    keyed = df.withColumns({"_hash": F.hash(*key), "_key": key_of(key)})
+    counts = keyed.groupBy("_hash", "_key").agg(F.count("*").alias(name))
+    return keyed.join(counts, ["_hash", "_key"], "left").drop("_hash", "_key")
 
 
 def unique_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:

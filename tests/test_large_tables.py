@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.catalog import gold as queries
+from lodestrata.functions.cleanse import parse_date
+from lodestrata.operators.dedupe import with_version_count
 from lodestrata.operators.temporal import count_days, deal_segments, explode_segments
 from lodestrata.sources import drops
 from lodestrata.sources.drops import read_drop
@@ -94,6 +96,26 @@ def test_rows_that_multiply_are_spread_first(spark, tables):
     assert layers.bronze_units.count() == 600 and layers.bronze_residents.count() == 650
 
 
+def test_rejection_view_counts(spark, tables):
+    found = {row["category"]: row["row_count"] for row in queries.rejection_view(spark, tables).collect()}
+    assert found["resident_conflicts"] == 50 and found["invalid_unit_communities"] == 180 and found["conflicting_leads"] == 60
+
+
+def test_version_counts_are_dealt_once(spark, sorted_joins):
+    rows = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",)], "k string")
+    counted = with_version_count(rows, ["k"], "n")
+    assert _plan(counted).count("Exchange hashpartitioning") == 2
+    assert sorted(map(tuple, counted.collect()), key=str) == [("a", 2), ("a", 2), ("b", 1), (None, 2), (None, 2)]
+
+
+def test_plain_dates_are_those_the_expressions_find(spark):
+    texts = ["2025-01-02", "\t202-01-02", "2025-01-2T", "+202-01-02", "0000-01-01", "9999-12-31", "2025-02-30", "2025/01/02", "12/31/2025"]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select(parse_date(F.col("t")).cast("string").alias("d"))
+    assert [r.d for r in found.collect()] == [
+        "2025-01-02", "0202-01-02", None, None, "0000-01-01", "9999-12-31", None, "2025-01-02", "2025-12-31"
+    ]
+
+
 def test_rows_of_a_drop_are_numbered_in_place(spark, sorted_joins, tmp_path):
     """Neither a shuffle nor a sort of the rows, however many splits there are."""
     for n in (1, 2):
