@@ -89,7 +89,7 @@ def _column_names(line: str) -> tuple[str, ...]:
 
 
 def _headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Paths grouped by their header, the first line that is not blank; one job for all files. Empty files have none.
+    """Paths grouped by their header, the first line that is not blank; two jobs for all files. Empty files have none.
 
     The least place of a line is a number, which needs no sort of all lines as the line itself would; the same scan then
     gives the lines at these places.
@@ -101,7 +101,7 @@ def _headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], lis
         F.monotonically_increasing_id().alias("place"),
     )
     places = lines.where((F.col("block") == 0) & (F.trim("value") != "")).groupBy("path").agg(F.min("place").alias("place"))
-    first = lines.join(F.broadcast(places), ["path", "place"]).select("path", F.col("value").alias("line"))
+    first = lines.where(F.col("place").isin([row["place"] for row in places.toLocalIterator()])).select("path", F.col("value").alias("line"))
     listed = {_plain_path(path): path for path in paths}
     grouped: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for row in first.toLocalIterator():
@@ -138,8 +138,7 @@ def _number_rows(rows: DataFrame) -> DataFrame:
     """Ordinal of each stored row in its file, from its place in the file split and the rows of the splits before.
 
     Only one row per split is ever windowed, so a single huge file does not end up in one task. Rows and splits are
-    read from the same stored table: every row has its split, however the files were cut. The splits, no more than the listing
-    of the files is cut into, go to the rows: these are neither moved nor sorted.
+    read from the same stored table: every row has its split, however the files were cut.
     """
     counted = rows.groupBy(*_SPLIT).agg(F.min("_position").alias("_first"), F.count("*").alias("_rows"))
     earlier = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -147,7 +146,7 @@ def _number_rows(rows: DataFrame) -> DataFrame:
         *_SPLIT, "_first", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before")
     )
     number = F.col("_position") - F.col("_first") + F.col("_before") + 1
-    return rows.join(F.broadcast(offsets), list(_SPLIT)).withColumn("_row_number", number)
+    return rows.join(offsets, list(_SPLIT)).withColumn("_row_number", number)
 
 
 def read_drop_parts(
